@@ -224,9 +224,7 @@ def headings(html: Column, *tags: str) -> Column:
     fragments = F.regexp_extract_all(
         visible, F.lit(rf"(?is)<({names})\b[^>]*>.*?(?:</\1\s*>|\z)"), F.lit(0)
     )
-    return _block_reader(frozenset(tags), frozenset())(
-        F.when(F.size(fragments) > 0, F.concat_ws("\n", fragments))
-    )
+    return _block_reader(frozenset(tags), frozenset())(F.concat_ws("\n", fragments))
 
 
 def marked(html: Column, css_class: str) -> Column:

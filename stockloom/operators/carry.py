@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from stockloom.functions.columns import strip_space
 
-_CHUNK = "__chunk"
-_HERE = "__here"
-_CARRIED = "__carried"
+_STRETCH = "__stretch"
+_SEED = "__seed"
 
 
 def group_label(text: Column, stop_words: Sequence[str] = ()) -> Column:
@@ -42,22 +41,24 @@ def carry_forward(
         rows_so_far = running.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(output, last_label.over(rows_so_far))
 
-    chunk = F.floor(F.col(position) / F.lit(chunk_rows)).cast("long")
-    cut = df.withColumn(_CHUNK, chunk)
-    stretch = Window.partitionBy(*group_by, _CHUNK).orderBy(position)
-    rows_so_far = stretch.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = cut.withColumn(_HERE, last_label.over(rows_so_far))
-
+    start = F.col(position) - F.pmod(F.col(position), F.lit(chunk_rows))
+    cut = df.withColumn(_STRETCH, start.cast("long"))
     # Partial aggregation leaves one row per stretch and task before the shuffle, and a
-    # group of n rows has n / chunk_rows stretches to run through here.
-    ends = cut.groupBy(*group_by, _CHUNK).agg(
-        F.max_by(label, F.when(F.col(label).isNotNull(), F.col(position))).alias(_CARRIED)
+    # group of n positions has n / chunk_rows stretches to run through here.
+    ends = cut.groupBy(*group_by, _STRETCH).agg(
+        F.max_by(label, F.when(F.col(label).isNotNull(), F.col(position))).alias(label)
     )
     earlier = (
         Window.partitionBy(*group_by)
-        .orderBy(_CHUNK)
+        .orderBy(_STRETCH)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    inherited = ends.withColumn(_CARRIED, F.last(_CARRIED, ignorenulls=True).over(earlier))
-    joined = filled.join(inherited, [*group_by, _CHUNK], "left")
-    return joined.select(*df.columns, F.coalesce(_HERE, _CARRIED).alias(output))
+    inherited = ends.withColumn(label, F.last(label, ignorenulls=True).over(earlier))
+    # The inherited label goes in front of its stretch as a row of its own, so the big
+    # table is shuffled once and meets no join.
+    seeds = inherited.where(F.col(label).isNotNull()).withColumn(_SEED, F.lit(True))
+    seeded = cut.withColumn(_SEED, F.lit(False)).unionByName(seeds, allowMissingColumns=True)
+    stretch = Window.partitionBy(*group_by, _STRETCH).orderBy(F.desc(_SEED), position)
+    rows_so_far = stretch.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    filled = seeded.withColumn(output, last_label.over(rows_so_far))
+    return filled.where(~F.col(_SEED)).select(*df.columns, output)

@@ -153,16 +153,18 @@ def company_links(
     table_class: str = COMPANY_TABLE_CLASS,
 ) -> DataFrame:
     """(code, name, exchange, url) of listing rows; the url of a row without link is null."""
-    rows = F.filter(
-        markup.table_rows(F.col(html)), lambda r: markup.has_class(r["table_class"], table_class)
-    )
-    first_table = F.array_min(F.transform("__rows", lambda r: r["table_no"]))
-    unfolded = pages.select(page_id, rows.alias("__rows")).select(
-        page_id, F.explode("__rows").alias("row"), first_table.alias("__first")
+    def of_class(row: Column) -> Column:
+        return markup.has_class(row["table_class"], table_class)
+
+    # Steps of their own, so that neither the page nor the row list is read twice.
+    read = pages.select(page_id, markup.table_rows(F.col(html)).alias("__rows"))
+    matching = read.select(page_id, F.filter("__rows", of_class).alias("__matching"))
+    first = F.get("__matching", F.lit(0))["table_no"]
+    of_first = F.filter(
+        "__matching", lambda r: (r["table_no"] == first) & (F.size(r["cells"]) > 0)
     )
     cells = F.col("row.cells")
-    listed = unfolded.where((F.col("row.table_no") == F.col("__first")) & (F.size(cells) > 0))
-    links = listed.select(
+    links = matching.select(page_id, F.explode(of_first).alias("row")).select(
         page_id,
         F.get(cells, F.lit(0))["bare"].alias("code"),
         F.get(cells, F.lit(1))["bare"].alias("name"),
@@ -228,11 +230,13 @@ def subsidiary_rows(
 
     parsed = payloads.select(
         F.col(symbol).alias("stock_code"), F.from_json(json, PAYLOAD).alias("__payload")
-    ).where("__payload.Success")
+    )
     entries = F.concat(
         tagged(data["Subsidiaries"], "sub"), tagged(data["AssociatedCompanies"], "aff")
     )
-    unfolded = parsed.select("stock_code", F.explode(entries).alias("e"))
+    # Tested here and not in a filter, which would parse the payload a second time.
+    successful = F.when(F.col("__payload.Success"), entries)
+    unfolded = parsed.select("stock_code", F.explode(successful).alias("e"))
     extra = [F.col("e.item.SharedCapital").alias("contributed_capital")] if contributed else []
     return unfolded.select(
         "stock_code",

@@ -19,19 +19,17 @@ def nonnull_counts(df: DataFrame) -> DataFrame:
 def empty_columns(df: DataFrame, probe_rows: int = 1_000) -> list[str]:
     """Columns without any value.
 
-    A few rows prove most columns filled; only the undecided ones are then counted
-    over the whole table, so a columnar scan does not touch the others.
+    A few rows, fetched as flags from as few files as needed, prove most columns
+    filled. Only the undecided ones are then searched over the whole table, so a
+    columnar scan does not touch the others.
     """
-    def unfilled(rows: DataFrame, names: list[str]) -> list[str]:
-        if not names:
-            return []
-        found = rows.agg(
-            *[F.max(field_ref(c).isNotNull()).alias(f"c{i}") for i, c in enumerate(names)]
-        ).first()
-        return [c for i, c in enumerate(names) if not found[i]]
-
-    undecided = unfilled(df.limit(probe_rows), df.columns)
-    return unfilled(df, undecided)
+    flags = [field_ref(c).isNotNull().alias(f"c{i}") for i, c in enumerate(df.columns)]
+    probe = df.select(*flags).head(probe_rows)
+    undecided = [c for i, c in enumerate(df.columns) if not any(row[i] for row in probe)]
+    if not undecided:
+        return []
+    found = df.agg(*[F.count(field_ref(c)).alias(f"c{i}") for i, c in enumerate(undecided)]).first()
+    return [c for i, c in enumerate(undecided) if found[i] == 0]
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:

@@ -40,8 +40,11 @@ class JdbcSink:
     """Writes through JDBC; the database hands out surrogate ids.
 
     ``overwrite`` truncates instead of dropping, so keys, ids and indexes of the
-    target table survive. ``max_connections`` bounds the number of writing tasks:
-    each one holds a database connection.
+    target table survive. ``max_connections`` is the number of writing tasks, each with
+    its own connection and transaction; the rows are spread over them evenly, while the
+    plan before the write keeps its parallelism. A database cannot tell a repeated task
+    from a new one, so rely on the unique keys of the target table, or load into a
+    table of your own first, where rows must not repeat after a lost executor.
     """
 
     url: str
@@ -61,14 +64,14 @@ class JdbcSink:
             "password": self.password,
             "driver": self.driver,
             "dbtable": table,
-            "numPartitions": str(self.max_connections),
             "batchsize": str(self.batch_size),
             "truncate": str(mode == "overwrite").lower(),
             **self.options,
             **extra,
         }
         try:
-            rows.write.format("jdbc").options(**settings).mode(mode).save()
+            spread = rows.repartition(self.max_connections)
+            spread.write.format("jdbc").options(**settings).mode(mode).save()
         except Exception as error:
             raise RuntimeError(f"writing table {table} failed: {error}") from error
 
@@ -96,6 +99,10 @@ class CatalogSink:
                 f"CREATE TABLE {self.qualified(table.name)} ({columns}) USING parquet "
                 f"LOCATION '{self.location}/{table.name}'"
             )
+            # The files belong to the location, not to the catalog entry just dropped.
+            if not self.read(table.name).isEmpty():
+                nothing = self.spark.createDataFrame([], table.schema())
+                nothing.write.insertInto(self.qualified(table.name), overwrite=True)
 
     def write(self, df: DataFrame, table: str, mode: str = "append") -> None:
         contract = WAREHOUSE[table]

@@ -1,0 +1,176 @@
+import json
+
+import pytest
+
+from stockloom.operators import extract as x
+from stockloom.operators.universe import code_list
+
+
+def page(spark, html, **extra):
+    names, values = ["page_id", "html", *extra], [1, html, *extra.values()]
+    types = ", ".join(f"{n} {'bigint' if n == 'page_id' else 'string'}" for n in names)
+    return spark.createDataFrame([tuple(values)], types)
+
+
+LISTING = """
+<!-- <table><tr><td>1<td>2<td>3<td>0001<td>5<td>hidden</table> -->
+<table>
+<tr><td>Cấp 1</td><td>Cấp 2</td><td>Cấp 3</td><td>Cấp 4</td><td>Cấp 5</td><td>Tên</td></tr>
+<tr><td> </td><td></td><td></td><td>0100</td><td></td><td>no group yet</td></tr>
+<tr><td>
+ A </td><td>01</td><td>011</td><td> 0111 </td><td></td><td>Trồng <b>lúa</b> &amp; ngô</td></tr>
+<tr><td></td><td></td><td></td><td>0112<td><td>unclosed cells
+<tr><td>short</td><td>row</td></tr>
+<tr><td>STT</td><td></td><td></td><td>x1</td><td></td><td>not a code</td></tr>
+</table>
+<p>between</p>
+<TABLE class="second"><TR><TD></TD><TD></TD><TD></TD><TD>0113</TD><TD></TD><TD>carried over</TD></TR>
+<tr><td>B</td><td></td><td></td><td></td><td></td><td>label only</td></tr>
+<tr><td></td><td></td><td></td><td>0211</td><td></td><td>next</td></tr></TABLE>
+"""
+
+
+def test_industry_rows(spark, rows):
+    got = rows(x.industry_rows(page(spark, LISTING)), "industry_group", "industry_code", "industry_name")
+    assert got == [
+        ("A", "0111", "Trồng lúa & ngô"),
+        ("A", "0112", "unclosed cells"),
+        ("A", "0113", "carried over"),
+        ("B", "0211", "next"),
+        (None, "0100", "no group yet"),
+    ]
+
+
+@pytest.mark.parametrize("html", ["<p>no table</p>", "", None])
+def test_pages_without_tables_give_no_rows(spark, html):
+    assert x.industry_rows(page(spark, html)).count() == 0
+    assert x.company_links(page(spark, html)).count() == 0
+
+
+def titles(spark, html):
+    row = x.page_titles(page(spark, html)).first()
+    return row.company_name, row.company_eng_name
+
+
+def test_titles(spark):
+    assert titles(
+        spark,
+        "<script>var a='<h1 class=\"h1-title\">no</h1>'</script><!-- <h1 class='h1-title'>no</h1> -->"
+        '<h1>other</h1><h1 class="big h1-title">Công ty: <b> Á Châu <i>ACB</i></b> (HOSE)</h1>'
+        '<h2 class="title-2"> Asia &amp; Co\n</h2>',
+    ) == ("Á ChâuACB", "Asia & Co")
+    assert titles(spark, '<H1 CLASS="h1-title">Khí Việt Nam (GAS: HOSE)</H1>') == ("Khí Việt Nam", None)
+    assert titles(spark, "<h1>plain</h1>") == (None, None)
+    assert titles(spark, None) == (None, None)
+
+
+PROFILE = """
+<div id="niem-yet"><div><table>
+<tr><td>Sàn</td><td>HOSE</td></tr>
+<tr><td>Ngày giao dịch đầu tiên:</td><td> 21/11/2006 </td></tr>
+<tr><td>Ngày giao dịch đầu tiên khác</td><td>01/01/2010</td></tr>
+</table></div></div>
+<div id="thanh-lap-cong-ty"><table><tbody>
+<tr><td>• Mã số thuế</td><td>0301452948</td></tr>
+<tr><td>• Địa chỉ</td><td>442 <br>Q. 3, "TP. HCM"</td></tr>
+<tr><td>Email</td><td>old@x.vn</td></tr>
+<tr><td>Email</td><td><a href="mailto:a@b.vn">a@b.vn</a></td></tr>
+<tr><td>Website</td><td>one</td><td>three cells</td></tr>
+</tbody></table></div>
+<div id="khac"><table><tr><td>• Điện thoại</td><td>wrong section</td></tr></table></div>
+"""
+
+
+def test_key_value_profile(spark):
+    row = x.key_value_profile(page(spark, PROFILE)).first()
+    assert (row.tax_code, row.address, row.email) == ("0301452948", '442Q. 3, "TP. HCM"', "a@b.vn")
+    assert (row.phone_number, row.website) == (None, None)
+    assert row.listing_date == "21/11/2006"
+
+
+def test_enterprise_profile_has_the_raw_columns(spark):
+    html = '<h1 class="h1-title">Á Châu (ACB)</h1>' + PROFILE
+    row = x.enterprise_profile(page(spark, html, code="ACB")).first()
+    assert (row.code, row.company_name, row.tax_code) == ("ACB", "Á Châu", "0301452948")
+    empty = x.enterprise_profile(page(spark, None, code="ACB")).first()
+    assert empty.code == "ACB" and empty.tax_code is None
+
+
+LINKS = """<table class="ads"><tr><td>no</td></tr></table>
+<table class="table-data-business x"><thead><tr><th>Mã</th></tr></thead>
+<tr><td><a href="/acb.chn">ACB</a></td><td> Á Châu </td><td>-</td><td>HOSE</td></tr>
+<tr><td>GAS</td><td>Khí</td><td>-</td><td>HOSE</td></tr>
+<tr><td><a href="/x">SHORT</a></td><td>two cells</td></tr></table>
+<table class="table-data-business"><tr><td>LATER</td><td>a</td><td>b</td><td>c</td></tr></table>"""
+
+
+def test_company_links(spark, rows):
+    columns = ("code", "name", "exchange", "url")
+    assert rows(x.company_links(page(spark, LINKS)), *columns) == [
+        ("ACB", "Á Châu", "HOSE", "/acb.chn"),
+        ("GAS", "Khí", "HOSE", None),
+        ("SHORT", "two cells", None, "/x"),
+    ]
+    listed = x.company_links(page(spark, LINKS), code_list(spark, ["GAS"], "code"))
+    assert rows(listed, *columns) == [("GAS", "Khí", "HOSE", None)]
+
+
+def test_second_cells_and_fallback(spark):
+    html = (
+        "<table><tr><td>No</td><td>Mã</td></tr><tr><td>1</td><td> ACB </td></tr>"
+        "<tr><td>alone</td></tr><tr><td>2</td><td>BID</td></tr></table>"
+        "<table><tr><td>1</td><td>other</td></tr></table>"
+    )
+    def codes(h):
+        return [r.stock_code for r in x.second_cells(page(spark, h), fallback=["F1", "F2"]).collect()]
+
+    assert codes(html) == ["ACB", "BID"]
+    assert codes("<p>down</p>") == ["F1", "F2"] and codes(None) == ["F1", "F2"]
+    assert codes("<table></table>") == []
+    assert codes("<table><tr><td>No</td><td>Mã</td></tr></table>") == []
+    assert x.second_cells(page(spark, "")).count() == 30
+
+
+def code_of(spark, html, key="0301"):
+    return x.classification_code(page(spark, html, tax_code=key), "tax_code").first().industry_code
+
+
+def test_classification_code(spark):
+    cell = '<div class="col-md-2">Mã</div><span class="row col-md-2">\n 0620 </span><i class="col-md-2">1111</i>'
+    text = "<b>Mã ngành chính</b>\n<p>x</p><em>6419</em><em>7777</em>"
+    assert code_of(spark, cell) == "0620"
+    assert code_of(spark, text) == "6419"
+    assert code_of(spark, cell.replace("0620", "06201").replace("1111", "a") + text) == "6419"
+    assert code_of(spark, "<p>12345</p>") == "Not Found"
+    assert code_of(spark, None) == "Not Found"
+    for key in (None, "nan", ""):
+        assert code_of(spark, cell, key) is None
+
+
+def reply(success=True, subs=None, assoc=None, **other):
+    data = {"Subsidiaries": subs, "AssociatedCompanies": assoc}
+    return json.dumps({"Success": success, "Data": {k: v for k, v in data.items() if v != "absent"}, **other})
+
+
+ITEM = {"Name": "A", "TotalCapital": 100.5, "SharedCapital": 7, "OwnershipRate": 51}
+
+
+def test_subsidiary_rows(spark, rows):
+    payloads = spark.createDataFrame(
+        [
+            ("FPT", reply(subs=[ITEM, {"Name": "no numbers"}], assoc=[ITEM | {"Name": "B"}], Message="ok")),
+            ("GAS", reply(subs=None, assoc="absent")),
+            ("BAD", reply(False, subs=[ITEM])),
+            ("CUT", reply(subs=[ITEM])[:30]),
+            ("NUL", None),
+            ("ODD", json.dumps({"Success": True})),
+        ],
+        "symbol string, json string",
+    )
+    assert rows(x.subsidiary_rows(payloads, contributed=True)) == [
+        ("FPT", "A", "sub", 100.5, 7.0, 51.0),
+        ("FPT", "B", "aff", 100.5, 7.0, 51.0),
+        ("FPT", "no numbers", "sub", None, None, None),
+    ]
+    assert "contributed_capital" not in x.subsidiary_rows(payloads).columns
+    assert x.subsidiary_rows(payloads.limit(0), contributed=True).count() == 0
