@@ -11,11 +11,13 @@ from stockloom.sources.scratch import stage
 
 _PART = "__part"
 _SLOT = "__slot"
+_FILE = "__file"
+_ROW = "__row"
 _SLOT_BITS = (1 << 33) - 1  # low bits of monotonically_increasing_id
 
 
 def with_surrogate_keys(
-    df: DataFrame, name: str, order_by: Sequence[str], start: int = 0
+    df: DataFrame, name: str, order_by: Sequence[str], start: int = 0, unique: bool = True
 ) -> DataFrame:
     """Number the rows ``start + 1 .. start + n`` in the order of ``order_by``.
 
@@ -24,9 +26,21 @@ def with_surrogate_keys(
     are written down once, since a second run of the range sampling could cut the
     partitions elsewhere. Partition sizes are one row per partition, so their running
     sum is small whatever the table holds.
+
+    Pass ``unique=False`` where many rows may share one key: they are then written
+    first and told apart by their place in the files, so that copies, too, spread over
+    the tasks, and in the same way if a task runs again.
     """
-    slotted = df.orderBy(*order_by).select(
-        "*",
+    rows, order = df, [F.col(c) for c in order_by]
+    if not unique:
+        rows = stage(df, "unordered").select(
+            "*",
+            F.col("_metadata.file_name").alias(_FILE),
+            F.col("_metadata.row_index").alias(_ROW),
+        )
+        order += [F.col(_FILE), F.col(_ROW)]
+    slotted = rows.orderBy(*order).select(
+        *df.columns,
         F.spark_partition_id().alias(_PART),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_SLOT_BITS)).alias(_SLOT),
     )

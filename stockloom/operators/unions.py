@@ -15,7 +15,8 @@ def union_tagged(
     """Stack tables with differing columns and tag each row with its source.
 
     Columns a source lacks are null. Absent sources are skipped, and so are empty ones,
-    unless ``skip_empty`` is off: an empty table would only add columns of nulls.
+    unless ``skip_empty`` is off: an empty table would only add columns of nulls. The
+    test fetches one row of each source, so pass sources that shuffle staged.
     """
     kept = [
         df.withColumn(tag, F.lit(name))

@@ -8,24 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom import model
-from stockloom.operators import dimensions, extract, normalize, prices, ratios, statements
-from stockloom.sources.landing import LandingZone, scan_csv
+from stockloom.operators import dimensions, extract, prices, ratios, statements
+from stockloom.sources import raw
+from stockloom.sources.landing import LandingZone
 from stockloom.sources.scratch import scratch_path, stage
 from stockloom.sources.warehouse import CatalogSink, Sink
 
 MAP_PATH = "reference/industry_map.csv"
 
 
-def _scan(zone: LandingZone, name: str, schema=None) -> DataFrame:
-    return scan_csv(zone.spark, zone.path(model.LANDED_PATHS[name]), schema)
-
-
 # --- raw documents → landed files -----------------------------------------------
 
 
 def land(zone: LandingZone, name: str, df: DataFrame) -> str | None:
+    """Land one raw table; staged first, so that the test for rows runs the plan once."""
     folder, _, file_name = model.LANDED_PATHS[name].rpartition("/")
-    return zone.save_dataframe(df, folder, file_name.removesuffix(".csv"), "csv")
+    return zone.save_dataframe(stage(df, name), folder, file_name.removesuffix(".csv"), "csv")
 
 
 def land_industries(zone: LandingZone, pages: DataFrame) -> str | None:
@@ -46,27 +44,24 @@ def land_subsidiaries(zone: LandingZone, payloads: DataFrame) -> str | None:
 
 
 def load_industry(zone: LandingZone, sink: Sink) -> None:
-    sink.write(_scan(zone, "industries", model.RAW_INDUSTRY), "dim_industry")
+    sink.write(raw.read_industries(zone), "dim_industry")
 
 
 def load_enterprise(zone: LandingZone, sink: Sink, map_path: str | None = None) -> None:
-    industry_map = scan_csv(
-        zone.spark, map_path or zone.path(MAP_PATH), model.RAW_INDUSTRY_MAP
-    )
-    basic = _scan(zone, "enterprise", model.RAW_ENTERPRISE)
-    sink.write(dimensions.enterprise_enriched(basic, industry_map), "dim_enterprise")
+    industry_map = raw.read_industry_map(zone, map_path or zone.path(MAP_PATH))
+    enriched = dimensions.enterprise_enriched(raw.read_enterprises(zone), industry_map)
+    sink.write(enriched, "dim_enterprise")
 
 
 def load_subsidiaries(zone: LandingZone, sink: Sink) -> None:
-    raw = _scan(zone, "subsidiaries", model.RAW_SUBSIDIARY)
-    sink.write(dimensions.fact_subsidiary(raw), "fact_subsidiary")
+    sink.write(dimensions.fact_subsidiary(raw.read_subsidiaries(zone)), "fact_subsidiary")
 
 
 def load_leadership(
     zone: LandingZone, sink: Sink, shareholders: DataFrame | None = None
 ) -> None:
     """Two tables from one scan, which is staged so that the text is parsed once."""
-    officers = stage(_scan(zone, "leadership", model.RAW_LEADERSHIP), "leadership")
+    officers = stage(raw.read_leadership(zone), "leadership")
     sink.write(dimensions.dim_holder(officers, shareholders), "dim_holder_info")
     sink.write(dimensions.fact_ownership(officers, shareholders), "fact_ownership")
 
@@ -77,11 +72,8 @@ def load_financials(zone: LandingZone, sink: Sink, merge_ratios: bool = False) -
     ``merge_ratios`` joins both statements of a quarter before the ratios, which gives
     one row per company and quarter.
     """
-    def statement(name: str) -> DataFrame:
-        return normalize.normalize_statement(stage(_scan(zone, name), name))
-
-    income, balance = statement("income"), statement("balance")
-    quotes = stage(normalize.normalize_prices(_scan(zone, "prices")), "prices")
+    income, balance = raw.read_income(zone), raw.read_balance(zone)
+    quotes = stage(raw.read_prices(zone), "prices")
 
     report = stage(statements.financial_report(income, balance), "report")
     sink.write(report, "fact_financial_report", "overwrite")

@@ -6,6 +6,8 @@ quarter, or per nation and day, before they meet the next table.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,39 +50,49 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarterly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact sums of line items per nation and ship quarter."""
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(3,2)")
+    """Exact sums of line items per nation and ship quarter.
+
+    Money is added up in whole cents, and net sales in hundredths of a cent, per
+    supplier and quarter; decimals take over where suppliers are added up. A bigint
+    holds over twenty billion average line items of one supplier and quarter, and a
+    sum beyond it fails instead of wrapping around.
+    """
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
     line = table(spark, sf_dir, "lineitem").select(
         "l_suppkey",
         F.year("l_shipdate").alias("year"),
         F.quarter("l_shipdate").alias("quarter"),
-        price.alias("price"),
-        (price * (F.lit(1).cast("decimal(3,2)") - discount)).alias("net"),
-        F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
+        cents.alias("cents"),
+        (cents * (100 - F.rint(F.col("l_discount") * 100).cast("long"))).alias("net"),
+        F.rint(F.col("l_quantity") * 100).cast("long").alias("quantity"),
         "l_returnflag",
         "l_linestatus",
     )
 
     def where(column: str, value: str) -> Column:
-        return F.when(F.col(column) == value, F.col("price"))
+        return F.sum(F.when(F.col(column) == value, F.col("cents")).otherwise(0))
 
-    zero = F.lit(0).cast("decimal(12,2)")
     per_supplier = line.groupBy("l_suppkey", "year", "quarter").agg(
         F.sum("net").alias("net_sales"),
-        F.sum("price").alias("gross_sales"),
+        F.sum("cents").alias("gross_sales"),
         F.sum("quantity").alias("units"),
-        F.sum(F.coalesce(where("l_returnflag", "A"), zero)).alias("flag_a"),
-        F.sum(F.coalesce(where("l_returnflag", "R"), zero)).alias("flag_r"),
-        F.sum(F.coalesce(where("l_linestatus", "O"), zero)).alias("status_o"),
-        F.sum(F.coalesce(where("l_linestatus", "F"), zero)).alias("status_f"),
+        where("l_returnflag", "A").alias("flag_a"),
+        where("l_returnflag", "R").alias("flag_r"),
+        where("l_linestatus", "O").alias("status_o"),
+        where("l_linestatus", "F").alias("status_f"),
     )
+    units = {c: "0.01" for c in ("gross_sales", "units", "flag_a", "flag_r", "status_o", "status_f")}
+    units["net_sales"] = "0.0001"
+
+    def total(name: str, unit: str) -> Column:
+        whole = F.sum(F.col(name).cast("decimal(20,0)"))
+        return (whole * F.lit(Decimal(unit))).cast(model.MONEY).alias(name)
+
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    sums = ["net_sales", "gross_sales", "units", "flag_a", "flag_r", "status_o", "status_f"]
     per_nation = (
         per_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy("s_nationkey", "year", "quarter")
-        .agg(*[F.sum(c).cast(model.MONEY).alias(c) for c in sums])
+        .agg(*[total(name, unit) for name, unit in units.items()])
     )
     nations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("ticker")

@@ -76,6 +76,9 @@ class LandingZone:
     ) -> str | None:
         """Write a table and return its path; an absent or empty table is skipped.
 
+        The test for rows fetches one row. A plan that shuffles would run up to its last
+        shuffle for it, so pass such a table staged.
+
         A partitioned parquet table lives in ``folder`` itself and only the partitions
         present in ``df`` are replaced, so a repeated load gives the same files.
         """

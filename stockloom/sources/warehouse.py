@@ -55,6 +55,10 @@ class JdbcSink:
     batch_size: int = 10_000
     options: dict[str, str] = field(default_factory=dict)
 
+    @staticmethod
+    def postgres_url(host: str, port: int, database: str) -> str:
+        return f"jdbc:postgresql://{host}:{port}/{database}"
+
     def write(self, df: DataFrame, table: str, mode: str = "append", **extra: str) -> None:
         contract = WAREHOUSE.get(table)
         rows = df if contract is None else shape_for(df, contract)
@@ -113,7 +117,11 @@ class CatalogSink:
                 top = self.read(table).agg(F.max(contract.surrogate.name)).first()[0]
                 start = top or 0
             rows = with_surrogate_keys(
-                rows, contract.surrogate.name, contract.natural_order, start=start
+                rows,
+                contract.surrogate.name,
+                contract.natural_order,
+                start=start,
+                unique=bool(contract.unique),
             )
             rows = rows.select(*[f.name for f in contract.fields])
         try:

@@ -61,3 +61,20 @@ def test_surrogate_keys_continue_from_a_start(spark):
 
 def test_surrogate_keys_of_nothing(spark):
     assert with_surrogate_keys(spark.range(0), "sid", ["id"]).count() == 0
+
+
+def test_copies_of_one_key_spread_over_partitions(spark):
+    df = spark.range(0, 8_000, numPartitions=4).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("code")
+    )
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"  # keep the few rows apart
+    spark.conf.set(setting, "false")
+    try:
+        got = with_surrogate_keys(df, "sid", ["code"], unique=False)
+    finally:
+        spark.conf.unset(setting)
+    ordered = got.orderBy("sid").collect()
+    assert [r.sid for r in ordered] == list(range(1, 8_001))
+    assert [r.code for r in ordered] == sorted(r.code for r in ordered)
+    files = spark.read.parquet(*got.inputFiles())
+    assert files.where("code = 'hot'").select("__part").distinct().count() > 1

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from stockloom import model
 from stockloom.operators import quality
 from stockloom.plans import jobs
+from stockloom.sources import raw
 from stockloom.sources import warehouse as w
 from stockloom.sources.landing import LandingZone
 
@@ -54,6 +55,10 @@ def recorded(monkeypatch):
 SINK = w.JdbcSink("jdbc:postgresql://host:5432/db", "me", "secret", max_connections=4)
 
 
+def test_postgres_address():
+    assert w.JdbcSink.postgres_url("db", 5432, "mart") == "jdbc:postgresql://db:5432/mart"
+
+
 def test_jdbc_append(recorded):
     recorder = recorded()
     SINK.write(None, "dim_industry")
@@ -185,8 +190,11 @@ def test_documents_are_landed_for_the_load_jobs(spark, tmp_path, rows):
     jobs.land_enterprises(zone, spark.createDataFrame([("ACB", profile)], "code string, html string"))
     reply = '{"Success": true, "Data": {"Subsidiaries": [{"Name": "ACBS", "TotalCapital": 5, "OwnershipRate": 100}]}}'
     jobs.land_subsidiaries(zone, spark.createDataFrame([("ACB", reply)], "symbol string, json string"))
-    scans = {n: jobs._scan(zone, n, s) for n, s in (
-        ("industries", model.RAW_INDUSTRY), ("enterprise", model.RAW_ENTERPRISE), ("subsidiaries", model.RAW_SUBSIDIARY))}
+    scans = {
+        "industries": raw.read_industries(zone),
+        "enterprise": raw.read_enterprises(zone),
+        "subsidiaries": raw.read_subsidiaries(zone),
+    }
     assert rows(scans["industries"]) == [("A", "0111", "Lúa")]
     assert rows(scans["enterprise"], "code", "company_name", "tax_code") == [("ACB", "Á Châu", "03")]
     assert rows(scans["subsidiaries"], "stock_code", "comp_name", "comp_type") == [("ACB", "ACBS", "sub")]
