@@ -22,7 +22,7 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 _TEXT, _INT = T.StringType(), T.IntegerType()
 CELL = _struct(text=_TEXT, bare=_TEXT, href=_TEXT)
-ROW = _struct(section=_TEXT, table_no=_INT, table_class=_TEXT, cells=T.ArrayType(CELL))
+ROW = _struct(sections=T.ArrayType(_TEXT), table_no=_INT, table_class=_TEXT, cells=T.ArrayType(CELL))
 BLOCK = _struct(tag=_TEXT, css=_TEXT, bare=_TEXT, bold=_TEXT)
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -99,6 +99,12 @@ class _Reader(HTMLParser):
     def handle_comment(self, data):
         self.in_text = False
 
+    def parse_marked_section(self, i, report=1):
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:  # unknown section keyword: skip it like a comment
+            return self.parse_bogus_comment(i)
+
 
 def _extend(pieces: list[str], data: str, same_piece: bool) -> None:
     if same_piece and pieces:
@@ -126,9 +132,9 @@ class _Rows(_Reader):
         elif tag == "tr" and self.nest:
             self.open.clear()
             number, css = self.nest[-1]
-            section = next((d for d in reversed(self.divs) if d), None)
+            sections = [d for d in self.divs if d]
             self.rows.append(
-                {"section": section, "table_no": number, "table_class": css, "cells": []}
+                {"sections": sections, "table_no": number, "table_class": css, "cells": []}
             )
         elif tag in ("td", "th"):
             self.open.clear()

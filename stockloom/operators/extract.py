@@ -94,7 +94,9 @@ def page_titles(
 
 def section_pairs(rows: Column, section: str) -> Column:
     """Two-cell rows of a section as (key, value) structs, bullets removed from keys."""
-    pairs = F.filter(rows, lambda r: (r["section"] == section) & (F.size(r["cells"]) == 2))
+    pairs = F.filter(
+        rows, lambda r: F.array_contains(r["sections"], section) & (F.size(r["cells"]) == 2)
+    )
     return F.transform(
         pairs,
         lambda r: F.struct(
@@ -114,7 +116,7 @@ def first_labelled(rows: Column, section: str, phrase: str) -> Column:
     """Second cell of the first row of a section whose label contains a phrase."""
     hits = F.filter(
         rows,
-        lambda r: (r["section"] == section)
+        lambda r: F.array_contains(r["sections"], section)
         & (F.size(r["cells"]) >= 2)
         & r["cells"][0]["bare"].contains(phrase),
     )
@@ -147,7 +149,7 @@ def enterprise_profile(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def company_links(
     pages: DataFrame,
-    codes: DataFrame | None = None,
+    codes: DataFrame | Sequence[str] | None = None,
     page_id: str = "page_id",
     html: str = "html",
     table_class: str = COMPANY_TABLE_CLASS,

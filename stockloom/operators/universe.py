@@ -31,18 +31,25 @@ def default_universe(spark: SparkSession) -> DataFrame:
 
 
 def filter_universe(
-    rows: DataFrame, codes: DataFrame | None, column: str, code_column: str | None = None
+    rows: DataFrame,
+    codes: DataFrame | Sequence[str] | None,
+    column: str,
+    code_column: str | None = None,
 ) -> DataFrame:
-    """Keep rows whose code is listed; without a list, keep all."""
+    """Keep rows whose code is listed; without a list, or with an empty one, keep all."""
     if codes is None:
         return rows
+    if not isinstance(codes, DataFrame):
+        if not codes:
+            return rows
+        codes = code_list(rows.sparkSession, codes)
     listed = codes.select(F.col(code_column or codes.columns[0]).alias(column)).distinct()
     return rows.join(listed, column, "left_semi")
 
 
 def take_until_found(
     rows: DataFrame,
-    codes: DataFrame | None,
+    codes: DataFrame | Sequence[str] | None,
     column: str,
     page: str,
     max_pages: int = MAX_PAGES,
@@ -55,6 +62,10 @@ def take_until_found(
     visited = rows.where(F.col(page).between(1, max_pages))
     if codes is None:
         return visited
+    if not isinstance(codes, DataFrame):
+        if not codes:
+            return visited.where(F.col(page) == 1)  # nothing to find: one page is read
+        codes = code_list(rows.sparkSession, codes)
     kept = filter_universe(visited, codes, column)
     wanted: Column = codes.agg(F.count("*")).scalar()
     earlier = Window.orderBy(page).rowsBetween(Window.unboundedPreceding, -1)

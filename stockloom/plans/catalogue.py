@@ -234,7 +234,8 @@ def union_tagged_sources(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
         F.col("event_id").alias("id"), "value", "event_type", "user_id"
     )
-    sources = {"orders": orders, "events": events, "none": None, "empty": orders.where("id < 0")}
+    empty = spark.createDataFrame([], orders.schema)
+    sources = {"orders": orders, "events": events, "none": None, "empty": empty}
     return unions.union_tagged(sources, "source")
 
 
@@ -351,6 +352,12 @@ def kv_section(spark, sf_dir):
     return extract.key_value_profile(shapes.profile_pages(spark, sf_dir)).drop("html")
 
 
+@query
+def enterprise_profile(spark, sf_dir):
+    code = F.concat_ws("-", "conv_id", "turn").alias("code")
+    return extract.enterprise_profile(shapes.profile_pages(spark, sf_dir).select(code, "html"))
+
+
 @query
 def subsidiary_rows(spark, sf_dir):
     return extract.subsidiary_rows(shapes.payloads(spark, sf_dir), contributed=True)
@@ -367,14 +374,13 @@ def extract_code(spark, sf_dir):
     return coded.select("page_id", "tax_code", "industry_code")
 
 
-@query
-def plain_text(spark, sf_dir):
+def _plain_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select(
         "doc_id", strip_diacritics(F.col("text")).alias("plain")
     )
 
 
-QUERIES["strip_diacritics"] = QUERIES.pop("plain_text")
+QUERIES["strip_diacritics"] = _plain_text
 
 
 # --- landing and warehouse ------------------------------------------------------

@@ -422,6 +422,14 @@ FROM anchors""",
 SELECT conv_id, turn, CAST(conv_id AS VARCHAR) AS tax_code, {_stripped("text")} AS address,
        CAST(NULL AS VARCHAR) AS phone_number, role AS email, CAST(NULL AS VARCHAR) AS website,
        CASE WHEN turn % 3 <> 2 THEN conv_id || '/01/2020' END AS listing_date
+FROM conversations""",
+    "enterprise_profile": rf"""
+SELECT conv_id || '-' || turn AS code,
+       CASE WHEN turn % 2 = 0 THEN role || '& co' ELSE role END AS company_name,
+       CASE WHEN turn % 2 = 1 THEN 'No. ' || turn END AS company_eng_name,
+       CAST(conv_id AS VARCHAR) AS tax_code, {_stripped("text")} AS address, role AS email,
+       CAST(NULL AS VARCHAR) AS website,
+       CASE WHEN turn % 3 <> 2 THEN conv_id || '/01/2020' END AS listing_date
 FROM conversations""",
     "subsidiary_rows": """
 WITH replies AS (SELECT * FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 50 <> 7),

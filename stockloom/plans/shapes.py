@@ -363,6 +363,11 @@ def profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit(f"<tr><td> {key}</td><td>"), value, F.lit("</td></tr>"))
 
     conv, turn = F.col("conv_id").cast("string"), F.col("turn")
+    bold = F.concat(F.lit('<h1 class="h1-title">Firm: <b> '), F.col("role"), F.lit(" <i>& co</i></b> (X)</h1>"))
+    plain = F.concat(
+        F.lit('<h1 class="big h1-title">'), F.col("role"), F.lit(' (X: HOSE)</h1><h2 class="title-2"> No. '),
+        turn.cast("string"), F.lit(" </h2>"),
+    )
     date = F.when(turn % 3 != 2, pair("Ngày giao dịch đầu tiên:", F.concat(conv, F.lit("/01/2020"))))
     info = F.concat(
         pair("• Mã số thuế", conv),
@@ -375,18 +380,20 @@ def profile_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id",
         "turn",
         F.concat(
-            F.lit('<div id="niem-yet"><table><tbody>'),
+            F.when(turn % 2 == 0, bold).otherwise(plain),
+            F.lit('<div id="niem-yet"><div id="inner"><table><tbody>'),
             F.coalesce(date, F.lit("")),
-            F.lit('</tbody></table></div><div id="thanh-lap-cong-ty"><div><table>'),
+            F.lit('</tbody></table></div></div><div id="thanh-lap-cong-ty"><div><table>'),
             info,
             F.lit("</table></div></div>"),
         ).alias("html"),
     )
 
 
-def _contract_probe(orders: DataFrame) -> DataFrame:
+def ownership_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ownership rows with null keys, over-long positions and ratios out of range."""
     key = F.col("o_orderkey")
-    return orders.select(
+    return table(spark, sf_dir, "orders").select(
         F.when(key % 101 != 0, F.concat(F.lit("C"), (key % 40).cast("string"))).alias("stock_code"),
         F.when(key % 211 != 0, F.concat_ws("_", F.col("o_custkey"), "o_orderstatus")).alias("holder_id"),
         F.when(key % 97 == 0, F.repeat("o_orderpriority", 60))
@@ -396,8 +403,3 @@ def _contract_probe(orders: DataFrame) -> DataFrame:
         (F.col("o_totalprice") / 30).alias("ownership_ratio"),
         F.col("o_orderdate").cast("date").alias("report_date"),
     )
-
-
-def ownership_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ownership rows with null keys, over-long positions and ratios out of range."""
-    return _contract_probe(table(spark, sf_dir, "orders"))

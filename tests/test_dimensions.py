@@ -121,6 +121,8 @@ def test_default_universe(spark):
 def test_filter_universe(spark, rows):
     df = spark.createDataFrame([("A", 1), ("B", 2), ("A", 3), (None, 4)], "code string, v int")
     assert u.filter_universe(df, None, "code").count() == 4
+    assert u.filter_universe(df, [], "code").count() == 4
+    assert rows(u.filter_universe(df, ["A"], "code")) == [("A", 1), ("A", 3)]
     listed = u.code_list(spark, ["A", "A", "Z"])
     assert rows(u.filter_universe(df, listed, "code")) == [("A", 1), ("A", 3)]
 
@@ -134,6 +136,7 @@ def test_take_until_found_stops_after_the_page_that_completes_the_list(spark):
     short = u.take_until_found(df, u.code_list(spark, ["C", "D"]), "code", "page", max_pages=2)
     assert short.count() == 0
     assert u.take_until_found(df, None, "code", "page", max_pages=2).count() == 4
+    assert u.take_until_found(df, [], "code", "page").count() == 2
 
 
 def test_union_of_differing_sources(spark, rows):

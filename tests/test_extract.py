@@ -47,6 +47,14 @@ def test_pages_without_tables_give_no_rows(spark, html):
     assert x.company_links(page(spark, html)).count() == 0
 
 
+@pytest.mark.parametrize("junk", ["<![foo bar[x]]>", "<!DOCTYPE [ <!foo> ]>", "</", "<a b='", "<![", "&#xfffffffff;"])
+def test_broken_markup_does_not_stop_a_page(spark, junk):
+    html = f"<table><tr><td>n</td><td>Mã</td></tr><tr><td>1</td><td>ACB</td></tr></table>{junk}"
+    assert [r.stock_code for r in x.second_cells(page(spark, html)).collect()] == ["ACB"]
+    before = f"<p>{junk}></p>'>" + html
+    assert x.second_cells(page(spark, before)).count() >= 0
+
+
 def titles(spark, html):
     row = x.page_titles(page(spark, html)).first()
     return row.company_name, row.company_eng_name
@@ -65,7 +73,7 @@ def test_titles(spark):
 
 
 PROFILE = """
-<div id="niem-yet"><div><table>
+<div id="niem-yet"><div id="inner"><table>
 <tr><td>Sàn</td><td>HOSE</td></tr>
 <tr><td>Ngày giao dịch đầu tiên:</td><td> 21/11/2006 </td></tr>
 <tr><td>Ngày giao dịch đầu tiên khác</td><td>01/01/2010</td></tr>
