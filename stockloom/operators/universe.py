@@ -43,7 +43,9 @@ def filter_universe(
         if not codes:
             return rows
         codes = code_list(rows.sparkSession, codes)
-    listed = codes.select(F.col(code_column or codes.columns[0]).alias(column)).distinct()
+    # A semi-join needs no distinct list. Without that step both sides come straight from
+    # a shuffle, so adaptive execution can split the rows of a very frequent code.
+    listed = codes.select(F.col(code_column or codes.columns[0]).alias(column))
     return rows.join(listed, column, "left_semi")
 
 

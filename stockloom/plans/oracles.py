@@ -230,11 +230,11 @@ anchors AS (
 
 
 def _unescape(text: str) -> str:
-    for entity, char in (
-        ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"),
-        ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"),
+    """Decode the character references the pages use; their semicolon is optional."""
+    for name, char in (
+        ("quot", '"'), ("middot", "·"), ("copy", "©"), ("lt", "<"), ("gt", ">"), ("amp", "&"),
     ):
-        text = f"replace({text}, '{entity}', '{char}')"
+        text = f"regexp_replace({text}, '&{name};?', '{char}', 'g')"
     return text
 
 

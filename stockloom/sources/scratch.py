@@ -19,11 +19,12 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="stockloom-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="stockloom-"))
+    return context.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

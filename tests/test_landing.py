@@ -101,6 +101,30 @@ def test_scratch_follows_the_session_setting(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
 
 
+class Session:
+    """A session without the setting, on a given master."""
+
+    def __init__(self, master):
+        self.conf, self.sparkContext, self.master, self.folder = self, self, master, None
+
+    def get(self, key, default=None):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_scratch_without_the_setting():
+    local = Session("local[4]")
+    root = scratch_root(local)
+    assert root == local.folder and scratch_root(local) == root
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session("spark://host:7077"))
+
+
 def test_stage_cuts_the_plan(spark):
     staged = stage(spark.range(10).withColumn("v", F.col("id") * 2), "t")
     assert staged.count() == 10 and len(staged.inputFiles()) > 0

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from stockloom.operators.dimensions import dim_holder
 from stockloom.operators.prices import quarter_end_price
+from stockloom.operators.quality import orphans
+from stockloom.operators.universe import filter_universe
 from stockloom.plans import shapes
 from stockloom.plans.catalogue import QUERIES
 
@@ -91,6 +93,41 @@ def test_quarter_end_is_hashed_not_sorted(spark):
     assert "partial_max_by" in text and "Sort" not in text
 
 
+SMALL_PARTITIONS = {
+    "spark__sql__shuffle__partitions": "16",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "20KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "40KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+}
+
+
+def hot_rows(spark, path, n=60_000):
+    """Rows of which a third hold the code 7."""
+    spark.range(0, n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5_000).alias("code"),
+        F.rand(1).alias("value"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_a_frequent_code_is_split_in_the_list_filter(spark, tmp_path):
+    rows = hot_rows(spark, f"{tmp_path}/rows.parquet")
+    listed = spark.range(5_000).where("id % 2 = 1").select(F.col("id").alias("code"))
+    with settings(spark, **NO_BROADCAST, **SMALL_PARTITIONS):
+        kept = filter_universe(rows, listed, "code")
+        expected = sum(1 for i in range(60_000) if (7 if i % 3 == 0 else i % 5_000) % 2 == 1)
+        assert len(kept.collect()) == expected
+        assert "SortMergeJoin(skew=true)" in plan(kept)
+
+
+def test_foreign_keys_meet_the_parent_as_distinct_keys(spark, tmp_path):
+    child = hot_rows(spark, f"{tmp_path}/child.parquet", 6_000)
+    parent = spark.range(3_000).select(F.col("id").alias("pk"))
+    with settings(spark, **NO_BROADCAST):
+        text = plan(orphans(child, "code", parent, "pk"))
+    assert re.search(r"SortMergeJoin.*LeftAnti[\s\S]*HashAggregate[\s\S]*partial_count", text)
+
+
 def test_a_hot_join_key_is_split(spark, tmp_path):
     """A third of the orders belong to one customer; its join partition is cut up."""
     orders = spark.range(0, 60_000, numPartitions=8).select(
@@ -108,14 +145,7 @@ def test_a_hot_join_key_is_split(spark, tmp_path):
     )
     for name, df in (("orders", orders), ("customer", customers), ("nation", nations)):
         df.write.parquet(f"{tmp_path}/{name}.parquet")
-    with settings(
-        spark,
-        **NO_BROADCAST,
-        spark__sql__shuffle__partitions="16",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="40KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-    ):
+    with settings(spark, **NO_BROADCAST, **SMALL_PARTITIONS):
         daily = shapes.raw_prices(spark, str(tmp_path))
         assert sum(r.volume for r in daily.collect()) == 60_000
         assert "SortMergeJoin(skew=true)" in plan(daily)
