@@ -7,9 +7,10 @@ cannot match are cut to null before they reach Python.
 
 from __future__ import annotations
 
+from functools import reduce
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,18 @@ CELL = _struct(text=_TEXT, bare=_TEXT, href=_TEXT)
 ROW = _struct(sections=T.ArrayType(_TEXT), table_no=_INT, table_class=_TEXT, cells=T.ArrayType(CELL))
 BLOCK = _struct(tag=_TEXT, css=_TEXT, bare=_TEXT, bold=_TEXT)
 
+_text, _int = pa.string(), pa.int32()
+_CELL = pa.struct({"text": _text, "bare": _text, "href": _text})
+_ROW = pa.struct(
+    {
+        "sections": pa.list_(_text),
+        "table_no": _int,
+        "table_class": _text,
+        "cells": pa.list_(_CELL),
+    }
+)
+_BLOCK = pa.struct({"tag": _text, "css": _text, "bare": _text, "bold": _text})
+
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _SILENT = frozenset(("script", "style"))
 
@@ -207,14 +220,21 @@ def _read(reader: _Reader, page: str):
     return reader.result()
 
 
-@F.pandas_udf(T.ArrayType(ROW))
-def _rows(pages: pd.Series) -> pd.Series:
-    return pages.map(lambda p: None if p is None else _read(_Rows(), p))
+@F.arrow_udf(T.ArrayType(ROW))
+def _rows(pages: pa.Array) -> pa.Array:
+    rows = (None if p is None else _read(_Rows(), p) for p in pages.to_pylist())
+    return pa.array(rows, pa.list_(_ROW))
+
 
+def table_rows(html: Column, *marks: str) -> Column:
+    """All rows of all tables in page order; null where the page has no table.
 
-def table_rows(html: Column) -> Column:
-    """All rows of all tables in page order; null where the page has no table."""
-    return _rows(F.when(html.rlike(r"(?i)<table\b"), html))
+    With ``marks``, pages that hold none of these texts are not read either.
+    """
+    relevant = html.rlike(r"(?i)<table\b")
+    if marks:
+        relevant = relevant & reduce(Column.__or__, [html.contains(m) for m in marks])
+    return _rows(F.when(relevant, html))
 
 
 def headings(html: Column, *tags: str) -> Column:
@@ -241,9 +261,10 @@ def marked(html: Column, css_class: str) -> Column:
 
 
 def _block_reader(tags: frozenset, classes: frozenset):
-    @F.pandas_udf(T.ArrayType(BLOCK))
-    def blocks(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: None if p is None else _read(_Blocks(tags, classes), p))
+    @F.arrow_udf(T.ArrayType(BLOCK))
+    def blocks(pages: pa.Array) -> pa.Array:
+        found = (None if p is None else _read(_Blocks(tags, classes), p) for p in pages.to_pylist())
+        return pa.array(found, pa.list_(_BLOCK))
 
     return blocks
 

@@ -132,7 +132,7 @@ def key_value_profile(
     date_label: str = LISTING_DATE_LABEL,
 ) -> DataFrame:
     """Adds one column per profile key, plus the listing date as printed on the page."""
-    read = pages.withColumn("__rows", markup.table_rows(F.col(html)))
+    read = pages.withColumn("__rows", markup.table_rows(F.col(html), section, date_section))
     read = read.withColumn("__pairs", section_pairs(F.col("__rows"), section))
     return read.select(
         *pages.columns,
@@ -159,7 +159,7 @@ def company_links(
         return markup.has_class(row["table_class"], table_class)
 
     # Steps of their own, so that neither the page nor the row list is read twice.
-    read = pages.select(page_id, markup.table_rows(F.col(html)).alias("__rows"))
+    read = pages.select(page_id, markup.table_rows(F.col(html), table_class).alias("__rows"))
     matching = read.select(page_id, F.filter("__rows", of_class).alias("__matching"))
     first = F.get("__matching", F.lit(0))["table_no"]
     of_first = F.filter(

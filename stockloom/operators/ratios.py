@@ -42,9 +42,14 @@ def financial_ratio(
     """Ratios of every report row.
 
     Income and balance rows stay apart, so measures that need both are null; pass
-    ``merged_report(report)`` to get one complete row per quarter.
+    ``merged_report(report)`` to get one complete row per quarter. Prices are read only
+    for ratios that depend on them: with one price row per quarter, the join neither
+    drops nor repeats report rows.
     """
-    priced = report.join(quarter_end_price(price_fact), list(KEYS), "left")
+    if set(names).isdisjoint(PER_SHARE + VALUATION):
+        priced = report.withColumns({c: F.lit(None) for c in ("close_price", "market_cap")})
+    else:
+        priced = report.join(quarter_end_price(price_fact), list(KEYS), "left")
     label = period_label(F.col("year"), F.col("quarter")).alias("report_period")
     return priced.select(*KEYS, label, *ratio_columns(names))
 
