@@ -44,7 +44,8 @@ def quarter_end_price(price_fact: DataFrame) -> DataFrame:
     """Close and capitalisation of the last trading day of each quarter.
 
     An aggregate rather than a ranked window: every task reduces its rows to one per
-    company and quarter before the shuffle, by hashing, and nothing is sorted.
+    company and quarter before the shuffle, by hashing, and nothing is sorted. Days are
+    unique per company in a sound price fact; of clashing rows one is taken.
     """
     last_day = F.col("trade_date")
     return (

@@ -1,4 +1,4 @@
-"""Dense surrogate keys without a single-partition sort."""
+"""Surrogate keys without a single-partition sort."""
 
 from __future__ import annotations
 
@@ -54,3 +54,11 @@ def with_surrogate_keys(
     numbered = staged.join(offsets, _PART)
     key = F.col("__offset") + F.col(_SLOT) + F.lit(start + 1)
     return numbered.select(key.cast("long").alias(name), *df.columns)
+
+
+def with_sparse_keys(df: DataFrame, name: str, start: int = 0) -> DataFrame:
+    """Unique ids above ``start``, with gaps and in no order, without any shuffle.
+
+    The ids of a row depend on the run, so write the result once and read it back.
+    """
+    return df.select((F.monotonically_increasing_id() + F.lit(start + 1)).alias(name), "*")

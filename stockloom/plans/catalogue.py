@@ -155,7 +155,8 @@ def drop_empty_columns(spark, sf_dir):
 
 @query
 def nonnull_counts(spark, sf_dir):
-    return normalize.nonnull_counts(shapes.raw_balance(shapes.quarterly_sales(spark, sf_dir)))
+    counts = normalize.nonnull_counts(shapes.raw_balance(shapes.quarterly_sales(spark, sf_dir)))
+    return counts.toDF(*[c.replace(".", "_") for c in counts.columns])
 
 
 # --- dimensions -----------------------------------------------------------------

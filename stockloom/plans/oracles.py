@@ -296,7 +296,7 @@ SELECT stock_code AS "CP", CAST("year" AS VARCHAR) AS "Năm", CAST("quarter" AS
         select=f"""
 SELECT count(*) AS "CP", count(*) AS "Năm", count(*) AS "Kỳ", count(*) AS report_type,
        {", ".join(f'count("{h}") AS "{h}"' for h in (*model.BALANCE_HEADERS.values(), model.CONTRIBUTED_CAPITAL))},
-       CAST(0 AS BIGINT) AS "Ghi chú.trống"
+       CAST(0 AS BIGINT) AS "Ghi chú_trống"
 FROM balance""",
     ),
     "dim_date": """

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stockloom.functions.columns import field_ref
 from stockloom.model import WAREHOUSE, Table
-from stockloom.operators.surrogate import with_surrogate_keys
+from stockloom.operators.surrogate import with_sparse_keys, with_surrogate_keys
 
 
 class Sink(Protocol):
@@ -82,11 +82,18 @@ class JdbcSink:
 
 @dataclass(frozen=True)
 class CatalogSink:
-    """Parquet tables in a Spark database, with surrogate ids assigned on load."""
+    """Parquet tables in a Spark database, with surrogate ids assigned on load.
+
+    Dense ids run in the order of the natural key, for which the rows are sorted and
+    written an extra time; files then also hold narrow key ranges, so lookups by company
+    skip most of them. With ``dense_ids`` off, ids are unique but have gaps, as those of a
+    database sequence may, and rows are written once as they come.
+    """
 
     spark: SparkSession
     database: str
     location: str
+    dense_ids: bool = True
 
     def qualified(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
@@ -112,18 +119,7 @@ class CatalogSink:
         contract = WAREHOUSE[table]
         rows = shape_for(df, contract)
         if contract.surrogate:
-            start = 0
-            if mode == "append":
-                top = self.read(table).agg(F.max(contract.surrogate.name)).first()[0]
-                start = top or 0
-            rows = with_surrogate_keys(
-                rows,
-                contract.surrogate.name,
-                contract.natural_order,
-                start=start,
-                unique=bool(contract.unique),
-            )
-            rows = rows.select(*[f.name for f in contract.fields])
+            rows = self._numbered(rows, contract, mode)
         try:
             rows.write.mode(mode).insertInto(self.qualified(table), overwrite=mode == "overwrite")
         except Exception as error:
@@ -131,3 +127,14 @@ class CatalogSink:
 
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.qualified(table))
+
+    def _numbered(self, rows: DataFrame, contract: Table, mode: str) -> DataFrame:
+        key = contract.surrogate.name
+        start = 0
+        if mode == "append":
+            start = self.read(contract.name).agg(F.max(key)).first()[0] or 0
+        if not self.dense_ids:
+            return with_sparse_keys(rows, key, start)
+        return with_surrogate_keys(
+            rows, key, contract.natural_order, start=start, unique=bool(contract.unique)
+        )

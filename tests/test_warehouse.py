@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import date
 
 import pytest
@@ -178,6 +179,10 @@ def test_repeated_loads(loaded):
     assert sink.read("fact_price_history").count() == 3
     jobs.load_subsidiaries(zone, sink)  # appends, ids go on
     assert sorted(r.sub_id for r in sink.read("fact_subsidiary").collect()) == [1, 2, 3, 4]
+    sparse = replace(sink, dense_ids=False)
+    jobs.load_subsidiaries(zone, sparse)
+    ids = [r.sub_id for r in sink.read("fact_subsidiary").collect()]
+    assert len(ids) == len(set(ids)) == 6 and min(sorted(ids)[4:]) > 4
     sink.initialise()
     assert sink.read("fact_subsidiary").count() == 0
 
