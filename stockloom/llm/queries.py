@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import simhash
+from stockloom.llm import decontaminate, mixing, sharding, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +19,29 @@ def op9_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(docs, items)
+
+
+def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mix = mixing.mixed(mixing.sized(docs).drop("text"))
+    position = mixing.due(F.col("offset") / F.col("target"), F.col("tilt"))
+    wanted = mix.withColumn("position", F.when(F.col("taken") > 0, F.least(position, F.lit(1.0))))
+    return wanted.select("doc_id", "size", "source_size", "target", "taken", "position").orderBy(
+        F.col("position").asc_nulls_last(), "doc_id"
+    )
+
+
+def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(_table(spark, sf_dir, "documents"), 40)
+
+
 QUERIES = {
+    "op1_benchmark_templates": op1_benchmark_templates,
+    "op6_curriculum_mix": op6_curriculum_mix,
+    "op10_jump_hash_shards": op10_jump_hash_shards,
     "op9_simhash_near_copies": op9_simhash_near_copies,
 }
 

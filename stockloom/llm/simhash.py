@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from stockloom.llm.components import components
+from stockloom.llm.rows import ROW, with_row
 from stockloom.llm.words import word_blocks
 from stockloom.sources.scratch import stage
 
@@ -144,13 +145,10 @@ def drop_near_copies(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     Among rows with that id one stays, picked by a 128-bit hash of all columns, and of rows
     that are equal throughout one copy. A component without any id keeps one row as well.
     """
-    plain = docs.withColumns(
-        {"__row": F.xxhash64(*docs.columns), "__row2": F.xxhash64(F.lit(1), *docs.columns)}
-    )
-    seen = grouped(plain.select("doc_id", "text", "__row", "__row2"), distance)
+    plain = with_row(docs)
+    seen = grouped(plain.select("doc_id", "text", *ROW), distance)
     best = seen.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row", "__row2")).alias("best")
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *ROW)).alias("best")
     )
-    ids = stage(best.select("best.__row", "best.__row2"), "simhash-kept")
-    rows = ["__row", "__row2"]
-    return plain.join(ids, rows).dropDuplicates(rows).select(*docs.columns)
+    ids = stage(best.select(*(f"best.{c}" for c in ROW)), "simhash-kept")
+    return plain.join(ids, ROW).dropDuplicates(ROW).select(*docs.columns)
