@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import decontaminate, mixing, sharding, simhash
+from stockloom.llm import decontaminate, exact, langid, mixing, sharding, simhash
+from stockloom.llm.oracles import ORACLES
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,17 @@ def op1_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, items)
 
 
+def op4_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id", 5, 0))
+    model = langid.train(docs.where("not held_out"))
+    found = langid.identified(docs.select("doc_id", "held_out", "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op5_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mix = mixing.mixed(mixing.sized(docs).drop("text"))
@@ -40,9 +52,11 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_templates": op1_benchmark_templates,
+    "op4_language_bayes": op4_language_bayes,
+    "op5_exact_duplicates": op5_exact_duplicates,
     "op6_curriculum_mix": op6_curriculum_mix,
     "op10_jump_hash_shards": op10_jump_hash_shards,
     "op9_simhash_near_copies": op9_simhash_near_copies,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
