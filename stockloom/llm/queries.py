@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import decontaminate, exact, langid, mixing, sharding, simhash
+from stockloom.llm import decontaminate, exact, langid, mixing, sharding, simhash, toxicity
 from stockloom.llm.oracles import ORACLES
 
 
@@ -25,6 +25,15 @@ def op1_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, items)
 
 
+def op3_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", langid.held_out("doc_id", 4, 2))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.where("not held_out").join(labels, "doc_id"))
+    found = toxicity.scored(docs, model)
+    return found.select("doc_id", "held_out", "score", toxicity.predicted(F.col("score")).alias("predicted"))
+
+
 def op4_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out("doc_id", 5, 0))
     model = langid.train(docs.where("not held_out"))
@@ -52,6 +61,7 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_templates": op1_benchmark_templates,
+    "op3_toxicity_kneser_ney": op3_toxicity_kneser_ney,
     "op4_language_bayes": op4_language_bayes,
     "op5_exact_duplicates": op5_exact_duplicates,
     "op6_curriculum_mix": op6_curriculum_mix,
