@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import decontaminate, exact, langid, mixing, sharding, simhash, toxicity
+from stockloom.llm import decontaminate, exact, langid, mixing, pii, sharding, simhash, toxicity
 from stockloom.llm.oracles import ORACLES
 
 
@@ -55,6 +55,13 @@ def op6_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.pseudonymised(docs, key="a key that only tests use")
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("pii", lambda p: p["kind"]))), ",")
+    return found.select("doc_id", F.size("pii").alias("values"), kinds.alias("kinds"), "text")
+
+
 def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(_table(spark, sf_dir, "documents"), 40)
 
@@ -65,6 +72,7 @@ QUERIES = {
     "op4_language_bayes": op4_language_bayes,
     "op5_exact_duplicates": op5_exact_duplicates,
     "op6_curriculum_mix": op6_curriculum_mix,
+    "op7_feistel_pseudonyms": op7_feistel_pseudonyms,
     "op10_jump_hash_shards": op10_jump_hash_shards,
     "op9_simhash_near_copies": op9_simhash_near_copies,
 }
