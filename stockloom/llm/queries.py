@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import decontaminate, exact, langid, mixing, pii, sharding, simhash, toxicity
+from stockloom.llm import chat, decontaminate, exact, langid, mixing, pii, sharding, simhash, toxicity
 from stockloom.llm.oracles import ORACLES
 
 
@@ -13,6 +13,34 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def raw_transcripts(conversations: DataFrame) -> DataFrame:
+    """conv_id, seq, text, role: each turn written down in one of the usual ways, some without a speaker.
+
+    The way follows from a checksum of the turn's ids, so reruns agree.
+    """
+    names = {"system": ("System", "Instructions"), "user": ("User", "Human"), "assistant": ("Assistant", "AI")}
+    way = F.crc32(F.concat_ws(":", "conv_id", "turn").cast("binary")) % 8
+    name = F.lit("User")
+    for role, (first, second) in names.items():
+        name = F.when(F.col("role") == role, F.when(way % 2 == 0, first).otherwise(second)).otherwise(name)
+    text = F.coalesce("text", F.lit(""))
+    piece = (
+        F.when(way < 3, F.concat(name, F.lit(": "), text))
+        .when(way == 3, F.concat(F.lit("### "), name, F.lit("\n"), text))
+        .when(way == 4, F.concat(F.lit("["), name, F.lit("] "), text))
+        .when(way == 5, F.concat(F.lit("<|"), F.lower(name), F.lit("|>\n"), text))
+        .otherwise(F.concat(F.lit("\n"), text))
+    )
+    return conversations.select("conv_id", F.col("turn").alias("seq"), piece.alias("text"), "role")
+
+
+def op8_chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = raw_transcripts(_table(spark, sf_dir, "conversations"))
+    model = chat.train(pieces.where(~langid.held_out("conv_id", 5, 0)))
+    found = chat.turns(pieces.drop("role"), model)
+    return found.withColumn("held_out", langid.held_out("conv_id", 5, 0))
+
+
 def op9_simhash_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.grouped(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
@@ -74,6 +102,7 @@ QUERIES = {
     "op6_curriculum_mix": op6_curriculum_mix,
     "op7_feistel_pseudonyms": op7_feistel_pseudonyms,
     "op10_jump_hash_shards": op10_jump_hash_shards,
+    "op8_chat_roles": op8_chat_roles,
     "op9_simhash_near_copies": op9_simhash_near_copies,
 }
 
