@@ -116,3 +116,12 @@ def positions(mix: DataFrame) -> DataFrame:
         .drop("times", "round")
         .orderBy("position", F.col("doc_id"))
     )
+
+
+def in_training_order(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as they are read, in the order of training, with the columns of ``docs``."""
+    named = ["doc_id", "source", "text"]
+    others = [c for c in docs.columns if c not in named]
+    rest = [F.struct(*others).alias("__rest")] if others else []
+    mix = mixed(sized(docs.select(*named, *rest)))
+    return positions(mix).select(*(F.col(f"__rest.{c}") if c in others else F.col(c) for c in docs.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import chat, decontaminate, exact, langid, mixing, pii, sharding, simhash, toxicity
+from stockloom.llm import chat, decontaminate, exact, langid, line_dedup, mixing, pii, sharding, simhash, toxicity
 from stockloom.llm.oracles import ORACLES
 
 
@@ -53,6 +53,10 @@ def op1_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, items)
 
 
+def op2_line_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", langid.held_out("doc_id", 4, 2))
@@ -96,6 +100,7 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_benchmark_templates": op1_benchmark_templates,
+    "op2_line_minhash": op2_line_minhash,
     "op3_toxicity_kneser_ney": op3_toxicity_kneser_ney,
     "op4_language_bayes": op4_language_bayes,
     "op5_exact_duplicates": op5_exact_duplicates,
