@@ -22,7 +22,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 GRAMS = 3
 SLOTS = 1 << 16
-SMOOTHING = 0.5
+SMOOTHING = 0.1
 UNKNOWN = "und"
 REJECT = 0.5  #: documents with a lower score are rejected as well
 BLOCK = 1 << 18  #: characters

@@ -27,7 +27,7 @@ ROUNDS = 8
 #: Forms of the values that are looked for.
 FORMS = {
     "email": r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "phone": r"(?<![\w+-])(?:\+1[ .-]?)?(?:\([1-9]\d{2}\) ?|[1-9]\d{2}[ .-])[1-9]\d{2}[ .-]\d{4}(?![\w-])",
+    "phone": r"(?<![\w+-])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
     "isodate": r"(?<![\w/-])(?:19|20)\d{2}-\d{2}-\d{2}(?![\w-])",
@@ -133,9 +133,9 @@ def _phone(match: Column, digits: Column, key: str) -> Column:
     lead = F.when(match.startswith("+"), "1").otherwise("")
     ten = F.substr(digits, F.length(lead) + 1, F.lit(10))
     moved = feistel(
-        _number(ten, 1, 3) - 100, _number(ten, 4, 7) - 1_000_000, F.lit(900), F.lit(9_000_000), F.lit("phone"), key
+        _number(ten, 1, 3), _number(ten, 4, 7), F.lit(1000), F.lit(10_000_000), F.lit("phone"), key
     )
-    new = _let(moved, lambda m: F.concat(lead, (m["left"] + 100).cast("string"), (m["right"] + 1_000_000).cast("string")))
+    new = _let(moved, lambda m: F.concat(lead, _padded(m["left"], 3), _padded(m["right"], 7)))
     return _refilled(match, new)
 
 

@@ -24,7 +24,7 @@ class Tokens(NamedTuple):
     hashes: np.ndarray
     number: np.ndarray  #: digits, dots and commas only
     measure: np.ndarray  #: a digit first, letters behind
-    capital: np.ndarray  #: the first letter is a capital
+    capital: np.ndarray  #: the first letter is a capital, the second isn't
     opening: np.ndarray  #: first of a text or sentence
 
 
@@ -72,7 +72,7 @@ def tokens(data: bytes, lowered: bytes, opening: bool = True) -> Tokens:
     stops = np.concatenate(([0], np.cumsum(_END[raw] & ~point)))
     first = raw[starts]
     following = raw[np.minimum(starts + 1, len(raw) - 1)] if len(raw) else raw
-    capital = _UPPER[first] | (
+    capital = (_UPPER[first] & ~_UPPER[following]) | (
         ((first == 0xC3) & (following >= 0x80) & (following <= 0x9E))
         | ((first == 0xD0) & (following >= 0x80) & (following <= 0xAF))
     )
