@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stockloom.llm import chat, decontaminate, exact, langid, line_dedup, mixing, pii, sharding, simhash, toxicity
 from stockloom.llm.oracles import ORACLES
+from stockloom.sources.scratch import stage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,9 +62,11 @@ def op3_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", langid.held_out("doc_id", 4, 2))
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.train(docs.where("not held_out").join(labels, "doc_id"))
-    found = toxicity.scored(docs, model)
-    return found.select("doc_id", "held_out", "score", toxicity.predicted(F.col("score")).alias("predicted"))
+    gain = toxicity.train(toxicity.labelled(docs.where("not held_out"), labels))
+    found = stage(toxicity.compared(docs, gain), "toxicity")
+    curve = toxicity.fitted(found.where("not held_out").join(labels, "doc_id"))
+    score = toxicity.score(F.col("difference"), curve)
+    return found.select("doc_id", "held_out", score.alias("score"), toxicity.predicted(score).alias("predicted"))
 
 
 def op4_language_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
