@@ -29,14 +29,15 @@ def find_header(df: DataFrame, names: Iterable[str]) -> str | None:
 def amount(df: DataFrame, header: str, default: float | None = None) -> Column:
     """Numeric value of an optional column; a literal where the column is absent.
 
-    Text columns are read as doubles, like an inferred scan would have typed them.
+    Text columns are read as wide decimals, so that long amounts keep every digit; exponents
+    are understood as well.
     """
     found = find_header(df, [header])
     if found is None:
         return F.lit(default)
     value = field_ref(found)
     if isinstance(df.schema[found].dataType, T.StringType):
-        value = value.try_cast("double")
+        value = value.try_cast("decimal(38,6)")
     return value
 
 

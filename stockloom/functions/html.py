@@ -126,39 +126,63 @@ def _extend(pieces: list[str], data: str, same_piece: bool) -> None:
         pieces.append(data)
 
 
+class _Table:
+    """A table that is being read: its open row and cell."""
+
+    __slots__ = ("number", "css", "row", "cell")
+
+    def __init__(self, number: int, css: str):
+        self.number, self.css = number, css
+        self.row: dict | None = None
+        self.cell: _Element | None = None
+
+
 class _Rows(_Reader):
-    """Rows of data cells; an unclosed cell or row ends where the next one starts."""
+    """Rows of data cells; an unclosed cell or row ends where the next one of its table starts.
+
+    A table inside a cell has rows of its own; its text belongs to the outer cell, too,
+    which goes on behind it.
+    """
 
     def __init__(self):
         super().__init__()
         self.rows: list[dict] = []
         self.tables = 0
-        self.nest: list[tuple[int, str]] = []
+        self.nest: list[_Table] = []
         self.divs: list[str | None] = []
 
     def begin(self, tag, attrs):
         if tag == "div":
             self.divs.append(attrs.get("id"))
         elif tag == "table":
-            self.nest.append((self.tables, attrs.get("class") or ""))
+            self.nest.append(_Table(self.tables, attrs.get("class") or ""))
             self.tables += 1
         elif tag == "tr" and self.nest:
-            self.open.clear()
-            number, css = self.nest[-1]
-            sections = [d for d in self.divs if d]
-            self.rows.append(
-                {"sections": sections, "table_no": number, "table_class": css, "cells": []}
-            )
+            self.close_cell()
+            table = self.nest[-1]
+            table.row = {
+                "sections": [d for d in self.divs if d],
+                "table_no": table.number,
+                "table_class": table.css,
+                "cells": [],
+            }
+            self.rows.append(table.row)
         elif tag in ("td", "th"):
-            self.open.clear()
-            if tag == "td" and self.nest and self.rows:
+            self.close_cell()
+            if tag == "td" and self.nest and self.nest[-1].row is not None:
                 cell = _Element(tag, attrs.get("class") or "")
+                self.nest[-1].cell = cell
                 self.open.append(cell)
-                self.rows[-1]["cells"].append(cell)
+                self.nest[-1].row["cells"].append(cell)
+
+    def close_cell(self):
+        if self.nest and self.nest[-1].cell is not None:
+            self.open.remove(self.nest[-1].cell)
+            self.nest[-1].cell = None
 
     def finish(self, tag):
         if tag in ("td", "th", "tr", "table"):
-            self.open.clear()
+            self.close_cell()
         if tag == "table" and self.nest:
             self.nest.pop()
         elif tag == "div" and self.divs:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stockloom import model
 from stockloom.functions import html as markup
 from stockloom.functions.columns import all_digits, four_digits, usable_key
-from stockloom.operators.carry import carry_forward, group_label
+from stockloom.operators.carry import group_label
 from stockloom.operators.universe import filter_universe
 
 # Labels, section ids and classes of the source pages.
@@ -44,20 +44,34 @@ PAYLOAD = (
 
 
 def industry_rows(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """(group, code, name) of a classification page, group label carried down."""
-    rows = pages.select(page_id, F.posexplode(markup.table_rows(F.col(html))).alias("pos", "row"))
-    cells = F.col("row.cells")
-    wide = rows.where(F.size(cells) >= 6).select(
-        page_id,
-        "pos",
-        group_label(cells[0]["text"], GROUP_STOP_WORDS).alias("label"),
-        cells[3]["text"].alias("industry_code"),
-        cells[5]["text"].alias("industry_name"),
-    )
-    # The rows of a page come out of one record, which bounds the window.
-    carried = carry_forward(wide, "label", "industry_group", [page_id], "pos", chunk_rows=None)
-    return carried.where(all_digits(F.col("industry_code"))).select(
-        page_id, "industry_group", "industry_code", "industry_name"
+    """(group, code, name) of a classification page, group label carried down.
+
+    The label is carried inside the record, so two records with one id don't mix.
+    """
+    wide = F.filter(markup.table_rows(F.col(html)), lambda row: F.size(row["cells"]) >= 6)
+    labelled = F.transform(
+        wide,
+        lambda row: F.struct(
+            group_label(row["cells"][0]["text"], GROUP_STOP_WORDS).alias("label"),
+            row["cells"][3]["text"].alias("code"),
+            row["cells"][5]["text"].alias("name"),
+        ),
+    )
+    # places of the labels in a page; the last one at or before a row is the row's
+    marks = F.filter(
+        F.transform(F.col("rows"), lambda row, i: F.when(row["label"].isNotNull(), i)), lambda i: i.isNotNull()
+    )
+    return (
+        pages.select(page_id, labelled.alias("rows"))
+        .select(page_id, "rows", marks.alias("marks"))
+        .select(page_id, "rows", "marks", F.posexplode("rows").alias("pos", "row"))
+        .where(all_digits(F.col("row.code")))
+        .select(
+            page_id,
+            F.get("rows", F.array_max(F.filter("marks", lambda i: i <= F.col("pos"))))["label"].alias("industry_group"),
+            F.col("row.code").alias("industry_code"),
+            F.col("row.name").alias("industry_name"),
+        )
     )
 
 

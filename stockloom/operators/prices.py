@@ -44,15 +44,13 @@ def quarter_end_price(price_fact: DataFrame) -> DataFrame:
     """Close and capitalisation of the last trading day of each quarter.
 
     An aggregate rather than a ranked window: every task reduces its rows to one per
-    company and quarter before the shuffle, by hashing, and nothing is sorted. Days are
-    unique per company in a sound price fact; of clashing rows one is taken.
+    company and quarter before the shuffle. Days are unique per company in a sound price
+    fact; of clashing rows the one with the highest close, then capitalisation, is taken.
     """
-    last_day = F.col("trade_date")
+    last = F.max(F.struct("trade_date", "close", "market_cap"))
     return (
-        with_quarter(price_fact.where(last_day.isNotNull()))
+        with_quarter(price_fact.where(F.col("trade_date").isNotNull()))
         .groupBy(*KEYS)
-        .agg(
-            F.max_by("close", last_day).alias("close_price"),
-            F.max_by("market_cap", last_day).alias("market_cap"),
-        )
+        .agg(last.alias("last"))
+        .select(*KEYS, F.col("last.close").alias("close_price"), "last.market_cap")
     )

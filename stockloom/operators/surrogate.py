@@ -51,7 +51,8 @@ def with_surrogate_keys(
         .agg(F.count("*").alias("__rows"))
         .select(_PART, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__offset"))
     )
-    numbered = staged.join(offsets, _PART)
+    # One row per partition of the sort: a bounded side, whatever size the planner assumes.
+    numbered = staged.join(F.broadcast(offsets), _PART)
     key = F.col("__offset") + F.col(_SLOT) + F.lit(start + 1)
     return numbered.select(key.cast("long").alias(name), *df.columns)
 

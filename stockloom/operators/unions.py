@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 
 def union_tagged(
-    sources: Mapping[str, DataFrame | None], tag: str, skip_empty: bool = True
+    sources: Mapping[str, DataFrame | None], tag: str, skip_empty: bool = False
 ) -> DataFrame:
     """Stack tables with differing columns and tag each row with its source.
 
-    Columns a source lacks are null. Absent sources are skipped, and so are empty ones,
-    unless ``skip_empty`` is off: an empty table would only add columns of nulls. The
-    test fetches one row of each source, so pass sources that shuffle staged.
+    Columns a source lacks are null. Absent sources are skipped. With ``skip_empty`` empty ones
+    are, too, and add no columns; the test fetches one row of each source, so pass sources
+    that shuffle staged.
     """
     kept = [
         df.withColumn(tag, F.lit(name))
@@ -24,7 +24,7 @@ def union_tagged(
         if df is not None and not (skip_empty and df.isEmpty())
     ]
     if not kept:
-        raise ValueError("no source holds any row")
+        raise ValueError("there is no source")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kept)
 
 

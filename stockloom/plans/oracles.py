@@ -332,7 +332,7 @@ SELECT * FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHER
 WITH listed AS (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY'),
 kept AS (
   SELECT o_orderkey, o_custkey, o_orderkey % 100 + 1 AS page FROM orders
-  WHERE o_custkey IN (SELECT c_custkey FROM listed) AND o_orderkey % 100 + 1 <= 84
+  WHERE o_custkey IN (SELECT c_custkey FROM listed)
 ),
 pages AS (
   SELECT page, coalesce(sum(n) OVER (ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before

@@ -41,8 +41,8 @@ class JdbcSink:
 
     ``overwrite`` truncates instead of dropping, so keys, ids and indexes of the
     target table survive. ``max_connections`` is the number of writing tasks, each with
-    its own connection and transaction; the rows are spread over them evenly, while the
-    plan before the write keeps its parallelism. A database cannot tell a repeated task
+    its own connection and transaction; the rows are spread over them evenly, which shuffles
+    the table once, while the plan before the write keeps its parallelism. A database cannot tell a repeated task
     from a new one, so rely on the unique keys of the target table, or load into a
     table of your own first, where rows must not repeat after a lost executor.
     """
@@ -84,16 +84,16 @@ class JdbcSink:
 class CatalogSink:
     """Parquet tables in a Spark database, with surrogate ids assigned on load.
 
-    Dense ids run in the order of the natural key, for which the rows are sorted and
-    written an extra time; files then also hold narrow key ranges, so lookups by company
-    skip most of them. With ``dense_ids`` off, ids are unique but have gaps, as those of a
-    database sequence may, and rows are written once as they come.
+    Ids are unique but have gaps, as those of a database sequence may, and rows are written
+    once as they come. With ``dense_ids`` they run without gaps in the order of the natural
+    key, for which the rows are sorted and written an extra time; files then also hold
+    narrow key ranges, so lookups by company skip most of them.
     """
 
     spark: SparkSession
     database: str
     location: str
-    dense_ids: bool = True
+    dense_ids: bool = False
 
     def qualified(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
