@@ -73,6 +73,65 @@ def check_decimal_range(df: DataFrame, table: Table) -> DataFrame:
     )
 
 
+def row_faults(df: DataFrame, table: Table) -> Column:
+    """What the contract refuses in a row: an array of ``column: reason``, empty for a sound row.
+
+    Looks at the values as they come, before they are cast to the contract's types.
+    """
+    faults = []
+    for f in table.fields:
+        if f.surrogate:
+            continue
+        reason = None
+        if f.name in df.columns:
+            value = field_ref(f.name)
+            exact = isinstance(f.dtype, T.DecimalType)
+            misfit = value.isNotNull() & value.try_cast(f.dtype).isNull()
+            reason = F.when(misfit, "out of range" if exact else "unreadable")
+            if f.max_length:
+                reason = F.coalesce(reason, F.when(F.length(value) > f.max_length, "too long"))
+        if f.required and f.default is None:
+            absent = field_ref(f.name).isNull() if f.name in df.columns else F.lit(True)
+            missing = F.when(absent, "missing")
+            reason = missing if reason is None else F.coalesce(missing, reason)
+        if reason is not None:
+            faults.append(F.concat(F.lit(f"{f.name}: "), reason))
+    return F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
+
+
+def with_faults(df: DataFrame, table: Table) -> DataFrame:
+    return df.withColumn("faults", row_faults(df, table))
+
+
+def rejected(df: DataFrame, table: Table) -> DataFrame:
+    """The rows that the contract refuses: table_name, faults, record (JSON)."""
+    return (
+        with_faults(df, table)
+        .where(F.size("faults") > 0)
+        .select(
+            F.lit(table.name).alias("table_name"),
+            F.array_join("faults", "; ").alias("faults"),
+            F.to_json(F.struct(*map(field_ref, df.columns))).alias("record"),
+        )
+    )
+
+
+def unreadable_cells(text: DataFrame, schema: T.StructType, name: str) -> DataFrame:
+    """(table_name, column_name, violations > 0): text cells that don't fit the type of their column."""
+    typed = [f for f in schema if f.name in text.columns and not isinstance(f.dataType, T.StringType)]
+    if not typed:
+        return text.sparkSession.createDataFrame([], "table_name string, column_name string, violations long")
+    bad = {
+        f.name: (F.trim(field_ref(f.name)) != "") & field_ref(f.name).try_cast(f.dataType).isNull() for f in typed
+    }
+    counts = text.agg(*[F.count_if(b).alias(f"v{i}") for i, b in enumerate(bad.values())])
+    lines = [
+        F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col(f"v{i}").alias("violations"))
+        for i, c in enumerate(bad)
+    ]
+    return counts.select(F.inline(F.array(*lines))).where("violations > 0")
+
+
 def duplicate_keys(df: DataFrame, keys: Iterable[str]) -> DataFrame:
     """Key values that occur more than once, with their number of rows.
 
@@ -153,6 +212,10 @@ def warehouse_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
         parts.append(tagged(check_not_null(df, table), "not_null", "column_name", "violations"))
         if any(f.max_length for f in table.fields):
             parts.append(tagged(check_lengths(df, table), "length", "column_name", "violations"))
+        if any(isinstance(f.dtype, T.DecimalType) for f in table.fields):
+            parts.append(
+                tagged(check_decimal_range(df, table), "decimal", "column_name", "violations")
+            )
         if table.keys():
             parts.append(
                 tagged(check_unique_keys(df, table), "unique", "key_columns", "surplus_rows")

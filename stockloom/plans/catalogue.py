@@ -18,7 +18,9 @@ from stockloom.operators.surrogate import with_surrogate_keys
 from stockloom.plans import jobs, shapes
 from stockloom.plans.shapes import table
 from stockloom.sources.landing import LandingZone, scan_csv
+from stockloom.sources.raw import scan_landed
 from stockloom.sources.scratch import scratch_path
+from stockloom.sources.warehouse import CatalogSink
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -412,13 +414,83 @@ def landing_roundtrip_json(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "json")
 
 
+def _landed_texts(spark: SparkSession, sf_dir: str, file_format: str) -> DataFrame:
+    """Turns with line breaks and outer blanks, some empty or null, and times to the microsecond."""
+    key = F.col("conv_id") * 1000 + F.col("turn")
+    text = F.when(key % 7 == 0, "").when(key % 11 != 0, F.concat(F.lit(" "), "text", F.lit("\n ")))
+    turns = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", text.alias("text"), F.timestamp_micros(key * 1_234_567).cast("timestamp_ntz").alias("at")
+    )
+    zone = LandingZone(spark, scratch_path(spark, f"landing-{file_format}"))
+    zone.save_dataframe(turns, "raw/turns", "turns", file_format)
+    return zone.read_dataframe("raw/turns", "turns", file_format, turns.schema, multiline=True)
+
+
+@query
+def landing_roundtrip_csv_text(spark, sf_dir):
+    return _landed_texts(spark, sf_dir, "csv")
+
+
+@query
+def landing_roundtrip_json_text(spark, sf_dir):
+    return _landed_texts(spark, sf_dir, "json")
+
+
+@query
+def landing_roundtrip_partition_keys(spark, sf_dir):
+    code = F.lpad(F.col("s_nationkey").cast("string"), 4, "0")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", code.alias("nation_code"))
+    zone = LandingZone(spark, scratch_path(spark, "landing-keys"))
+    zone.save_dataframe(suppliers, "raw/suppliers", partition_cols=["nation_code"])
+    return zone.read_dataframe("raw/suppliers")
+
+
+@query
+def landed_enterprise_profile(spark, sf_dir):
+    """Profiles of pages, landed and read again: equal to those extracted."""
+    zone = LandingZone(spark, scratch_path(spark, "landing-pages"))
+    code = F.concat_ws("-", "conv_id", "turn").alias("code")
+    jobs.land_enterprises(zone, shapes.profile_pages(spark, sf_dir).select(code, "html"))
+    return scan_landed(zone, "enterprise")
+
+
+@query
+def load_rejects(spark, sf_dir):
+    """Rows that the contract refuses, by what is wrong with them."""
+    bad = quality.rejected(shapes.ownership_with_faults(spark, sf_dir), FACT_OWNERSHIP)
+    return bad.groupBy("table_name", "faults").agg(F.count("*").alias("rejected"))
+
+
+_LOADS: dict[tuple[str, str], CatalogSink] = {}
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> CatalogSink:
+    """A warehouse loaded from landed copies of the shapes, once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADS:
+        zone = LandingZone(spark, scratch_path(spark, "lake"))
+        jobs.land_shapes(zone, sf_dir)
+        sink = jobs.scratch_warehouse(spark)
+        jobs.load_warehouse(zone, sink)
+        _LOADS[key] = sink
+    return _LOADS[key]
+
+
+def _register_loaded(name: str) -> None:
+    """A query for a loaded table, without surrogate ids and load times."""
+    contract = model.WAREHOUSE[name]
+    columns = [f.name for f in contract.fields if not f.surrogate and f.default not in ("now", "today")]
+    QUERIES[f"loaded_{name}"] = lambda spark, sf_dir: _loaded(spark, sf_dir).read(name).select(*columns)
+
+
+for _name in model.WAREHOUSE:
+    _register_loaded(_name)
+
+
 @query
 def warehouse_tables(spark, sf_dir):
     """All load jobs on landed copies of the shapes; rows and columns of each table."""
-    zone = LandingZone(spark, scratch_path(spark, "lake"))
-    jobs.land_shapes(zone, sf_dir)
-    sink = jobs.scratch_warehouse(spark)
-    jobs.load_warehouse(zone, sink)
+    sink = _loaded(spark, sf_dir)
     lines = [
         sink.read(name).agg(F.count("*").alias("row_count")).select(
             F.lit(name).alias("table_name"),

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockloom import model
-from stockloom.operators import dimensions, extract, prices, ratios, statements
+from stockloom.operators import dimensions, extract, prices, quality, ratios, statements
 from stockloom.sources import raw
-from stockloom.sources.landing import LandingZone
-from stockloom.sources.scratch import scratch_path, stage
+from stockloom.sources.landing import LandingZone, conform
+from stockloom.sources.scratch import scratch_path, stage, staging
 from stockloom.sources.warehouse import CatalogSink, Sink
 
 MAP_PATH = "reference/industry_map.csv"
@@ -21,9 +23,9 @@ MAP_PATH = "reference/industry_map.csv"
 
 
 def land(zone: LandingZone, name: str, df: DataFrame) -> str | None:
-    """Land one raw table; staged first, so that the test for rows runs the plan once."""
+    """Land one raw table. Rows of pages and replies come without a shuffle, so testing for one is cheap."""
     folder, _, file_name = model.LANDED_PATHS[name].rpartition("/")
-    return zone.save_dataframe(stage(df, name), folder, file_name.removesuffix(".csv"), "csv")
+    return zone.save_dataframe(df, folder, file_name.removesuffix(".csv"), "csv")
 
 
 def land_industries(zone: LandingZone, pages: DataFrame) -> str | None:
@@ -43,54 +45,120 @@ def land_subsidiaries(zone: LandingZone, payloads: DataFrame) -> str | None:
 # --- landed files → tables ------------------------------------------------------
 
 
-def load_industry(zone: LandingZone, sink: Sink) -> None:
-    sink.write(raw.read_industries(zone), "dim_industry")
+@dataclass
+class LoadReport:
+    """What a load did: rows written and rejected by table, cells that weren't readable, broken keys."""
 
+    rows: dict[str, int] = field(default_factory=dict)
+    rejects: dict[str, int] = field(default_factory=dict)
+    unreadable: dict[tuple[str, str], int] = field(default_factory=dict)
+    violations: list[tuple] = field(default_factory=list)
 
-def load_enterprise(zone: LandingZone, sink: Sink, map_path: str | None = None) -> None:
+
+@dataclass
+class Load:
+    """One load: sound rows go to the sink, the others to ``rejects/<table>`` of the zone, with reasons."""
+
+    zone: LandingZone
+    sink: Sink
+    report: LoadReport = field(default_factory=LoadReport)
+
+    def write(self, df: DataFrame, table: str, mode: str = "append") -> None:
+        contract = model.WAREHOUSE[table]
+        checked = quality.with_faults(df, contract)
+        bad = quality.rejected(df, contract)
+        landed = self.zone.save_dataframe(bad, "rejects", table, "json")
+        if landed:
+            self.report.rejects[table] = self.report.rejects.get(table, 0) + landed.rows
+        good = checked.where(F.size("faults") == 0).drop("faults")
+        self.report.rows[table] = self.report.rows.get(table, 0) + self.sink.write(good, table, mode)
+
+    def scan(self, name: str, schema: T.StructType) -> DataFrame:
+        """A landed table by its types; cells that don't fit are null, and counted."""
+        text = stage(raw.scan_landed(self.zone, name), name)
+        for line in quality.unreadable_cells(text, schema, name).collect():
+            self.report.unreadable[name, line.column_name] = line.violations
+        return conform(text, schema)
+
+
+def _load(zone: LandingZone, sink: Sink | Load) -> Load:
+    return sink if isinstance(sink, Load) else Load(zone, sink)
+
+
+def load_industry(zone: LandingZone, sink: Sink | Load) -> LoadReport:
+    load = _load(zone, sink)
+    with staging(zone.spark):
+        load.write(stage(raw.read_industries(zone), "industry"), "dim_industry")
+    return load.report
+
+
+def load_enterprise(zone: LandingZone, sink: Sink | Load, map_path: str | None = None) -> LoadReport:
+    load = _load(zone, sink)
     industry_map = raw.read_industry_map(zone, map_path or zone.path(MAP_PATH))
-    enriched = dimensions.enterprise_enriched(raw.read_enterprises(zone), industry_map)
-    sink.write(enriched, "dim_enterprise")
+    with staging(zone.spark):
+        enriched = dimensions.enterprise_enriched(raw.read_enterprises(zone), industry_map)
+        load.write(stage(enriched, "enterprise"), "dim_enterprise")
+    return load.report
 
 
-def load_subsidiaries(zone: LandingZone, sink: Sink) -> None:
-    sink.write(dimensions.fact_subsidiary(raw.read_subsidiaries(zone)), "fact_subsidiary")
+def load_subsidiaries(zone: LandingZone, sink: Sink | Load) -> LoadReport:
+    load = _load(zone, sink)
+    with staging(zone.spark):
+        rows = load.scan("subsidiaries", model.RAW_SUBSIDIARY)
+        load.write(dimensions.fact_subsidiary(rows), "fact_subsidiary")
+    return load.report
 
 
 def load_leadership(
-    zone: LandingZone, sink: Sink, shareholders: DataFrame | None = None
-) -> None:
+    zone: LandingZone, sink: Sink | Load, shareholders: DataFrame | None = None
+) -> LoadReport:
     """Two tables from one scan, which is staged so that the text is parsed once."""
-    officers = stage(raw.read_leadership(zone), "leadership")
-    sink.write(dimensions.dim_holder(officers, shareholders), "dim_holder_info")
-    sink.write(dimensions.fact_ownership(officers, shareholders), "fact_ownership")
+    load = _load(zone, sink)
+    with staging(zone.spark):
+        officers = load.scan("leadership", model.RAW_LEADERSHIP)
+        load.write(stage(dimensions.dim_holder(officers, shareholders), "holders"), "dim_holder_info")
+        load.write(dimensions.fact_ownership(officers, shareholders), "fact_ownership")
+    return load.report
 
 
-def load_financials(zone: LandingZone, sink: Sink, merge_ratios: bool = False) -> None:
+def load_financials(zone: LandingZone, sink: Sink | Load, merge_ratios: bool = True) -> LoadReport:
     """Reports, prices, dates and ratios. Each landed file is parsed once, then staged.
 
-    ``merge_ratios`` joins both statements of a quarter before the ratios, which gives
-    one row per company and quarter.
+    ``merge_ratios`` joins both statements of a quarter before the ratios, which gives the one
+    row per company and quarter that the table's key asks for. Without it there are two.
+    """
+    load = _load(zone, sink)
+    with staging(zone.spark):
+        income, balance = raw.read_income(zone), raw.read_balance(zone)
+        quotes = stage(raw.read_prices(zone), "prices")
+
+        report = stage(statements.financial_report(income, balance), "report")
+        load.write(report, "fact_financial_report", "overwrite")
+        price_fact = stage(prices.price_history(quotes, balance), "price-fact")
+        load.write(price_fact, "fact_price_history", "overwrite")
+        load.write(stage(dimensions.dim_date(quotes), "dates"), "dim_date", "overwrite")
+        rows = statements.merged_report(report) if merge_ratios else report
+        ratio = stage(ratios.financial_ratio(rows, price_fact), "ratio")
+        load.write(ratio, "fact_financial_ratio", "overwrite")
+    return load.report
+
+
+def load_warehouse(zone: LandingZone, sink: Sink, merge_ratios: bool = True) -> LoadReport:
+    """All jobs; dimensions come before the facts that refer to them.
+
+    Where the sink can be read, keys and references of the loaded tables are checked as well.
     """
-    income, balance = raw.read_income(zone), raw.read_balance(zone)
-    quotes = stage(raw.read_prices(zone), "prices")
-
-    report = stage(statements.financial_report(income, balance), "report")
-    sink.write(report, "fact_financial_report", "overwrite")
-    price_fact = stage(prices.price_history(quotes, balance), "price-fact")
-    sink.write(price_fact, "fact_price_history", "overwrite")
-    sink.write(dimensions.dim_date(quotes), "dim_date", "overwrite")
-    rows = statements.merged_report(report) if merge_ratios else report
-    sink.write(ratios.financial_ratio(rows, price_fact), "fact_financial_ratio", "overwrite")
-
-
-def load_warehouse(zone: LandingZone, sink: Sink, merge_ratios: bool = False) -> None:
-    """All jobs; dimensions come before the facts that refer to them."""
-    load_industry(zone, sink)
-    load_enterprise(zone, sink)
-    load_subsidiaries(zone, sink)
-    load_leadership(zone, sink)
-    load_financials(zone, sink, merge_ratios)
+    load = Load(zone, sink)
+    load_industry(zone, load)
+    load_enterprise(zone, load)
+    load_subsidiaries(zone, load)
+    load_leadership(zone, load)
+    load_financials(zone, load, merge_ratios)
+    if isinstance(sink, CatalogSink):
+        tables = {name: sink.read(name) for name in model.WAREHOUSE}
+        found = quality.warehouse_violations(tables).collect()  # one row per broken check at most
+        load.report.violations = sorted(map(tuple, found))
+    return load.report
 
 
 # --- driver tables as landed files ----------------------------------------------

@@ -220,6 +220,12 @@ faults AS (
   FROM orders
 )"""
 
+_TURNS = """
+SELECT conv_id, turn,
+       CASE WHEN k % 7 = 0 THEN '' WHEN k % 11 <> 0 THEN ' ' || text || chr(10) || ' ' END AS text,
+       make_timestamp(k * 1234567) AS at
+FROM (SELECT *, conv_id * 1000 + turn AS k FROM conversations)"""
+
 _ANCHORS = """
 anchors AS (
   SELECT page_id, unnest(hrefs) AS href, unnest(texts) AS txt,
@@ -466,7 +472,7 @@ UNION ALL SELECT 'dim_enterprise', 10, (SELECT count(*) FROM supplier WHERE s_su
 UNION ALL SELECT 'dim_holder_info', 4, (SELECT count(DISTINCT stock_code || '_' || id) FROM leaders)
 UNION ALL SELECT 'dim_date', 7, (SELECT count(DISTINCT CAST(o_orderdate AS DATE)) FROM leaders JOIN orders ON quantity = o_orderkey)
 UNION ALL SELECT 'fact_price_history', 9, (SELECT count(*) FROM (SELECT DISTINCT stock_code, CAST(o_orderdate AS DATE) FROM leaders JOIN orders ON quantity = o_orderkey))
-UNION ALL SELECT 'fact_financial_ratio', 12, (SELECT sum(n)::BIGINT FROM statements)
+UNION ALL SELECT 'fact_financial_ratio', 12, (SELECT count(*) FROM statements)
 UNION ALL SELECT 'fact_financial_report', 14, (SELECT sum(n)::BIGINT FROM statements)
 UNION ALL SELECT 'fact_ownership', 7, (SELECT count(*) FROM leaders)
 UNION ALL SELECT 'fact_subsidiary', 7, (SELECT count(*) FROM part)""",
@@ -479,4 +485,36 @@ UNION ALL SELECT 'fact_subsidiary', 7, (SELECT count(*) FROM part)""",
 )
 SELECT 'dim_industry'""",
     ),
+    "landing_roundtrip_csv_text": _TURNS,
+    "landing_roundtrip_json_text": _TURNS,
+    "landing_roundtrip_partition_keys": """
+SELECT s_suppkey, s_name, lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS nation_code FROM supplier""",
+    "load_rejects": _with(
+        _FAULTS,
+        select="""
+SELECT 'fact_ownership' AS table_name, faults, count(*) AS rejected FROM (
+  SELECT concat_ws('; ',
+    CASE WHEN stock_code IS NULL THEN 'stock_code: missing' END,
+    CASE WHEN holder_id IS NULL THEN 'holder_id: missing' END,
+    CASE WHEN length("position") > 255 THEN 'position: too long' END,
+    CASE WHEN TRY_CAST(ownership_ratio AS DECIMAL(10,6)) IS NULL THEN 'ownership_ratio: out of range' END) AS faults
+  FROM faults)
+WHERE faults <> '' GROUP BY faults""",
+    ),
+}
+
+_LOADED = {
+    "dim_industry": ORACLES["scan_industry"],
+    "dim_enterprise": ORACLES["enterprise_enriched"],
+    "dim_holder_info": f"SELECT holder_id, full_name, is_organization FROM ({ORACLES['dim_holder']})",
+    "dim_date": ORACLES["dim_date"].replace(
+        "FROM orders)", "FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"
+    ),
+    "fact_price_history": ORACLES["fact_price_history"],
+    "fact_financial_ratio": ORACLES["fact_financial_ratio_merged"],
+    "fact_financial_report": ORACLES["fact_financial_report"],
+    "fact_ownership": ORACLES["fact_ownership"],
+    "fact_subsidiary": ORACLES["fact_subsidiary"],
 }
+ORACLES |= {f"loaded_{name}": sql for name, sql in _LOADED.items()}
+ORACLES["landed_enterprise_profile"] = ORACLES["enterprise_profile"]

@@ -5,11 +5,12 @@ The root may be any URI Spark can reach (object store, HDFS, local path).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +20,19 @@ FORMATS = ("parquet", "csv", "json")
 
 # Quotes are doubled inside quoted cells, as spreadsheet tools and pandas write them.
 _CSV = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
+# Times keep their microseconds, texts their outer blanks; an empty text is quoted, a null isn't.
+_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+_CSV_WRITER = {
+    **_CSV,
+    **_TIMES,
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "emptyValue": '""',
+}
+_EMPTY = "\u0001"  # stands for a quoted empty cell while a file is parsed
 
 
 def scan_csv(
@@ -32,15 +46,19 @@ def scan_csv(
     Only the header line is read up front. Every file must carry that header, or the
     scan fails: matching by position would silently mix columns. With a ``schema`` the
     known columns are cast (a bad cell becomes null) and missing ones are null;
-    unknown columns are never parsed. Without one, all columns are text.
+    unknown columns are never parsed. Without one, all columns are text. A quoted empty
+    cell is an empty text, an unquoted one is null.
 
     ``multiline`` allows line breaks inside quoted cells; such files cannot be split,
     so keep it off for big files.
     """
-    reader = spark.read.options(**_CSV).option("multiLine", multiline)
+    reader = spark.read.options(**_CSV, emptyValue=_EMPTY).option("multiLine", multiline)
     header = reader.csv(path).columns
     as_text = T.StructType([T.StructField(name, T.StringType()) for name in header])
-    rows = reader.option("enforceSchema", False).schema(as_text).csv(path)
+    cells = reader.option("enforceSchema", False).schema(as_text).csv(path)
+    rows = cells.select(
+        *[F.when(field_ref(c) != _EMPTY, field_ref(c)).when(field_ref(c) == _EMPTY, "").alias(c) for c in header]
+    )
     return rows if schema is None else conform(rows, schema)
 
 
@@ -72,23 +90,34 @@ class LandingZone:
         file_name: str | None = None,
         file_format: str = "parquet",
         partition_cols: Sequence[str] = (),
+        when_empty: str = "skip",
         **options: str,
-    ) -> str | None:
-        """Write a table and return its path; an absent or empty table is skipped.
+    ) -> Landed | None:
+        """Write a table and return its path, with the number of rows as ``rows``.
 
-        The test for rows fetches one row. A plan that shuffles would run up to its last
-        shuffle for it, so pass such a table staged.
+        An absent table is skipped: the result is null and an earlier load stays in place.
+        So is an empty one, unless ``when_empty`` says ``"fail"`` (raise) or ``"write"``
+        (replace what is there by an empty table). The test for rows fetches one row. A plan
+        that shuffles would run up to its last shuffle for it, so pass such a table staged.
 
         A partitioned parquet table lives in ``folder`` itself and only the partitions
-        present in ``df`` are replaced, so a repeated load gives the same files.
+        present in ``df`` are replaced, so a repeated load gives the same files. Its types are
+        written down beside it, so that text keys of partitions come back as text.
         """
+        if when_empty not in ("skip", "fail", "write"):
+            raise ValueError(f"when_empty {when_empty!r} is not one of skip, fail, write")
         file_format = file_format.lower()
         if file_format not in FORMATS:
             raise ValueError(f"format {file_format!r} is not one of {FORMATS}")
-        if df is None or df.isEmpty():
+        if df is None:
+            return None
+        if when_empty != "write" and df.isEmpty():
+            if when_empty == "fail":
+                raise ValueError(f"no rows for {folder}")
             return None
         name = file_name or default_name()
-        writer = df.write.mode("overwrite").options(**options)
+        counted = Observation()
+        writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         target = self.path(f"{folder}/{name}.{file_format}")
         if file_format == "parquet":
             writer = writer.option("compression", "snappy")
@@ -97,12 +126,14 @@ class LandingZone:
                 writer = writer.partitionBy(*partition_cols).option(
                     "partitionOverwriteMode", "dynamic"
                 )
-            writer.parquet(target)
+                types = self.spark.createDataFrame([(df.schema.json(),)], "value string")
+                types.coalesce(1).write.mode("overwrite").text(f"{target}.schema")
+            writer.options(**options).parquet(target)
         elif file_format == "csv":
-            writer.options(**_CSV).csv(target)
+            writer.options(**_CSV_WRITER | options).csv(target)
         else:
-            writer.option("ignoreNullFields", "false").json(target)
-        return target
+            writer.options(**{"ignoreNullFields": "false"} | _TIMES | options).json(target)
+        return Landed(target, counted.get["rows"])
 
     def read_dataframe(
         self,
@@ -110,8 +141,13 @@ class LandingZone:
         file_name: str | None = None,
         file_format: str = "parquet",
         schema: T.StructType | None = None,
+        multiline: bool = False,
     ) -> DataFrame:
-        """Read a landed table. Without ``file_name``: the partitioned folder."""
+        """Read a landed table. Without ``file_name``: the partitioned folder.
+
+        ``multiline`` reads line breaks inside the quoted cells of CSV files, which then
+        aren't split. JSON lines and parquet hold them in any case.
+        """
         file_format = file_format.lower()
         if file_format not in FORMATS:
             raise ValueError(f"format {file_format!r} is not one of {FORMATS}")
@@ -119,12 +155,36 @@ class LandingZone:
         path = self.path(relative)
         try:
             if file_format == "csv":
-                return scan_csv(self.spark, path, schema)
+                return scan_csv(self.spark, path, schema, multiline)
+            if schema is None and file_name is None:
+                schema = self._types(path)
             reader = self.spark.read if schema is None else self.spark.read.schema(schema)
-            return reader.format(file_format).load(path)
+            if file_format == "json":
+                reader = reader.options(**_TIMES)
+            found = reader.format(file_format).load(path)
+            return found if schema is None else found.select(*map(field_ref, schema.names))
         except AnalysisException as error:
             raise FileNotFoundError(f"cannot read {path}: {error}") from error
 
+    def _types(self, path: str) -> T.StructType | None:
+        """Types written down beside a partitioned table, if any."""
+        try:
+            held = self.spark.read.text(f"{path}.schema").first()
+        except AnalysisException:
+            return None
+        return T.StructType.fromJson(json.loads(held.value))
+
+
+class Landed(str):
+    """Path of a landed table, with its number of rows."""
+
+    rows: int
+
+    def __new__(cls, path: str, rows: int):
+        landed = super().__new__(cls, path)
+        landed.rows = rows
+        return landed
+
 
 def default_name(now: datetime | None = None) -> str:
     return "data_" + (now or datetime.now()).strftime("%Y%m%d_%H%M%S")

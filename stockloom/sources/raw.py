@@ -10,10 +10,16 @@ from stockloom.operators.normalize import normalize_prices, normalize_statement
 from stockloom.sources.landing import LandingZone, scan_csv
 from stockloom.sources.scratch import stage
 
+WITH_TEXTS = ("industries", "enterprise", "leadership", "subsidiaries")
+
 
 def scan_landed(zone: LandingZone, name: str, schema: T.StructType | None = None) -> DataFrame:
-    """Scan one of the raw tables named in ``model.LANDED_PATHS``."""
-    return scan_csv(zone.spark, zone.path(model.LANDED_PATHS[name]), schema)
+    """Scan one of the raw tables named in ``model.LANDED_PATHS``.
+
+    The texts of pages and replies may hold line breaks; these tables, with a few rows per
+    company, are read with them. Statements and prices hold none, and their files are split.
+    """
+    return scan_csv(zone.spark, zone.path(model.LANDED_PATHS[name]), schema, name in WITH_TEXTS)
 
 
 def read_industries(zone: LandingZone) -> DataFrame:

@@ -9,20 +9,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
 
 def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(_SETTING, None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="stockloom-"))
     return context.getCheckpointDir().rstrip("/")
 
@@ -40,5 +45,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if (open_stages := _staged.get()) is not None:
+        open_stages.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Delete what is staged inside the block when it ends; write its results before that."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(settings).delete(folder, True)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.functions.columns import field_ref
@@ -14,7 +14,8 @@ from stockloom.operators.surrogate import with_sparse_keys, with_surrogate_keys
 
 
 class Sink(Protocol):
-    def write(self, df: DataFrame, table: str, mode: str = "append") -> None: ...
+    def write(self, df: DataFrame, table: str, mode: str = "append") -> int:
+        """Write the rows and return their number."""
 
 
 def shape_for(df: DataFrame, table: Table, with_surrogate: bool = False) -> DataFrame:
@@ -59,7 +60,7 @@ class JdbcSink:
     def postgres_url(host: str, port: int, database: str) -> str:
         return f"jdbc:postgresql://{host}:{port}/{database}"
 
-    def write(self, df: DataFrame, table: str, mode: str = "append", **extra: str) -> None:
+    def write(self, df: DataFrame, table: str, mode: str = "append", **extra: str) -> int:
         contract = WAREHOUSE.get(table)
         rows = df if contract is None else shape_for(df, contract)
         settings = {
@@ -74,8 +75,10 @@ class JdbcSink:
             **extra,
         }
         try:
-            spread = rows.repartition(self.max_connections)
+            counted = Observation()
+            spread = rows.repartition(self.max_connections).observe(counted, F.count(F.lit(1)).alias("rows"))
             spread.write.format("jdbc").options(**settings).mode(mode).save()
+            return counted.get["rows"]
         except Exception as error:
             raise RuntimeError(f"writing table {table} failed: {error}") from error
 
@@ -115,13 +118,16 @@ class CatalogSink:
                 nothing = self.spark.createDataFrame([], table.schema())
                 nothing.write.insertInto(self.qualified(table.name), overwrite=True)
 
-    def write(self, df: DataFrame, table: str, mode: str = "append") -> None:
+    def write(self, df: DataFrame, table: str, mode: str = "append") -> int:
         contract = WAREHOUSE[table]
         rows = shape_for(df, contract)
         if contract.surrogate:
             rows = self._numbered(rows, contract, mode)
         try:
-            rows.write.mode(mode).insertInto(self.qualified(table), overwrite=mode == "overwrite")
+            counted = Observation()
+            spread = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+            spread.write.mode(mode).insertInto(self.qualified(table), overwrite=mode == "overwrite")
+            return counted.get["rows"]
         except Exception as error:
             raise RuntimeError(f"writing table {table} failed: {error}") from error
 

@@ -139,15 +139,34 @@ def test_take_until_found_stops_after_the_page_that_completes_the_list(spark):
     assert u.take_until_found(df, [], "code", "page").count() == 2
 
 
+def test_pages_beyond_the_first_ranges_are_read(spark, rows):
+    df = spark.createDataFrame([(p, c) for p in (83, 84, 85, 90, 4000) for c in "AB"], "page int, code string")
+    assert u.take_until_found(df, None, "code", "page").count() == 10
+    many = u.code_list(spark, ["A"] * 5)
+    assert rows(u.take_until_found(df, many, "code", "page"), "page", "code") == [(p, "A") for p in (4000, 83, 84, 85, 90)]
+    for n, last in ((1, 83), (3, 85), (4, 90)):
+        kept = u.take_until_found(df, u.code_list(spark, ["A"] * n), "code", "page").collect()
+        assert max(r.page for r in kept) == last and len(kept) == n
+    nothing = u.code_list(spark, [])
+    first = spark.createDataFrame([(1, "A"), (2, "A")], "page int, code string")
+    for empty in ([], nothing):
+        assert rows(u.take_until_found(first, empty, "code", "page"), "page", "code") == [(1, "A")]
+        assert u.filter_universe(first, empty, "code").count() == 2
+    plan = u.take_until_found(df, many, "code", "page")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+
+
 def test_union_of_differing_sources(spark, rows):
     a = spark.createDataFrame([(1, "x")], "id int, a string")
     b = spark.createDataFrame([(2, "y")], "id int, b string")
     nothing = spark.createDataFrame([], "id int, extra string")
-    out = union_tagged({"a": a, "none": None, "empty": nothing, "b": b}, "ticker")
+    sources = {"a": a, "none": None, "empty": nothing, "b": b}
+    assert set(union_tagged(sources, "ticker").columns) == {"id", "a", "b", "extra", "ticker"}
+    out = union_tagged(sources, "ticker", skip_empty=True)
     assert set(out.columns) == {"id", "a", "b", "ticker"}
     assert rows(out, "id", "a", "b", "ticker") == [(1, "x", None, "a"), (2, None, "y", "b")]
     with pytest.raises(ValueError):
-        union_tagged({"none": None, "empty": nothing}, "ticker")
+        union_tagged({"none": None, "empty": nothing}, "ticker", skip_empty=True)
 
 
 def test_tag_from_path(spark, tmp_path):

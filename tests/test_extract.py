@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from stockloom.operators import extract as x
 from stockloom.operators.universe import code_list
@@ -182,3 +183,30 @@ def test_subsidiary_rows(spark, rows):
     ]
     assert "contributed_capital" not in x.subsidiary_rows(payloads).columns
     assert x.subsidiary_rows(payloads.limit(0), contributed=True).count() == 0
+
+
+def test_tables_inside_cells(spark):
+    from stockloom.functions.html import table_rows
+
+    inner = "<table><tr><td>x</td><td>y</td></tr></table>"
+    for place in range(3):
+        cells = ["a", "b", "c"]
+        cells[place] = f"1{inner}2"
+        page = "<table><tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr><tr><td>z</td></tr></table>"
+        got = spark.createDataFrame([(page,)], "html string").select(table_rows(F.col("html")).alias("r")).first().r
+        texts = [[c.text for c in row.cells] for row in got]
+        cells[place] = "1xy2"
+        assert texts == [cells, ["x", "y"], ["z"]]
+
+
+def test_labels_stay_in_their_record(spark, rows):
+    def page(label):
+        row = "<tr><td>{}</td><td></td><td></td><td>{}</td><td></td><td>n</td></tr>"
+        return "<table>" + row.format(label, "0111") + row.format("", "0112") + "</table>"
+
+    pages = spark.createDataFrame([(1, page("A")), (1, page("")), (1, page("B"))], "page_id int, html string")
+    found = x.industry_rows(pages)
+    assert rows(found, "industry_group", "industry_code") == [
+        ("A", "0111"), ("A", "0112"), ("B", "0111"), ("B", "0112"), (None, "0111"), (None, "0112"),
+    ]
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()

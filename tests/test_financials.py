@@ -219,3 +219,23 @@ def test_unmerged_report_gives_two_rows_per_quarter(spark):
     assert apart.count() == 2 and apart.where(F.col("roe").isNotNull()).count() == 0
     merged = r.financial_ratio_merged(both, prices).collect()
     assert len(merged) == 1 and merged[0].roe == D("0.2500")
+
+
+def test_long_amounts_keep_every_digit(spark):
+    from decimal import Decimal
+
+    from stockloom.functions.columns import amount
+
+    df = spark.createDataFrame([("12345678901234567",), ("123456789012345678",), ("1.5E3",), ("x",)], "v string")
+    got = [r[0] for r in df.select(amount(df, "v").try_cast("decimal(20,2)")).collect()]
+    assert got == [Decimal("12345678901234567.00"), Decimal("123456789012345678.00"), Decimal("1500.00"), None]
+
+
+def test_clashing_days_give_one_quarter_end(spark):
+    from stockloom.operators.prices import quarter_end_price
+
+    data = [("A", "2024-03-29", 1.0, 5.0), ("A", "2024-03-29", 2.0, 4.0), ("A", "2024-03-28", 9.0, 9.0)]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "stock_code string, trade_date string, close double, market_cap double")
+        row = quarter_end_price(df.withColumn("trade_date", df.trade_date.cast("date"))).first()
+        assert (row.close_price, row.market_cap) == (2.0, 4.0)

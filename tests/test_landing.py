@@ -137,3 +137,35 @@ def test_object_store_settings():
     assert settings["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert settings["spark.hadoop.fs.s3a.committer.magic.enabled"] == "false"
     assert ObjectStore.root("lake") == "s3a://lake"
+
+
+TEXTS = ["plain", " outer blanks ", "two\nlines", "cr\rlf\r\nend", 'a "quoted", cell', "", None, '""', "\\n", "\t", "'"]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_texts_and_times_survive(spark, zone, rows, fmt):
+    from zoneinfo import ZoneInfo
+
+    at = datetime(2024, 1, 2, 3, 4, 5, 678901)
+    data = [(i, t, at, at.replace(tzinfo=ZoneInfo("UTC"))) for i, t in enumerate(TEXTS)]
+    df = spark.createDataFrame(data, "id int, text string, plain timestamp_ntz, at timestamp")
+    assert zone.save_dataframe(df, "raw/t", "t", fmt).rows == len(TEXTS)
+    assert rows(zone.read_dataframe("raw/t", "t", fmt, df.schema, multiline=True)) == rows(df)
+
+
+def test_text_keys_of_partitions_stay_text(spark, zone, rows):
+    df = spark.createDataFrame([("0620", 1), ("0125", 2)], "industry_code string, v int")
+    zone.save_dataframe(df, "facts", partition_cols=["industry_code"])
+    back = zone.read_dataframe("facts")
+    assert back.schema == df.schema and rows(back) == rows(df)
+
+
+def test_empty_tables_by_choice(spark, zone):
+    df = spark.createDataFrame([(1,)], "v int")
+    zone.save_dataframe(df, "raw", "x")
+    assert zone.save_dataframe(df.limit(0), "raw", "x") is None
+    assert zone.read_dataframe("raw", "x").count() == 1
+    with pytest.raises(ValueError, match="no rows"):
+        zone.save_dataframe(df.limit(0), "raw", "x", when_empty="fail")
+    assert zone.save_dataframe(df.limit(0), "raw", "x", when_empty="write").rows == 0
+    assert zone.read_dataframe("raw", "x").count() == 0

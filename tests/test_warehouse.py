@@ -1,5 +1,7 @@
+import json
 from dataclasses import replace
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from stockloom.plans import jobs
 from stockloom.sources import raw
 from stockloom.sources import warehouse as w
 from stockloom.sources.landing import LandingZone
+from stockloom.sources.scratch import scratch_root
 
 
 class Recorder:
@@ -45,9 +48,16 @@ def recorded(monkeypatch):
                 recorder.calls["tasks"] = n
                 return self
 
+            def observe(self, observation, count):
+                return self
+
             write = recorder
 
+        class Counted:
+            get = {"rows": 7}
+
         monkeypatch.setattr(w, "shape_for", lambda df, table: Rows())
+        monkeypatch.setattr(w, "Observation", Counted)
         return recorder
 
     return record
@@ -62,7 +72,7 @@ def test_postgres_address():
 
 def test_jdbc_append(recorded):
     recorder = recorded()
-    SINK.write(None, "dim_industry")
+    assert SINK.write(None, "dim_industry") == 7
     options = recorder.calls["options"]
     assert recorder.calls["format"] == "jdbc" and recorder.calls["mode"] == "append"
     assert options["dbtable"] == "dim_industry" and options["driver"] == "org.postgresql.Driver"
@@ -119,6 +129,13 @@ RAW = {
 }
 
 
+SIZES = {
+    "dim_industry": 2, "dim_enterprise": 2, "dim_holder_info": 2, "dim_date": 3,
+    "fact_price_history": 3, "fact_financial_ratio": 2, "fact_financial_report": 3,
+    "fact_ownership": 3, "fact_subsidiary": 2,
+}
+
+
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("lake")
@@ -126,19 +143,22 @@ def loaded(spark, tmp_path_factory):
                        jobs.MAP_PATH: "code,tax_code,industry_code\nACB,0301452948,6419\nGAS,3500102710,0620\n"}.items():
         (root / name).parent.mkdir(parents=True, exist_ok=True)
         (root / name).write_text(text, encoding="utf-8")
-    sink = jobs.scratch_warehouse(spark)
+    sink = replace(jobs.scratch_warehouse(spark), dense_ids=True)
     zone = LandingZone(spark, str(root))
-    jobs.load_warehouse(zone, sink, merge_ratios=True)
+    before = staged_folders(spark)
+    report = jobs.load_warehouse(zone, sink)
+    assert staged_folders(spark) == before  # what was staged is gone
+    assert report.rows == SIZES and report.rejects == {} and report.violations == []
     return zone, sink
 
 
+def staged_folders(spark):
+    root = Path(scratch_root(spark).removeprefix("file:")) / "stockloom"
+    return sorted(p.name for p in root.iterdir()) if root.exists() else []
+
+
 def test_nine_tables_are_loaded(loaded):
-    sizes = {name: loaded[1].read(name).count() for name in model.WAREHOUSE}
-    assert sizes == {
-        "dim_industry": 2, "dim_enterprise": 2, "dim_holder_info": 2, "dim_date": 3,
-        "fact_price_history": 3, "fact_financial_ratio": 2, "fact_financial_report": 3,
-        "fact_ownership": 3, "fact_subsidiary": 2,
-    }
+    assert {name: loaded[1].read(name).count() for name in model.WAREHOUSE} == SIZES
     for name, table in model.WAREHOUSE.items():
         read = loaded[1].read(name).schema
         assert [(f.name, f.dataType) for f in read] == [(f.name, f.dataType) for f in table.schema()]
@@ -174,7 +194,7 @@ def test_seeded_faults_are_reported(loaded, rows):
 
 def test_repeated_loads(loaded):
     zone, sink = loaded
-    jobs.load_financials(zone, sink)  # overwrites, and keeps both rows of a quarter
+    jobs.load_financials(zone, sink, merge_ratios=False)  # overwrites, and keeps both rows of a quarter
     assert sink.read("fact_financial_ratio").count() == 3
     assert sink.read("fact_price_history").count() == 3
     jobs.load_subsidiaries(zone, sink)  # appends, ids go on
@@ -203,3 +223,37 @@ def test_documents_are_landed_for_the_load_jobs(spark, tmp_path, rows):
     assert rows(scans["industries"]) == [("A", "0111", "Lúa")]
     assert rows(scans["enterprise"], "code", "company_name", "tax_code") == [("ACB", "Á Châu", "03")]
     assert rows(scans["subsidiaries"], "stock_code", "comp_name", "comp_type") == [("ACB", "ACBS", "sub")]
+
+
+def test_texts_of_pages_survive_landing(spark, tmp_path, rows):
+    zone = LandingZone(spark, str(tmp_path))
+    address = "12 Lane\n\"Hanoi\", Đống Đa"
+    profile = f'<h1 class="h1-title">A (ACB)</h1><div id="thanh-lap-cong-ty"><table><tr><td>• Địa chỉ</td><td>{address}</td></tr></table></div>'
+    jobs.land_enterprises(zone, spark.createDataFrame([("ACB", profile)], "code string, html string"))
+    assert rows(raw.read_enterprises(zone), "code", "address") == [("ACB", address)]
+
+
+def test_every_fault_is_rejected_or_reported(spark, tmp_path):
+    zone = LandingZone(spark, str(tmp_path))
+    officers = (
+        "id,officer_name,officer_position,quantity,officer_own_percent,update_date,stock_code\n"
+        f"1,A,Chair,100,0.5,2024-06-30,ACB\n2,B,{'x' * 300},1,0.5,2024-06-30,ACB\n3,C,Chair,many,0.5,2024-13-01,ACB\n"
+        ",D,Chair,1,0.5,2024-06-30,ACB\n5,E,Chair,1,99999.5,2024-06-30,GAS\n6,F,Chair,1,0.5,2024-06-30,A_CODE_TOO_LONG\n"
+        "1,A,Chair,100,0.5,2024-06-30,ACB\n"
+    )
+    path = tmp_path / model.LANDED_PATHS["leadership"]
+    path.parent.mkdir(parents=True)
+    path.write_text(officers, encoding="utf-8")
+    sink = jobs.scratch_warehouse(spark)
+    report = jobs.load_leadership(zone, sink)
+    assert report.rows == {"dim_holder_info": 5, "fact_ownership": 3}
+    assert report.rejects == {"dim_holder_info": 1, "fact_ownership": 4}
+    assert report.unreadable == {("leadership", "quantity"): 1, ("leadership", "update_date"): 1}
+    kept = zone.read_dataframe("rejects", "fact_ownership", "json").collect()
+    assert sorted(r.faults for r in kept) == [
+        "holder_id: missing", "ownership_ratio: out of range", "position: too long", "stock_code: too long",
+    ]
+    assert json.loads(next(r.record for r in kept if r.faults.startswith("own")))["stock_code"] == "GAS"
+    tables = {name: sink.read(name) for name in ("dim_enterprise", "dim_holder_info", "fact_ownership")}
+    found = {tuple(r) for r in quality.warehouse_violations(tables).collect()}
+    assert ("reference", "fact_ownership", "stock_code", 3) in found
