@@ -64,7 +64,8 @@ def industry_rows(pages: DataFrame, page_id: str = "page_id", html: str = "html"
     return (
         pages.select(page_id, labelled.alias("rows"))
         .select(page_id, "rows", marks.alias("marks"))
-        .select(page_id, "rows", "marks", F.posexplode("rows").alias("pos", "row"))
+        # outer: a filter for rows, inferred from a plain explode, would read each page twice
+        .select(page_id, "rows", "marks", F.posexplode_outer("rows").alias("pos", "row"))
         .where(all_digits(F.col("row.code")))
         .select(
             page_id,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,13 +46,18 @@ def quarter_end_price(price_fact: DataFrame) -> DataFrame:
     """Close and capitalisation of the last trading day of each quarter.
 
     An aggregate rather than a ranked window: every task reduces its rows to one per
-    company and quarter before the shuffle. Days are unique per company in a sound price
-    fact; of clashing rows the one with the highest close, then capitalisation, is taken.
+    company and quarter before the shuffle, by hashing, and nothing is sorted. Days are
+    unique per company in a sound price fact; of clashing rows the one with the highest
+    close is taken, and rows of one quarter with equal closes have equal capitalisations.
     """
-    last = F.max(F.struct("trade_date", "close", "market_cap"))
+    # Day and close in one number, so that the order is total and the aggregate still hashes.
+    day = F.unix_date("trade_date").cast("decimal(10,0)") * F.lit(Decimal(10**14))
+    order = (day + F.coalesce(F.col("close").try_cast(model.PRICE), F.lit(-1))).cast("decimal(38,2)")
     return (
         with_quarter(price_fact.where(F.col("trade_date").isNotNull()))
         .groupBy(*KEYS)
-        .agg(last.alias("last"))
-        .select(*KEYS, F.col("last.close").alias("close_price"), "last.market_cap")
+        .agg(
+            F.max_by("close", order).alias("close_price"),
+            F.max_by("market_cap", order).alias("market_cap"),
+        )
     )

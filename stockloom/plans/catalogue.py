@@ -35,11 +35,11 @@ def query(function: Query) -> Query:
 
 
 class _Financials:
-    """Raw inputs cut from one staged pass over the line items."""
+    """Raw inputs cut from one pass over the line items, staged where prices need it again."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool = True):
         self.spark, self.sf_dir = spark, sf_dir
-        sales = shapes.staged_sales(spark, sf_dir)
+        sales = (shapes.staged_sales if staged else shapes.quarterly_sales)(spark, sf_dir)
         self.income = normalize.normalize_statement(shapes.raw_income(sales), drop_empty=False)
         self.balance = normalize.normalize_statement(shapes.raw_balance(sales), drop_empty=False)
 
@@ -68,12 +68,12 @@ def fact_financial_ratio_merged(spark, sf_dir):
 
 @query
 def ratio_net_margin(spark, sf_dir):
-    return _Financials(spark, sf_dir).merged(ratios.MARGIN)
+    return _Financials(spark, sf_dir, staged=False).merged(ratios.MARGIN)
 
 
 @query
 def ratio_returns(spark, sf_dir):
-    return _Financials(spark, sf_dir).merged(ratios.RETURNS)
+    return _Financials(spark, sf_dir, staged=False).merged(ratios.RETURNS)
 
 
 @query
