@@ -61,14 +61,21 @@ def dim_holder(officers: DataFrame, shareholders: DataFrame | None = None) -> Da
     return ranked.where(F.col("__rank") == 1).drop("__rank")
 
 
-def fact_ownership(officers: DataFrame, shareholders: DataFrame | None = None) -> DataFrame:
+def fact_ownership(
+    officers: DataFrame, shareholders: DataFrame | None = None, typed: bool = True
+) -> DataFrame:
+    """Stakes of holders; not ``typed``, values stay as they come, for a check before the cast."""
+
+    def value(name: str, dtype) -> Column:
+        return F.col(name).try_cast(dtype) if typed else F.col(name)
+
     return combined_holders(officers, shareholders).select(
         "stock_code",
         "holder_id",
         F.col("officer_position").alias("position"),
-        F.col("quantity").try_cast("long").alias("shares_count"),
-        F.col("officer_own_percent").try_cast(model.STAKE).alias("ownership_ratio"),
-        F.col("update_date").try_cast("date").alias("report_date"),
+        value("quantity", "long").alias("shares_count"),
+        value("officer_own_percent", model.STAKE).alias("ownership_ratio"),
+        value("update_date", "date").alias("report_date"),
     )
 
 

@@ -117,7 +117,8 @@ def load_leadership(
     with staging(zone.spark):
         officers = load.scan("leadership", model.RAW_LEADERSHIP)
         load.write(stage(dimensions.dim_holder(officers, shareholders), "holders"), "dim_holder_info")
-        load.write(dimensions.fact_ownership(officers, shareholders), "fact_ownership")
+        stakes = dimensions.fact_ownership(officers, shareholders, typed=False)
+        load.write(stakes, "fact_ownership")
     return load.report
 
 

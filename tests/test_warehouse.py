@@ -39,7 +39,7 @@ class Recorder:
 
 
 @pytest.fixture
-def recorded(monkeypatch):
+def recorded(monkeypatch, spark):
     def record(fail=False):
         recorder = Recorder(fail)
 
@@ -254,6 +254,6 @@ def test_every_fault_is_rejected_or_reported(spark, tmp_path):
         "holder_id: missing", "ownership_ratio: out of range", "position: too long", "stock_code: too long",
     ]
     assert json.loads(next(r.record for r in kept if r.faults.startswith("own")))["stock_code"] == "GAS"
-    tables = {name: sink.read(name) for name in ("dim_enterprise", "dim_holder_info", "fact_ownership")}
+    tables = {name: sink.read(name) for name in model.WAREHOUSE}
     found = {tuple(r) for r in quality.warehouse_violations(tables).collect()}
     assert ("reference", "fact_ownership", "stock_code", 3) in found
