@@ -44,7 +44,6 @@ def test_links_of_crowded_buckets_keep_the_same_components(spark):
             values.add(value - (1 << 64) if value >> 63 else value)
     values |= {0, -1, 1, 3, 7, 15, 31}
     fps = spark.createDataFrame([(v,) for v in values], "fp long")
-    near = [(a, b) for a in values for b in values if a < b and (a ^ b & (1 << 64) - 1).bit_count() <= 4]
     near = [(a, b) for a in values for b in values if a < b and ((a ^ b) & ((1 << 64) - 1)).bit_count() <= 4]
     wanted = brute.components(near, values)
     for bucket in (512, 4, 1):
