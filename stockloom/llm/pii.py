@@ -1,8 +1,9 @@
 """Personal numbers and dates replaced by format-preserving Feistel pseudonyms.
 
 Found are card numbers (Luhn digit right), North American phone numbers, social security
-numbers, IPv4 addresses and dates (years 1900 to 2099). A candidate is checked, and replaced only if it
-is valid. A valid value is a pair of numbers (left, right) below two radices; in each Feistel
+numbers, IPv4 addresses and dates (years 1900 to 2099; MM/dd/yyyy where dd/MM/yyyy is no date). A candidate is
+checked, and replaced only if it is valid. A card is a whole run of 13 to 19 digits or, where digits stand before or
+behind it, groups of three digits or more within a run. A valid value is a pair of numbers (left, right) below two radices; in each Feistel
 round a keyed hash of one is added to the other, modulo its radix. So every kind's valid
 values are permuted among themselves: a pseudonym has the form of its original and is valid
 too, equal values have equal pseudonyms in all documents, and unequal ones unequal. Separators
@@ -11,7 +12,7 @@ stay, as do the first digit of a card and a ``+1``; a card's last digit is compu
 E-mail addresses aren't numbers; their local part becomes a keyed hash of the address, and
 the domain a reserved one. Equal addresses (in lower case) stay equal.
 
-Only built-in functions are used. A text is cut at the matches of one pattern and put together again with
+Only built-in functions are used. A text is cut at the matches of one pattern, with its own cards in it, and put together again with
 their pseudonyms, so that matches never meet each other's replacements. The pattern's runs
 are possessive and begin where no run goes on, so long texts take linear time.
 
@@ -27,14 +28,19 @@ ROUNDS = 8
 #: Forms of the values that are looked for.
 FORMS = {
     "email": r"(?<![\w.%+-])[\w.%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
-    "phone": r"(?<![\w+-])(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])",
+    "phone": r"(?<![\w+-])(?:(?:\+1[ .-]?|1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+    r"|(?:\+1[ .-]?|1[.-])(?:\(\d{3}\) ?|\d{3}[ .-]?)\d{3}[ .-]?\d{4})(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)",
     "isodate": r"(?<![\w/-])(?:19|20)\d{2}-\d{2}-\d{2}(?![\w-])",
     "date": r"(?<![\w/-])\d{2}/\d{2}/(?:19|20)\d{2}(?![\w/])",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
 }
-ANY = "|".join(FORMS.values())
+CARD = FORMS["card"]
+OTHER = "|".join(form for kind, form in FORMS.items() if kind != "card")
+#: At every group of digits, what a card that begins there could be read from.
+GROUPS = r"(?:(?<![\w-])|(?<=\d-))(?=(\d(?:[ -]?\d){12,18})(?!\w|-(?!\d)))"
+READINGS = (16, 15, 14, 13, 19, 18, 17)  #: digits, in the order of trial
 DAYS = (17, 4297)  #: the 73,049 days from 1900 to 2099
 
 
@@ -130,7 +136,7 @@ def _card(match: Column, digits: Column, key: str) -> Column:
 
 
 def _phone(match: Column, digits: Column, key: str) -> Column:
-    lead = F.when(match.startswith("+"), "1").otherwise("")
+    lead = F.when(F.length(digits) > 10, "1").otherwise("")
     ten = F.substr(digits, F.length(lead) + 1, F.lit(10))
     moved = feistel(
         _number(ten, 1, 3), _number(ten, 4, 7), F.lit(1000), F.lit(10_000_000), F.lit("phone"), key
@@ -179,6 +185,18 @@ def _date(match: Column, form: str, key: str) -> Column:
     return F.when(day.isNotNull(), F.date_format(F.date_add(F.lit("1900-01-01").cast("date"), days.cast("int")), form))
 
 
+def _month_first(match: Column, key: str) -> Column:
+    """Pseudonym of MM/dd/yyyy with a day over 12, which is permuted again until its day is over 12 as well."""
+    form = "MM/dd/yyyy"
+    late = lambda text: F.substring(text, 4, 2) > "12"
+    moved = F.aggregate(
+        F.sequence(F.lit(1), F.lit(64)),
+        match,
+        lambda at, i: F.when((i > 1) & late(at), at).otherwise(_date(at, form, key)),
+    )
+    return F.when(late(match) & F.try_to_date(match, form).isNotNull(), moved)
+
+
 def _email(match: Column, key: str) -> Column:
     digest = F.sha2(F.concat_ws(":", F.lit(key), F.lit("email"), F.lower(match)), 256)
     return F.concat(F.lit("user-"), F.substring(digest, 1, 16), F.lit("@example.invalid"))
@@ -200,26 +218,55 @@ def pseudonym(match: Column, kind: Column, key: str) -> Column:
         .when(kind == "ssn", _ssn(match, digits, key))
         .when(kind == "ip", _ip(match, key))
         .when(kind == "isodate", _date(match, "yyyy-MM-dd", key))
-        .when(kind == "date", _date(match, "dd/MM/yyyy", key))
+        .when(kind == "date", F.coalesce(_date(match, "dd/MM/yyyy", key), _month_first(match, key)))
         .otherwise(_card(match, digits, key))
     )
 
 
+def _is_card(reading: Column) -> Column:
+    digits = F.regexp_replace(reading, "[^0-9]", "")
+    size = F.length(digits)
+    payload = F.substr(digits, F.lit(1), size - 1)
+    return (size > 0) & (_luhn(payload) == F.substr(digits, size, F.lit(1)))
+
+
+def cards(text: Column) -> Column:
+    """Distinct cards of a text as they are written: whole runs of digits first, then readings within runs.
+
+    A reading within a run begins and ends with a group of digits, and its groups have three digits or more.
+    """
+    whole = F.regexp_extract_all(text, F.lit(f"({CARD})"), F.lit(1))
+    starts = F.array_distinct(F.regexp_extract_all(text, F.lit(GROUPS), F.lit(1)))
+    within = F.flatten(
+        F.transform(
+            F.array(*(F.lit(rf"^(\d(?:[ -]?\d){{{n - 1}}})(?=[ -]|$)") for n in READINGS)),
+            lambda form: F.transform(starts, lambda c: F.array_join(F.regexp_extract_all(c, form, F.lit(1)), "")),
+        )
+    )
+    grouped = F.filter(within, lambda r: (r != "") & ~r.rlike(r"(?:^|[ -])\d{1,2}(?:[ -]|$)"))
+    return F.filter(F.array_distinct(F.concat(whole, grouped)), _is_card)
+
+
 def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with its text rewritten, and ``pii``: an array of (kind, pseudonym) in their order.
 
     A column ``pii`` that is there is replaced.
     """
+    some = F.col(text).rlike("[0-9@]")  # cheap tests that nearly all texts fail
+    long = F.col(text).rlike(r"\d(?:[ -]?\d){12}")
+    marked = docs.drop("pii").withColumn("__cards", F.when(some & long, cards(F.col(text))))
+    # the cards of a text are looked for as they are, so that runs of digits hide no other value
+    own = F.concat(F.lit(rf"{OTHER}|(?<!\w)(?:"), F.array_join("__cards", "|"), F.lit(r")(?!\w)"))
+    marked = marked.withColumn("__any", F.when(F.size("__cards") > 0, own).otherwise(OTHER))
     matches = F.transform(
-        F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)),
+        F.regexp_extract_all(text, F.concat(F.lit("("), "__any", F.lit(")")), F.lit(1)),
         lambda m: F.struct(m.alias("old"), kind_of(m).alias("kind")),
     )
     found = F.transform(
         matches, lambda m: F.struct(m["old"], m["kind"], pseudonym(m["old"], m["kind"], key).alias("new"))
     )
-    some = F.col(text).rlike("[0-9@]")  # a cheap test that nearly all texts fail
-    marked = docs.drop("pii").withColumn("__found", F.when(some, found))
-    pieces = F.split(text, f"(?:{ANY})", -1)
+    marked = marked.withColumn("__found", F.when(some, found))
+    pieces = F.split(text, F.concat(F.lit("(?:"), "__any", F.lit(")")), -1)
     filled = F.zip_with(
         pieces, "__found", lambda p, m: F.concat(p, F.coalesce(m["new"], m["old"], F.lit("")))
     )
@@ -234,5 +281,5 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
                 lambda m: F.struct(m["kind"], m["new"].alias("pseudonym")),
             ),
         )
-        .drop("__found")
+        .drop("__found", "__cards", "__any")
     )

@@ -215,3 +215,37 @@ def test_no_private_value_of_driver_tables_stays(spark, documents):
     old = {m for r in documents.collect() for m in re.findall(mail, r.text)}
     new = "\n".join(r.text for r in QUERIES["op7_feistel_pseudonyms"](spark, SF_DIR).collect())
     assert old and not [m for m in old if m in new]
+
+
+def test_usual_forms_of_private_values_are_found(spark):
+    texts = {
+        "card 4111 1111 1111 1111 12/27": ["card"],
+        "card 4111 1111 1111 1111 123.": ["card"],
+        "5 4111 1111 1111 1111": ["card"],
+        "2024 12 05 4111-1111-1111-1111": ["card"],
+        "4111 1111 1111 1111 2024-02-29 and 12 12 123-45-6789": ["card", "isodate", "ssn"],
+        "3782 822463 10005 1234 99": ["card"],
+        "born 12/27/1984": ["date"],
+        "call +14155552671 or 1-800-555-1234 or 1-8005551234 or +1 4155552671": ["phone"] * 4,
+    }
+    none = ["born 13/32/1984", "4111 1111 1111 1112 123", "1 2 3 4 5 6 7 8 9 10 11 12 14 15 16", "no 14155552671"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *none])], "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.pseudonymised(df, "key").collect()}
+    for i, (text, kinds) in enumerate(texts.items()):
+        assert [p.kind for p in rows[i].pii] == kinds
+        new, form = rows[i].text, lambda t: re.sub(r"\d", "9", t)
+        assert form(new) == form(text) and not re.search("4111.1111.1111.1111|822463|6789|12/27/1984|5552671|5551234", new)
+        assert all(luhn(re.sub(r"\D", "", p.pseudonym)) for p in rows[i].pii if p.kind == "card")
+    assert [rows[len(texts) + i].text for i in range(len(none))] == none
+    assert rows[1].text.endswith(" 123.") and rows[2].text.startswith("5 4")
+
+
+def test_dates_with_the_month_first_are_one_to_one(spark):
+    day = datetime.date(1900, 1, 1)
+    dates = [day + datetime.timedelta(37 * i) for i in range(1900)]
+    late = [f"{d:%m/%d/%Y}" for d in dates if d.day > 12]
+    values = [*late, *(f"{d:%d/%m/%Y}" for d in dates)]
+    df = spark.createDataFrame([(v,) for v in values], "text string")
+    got = [r.text for r in pii.pseudonymised(df, "key").collect()]
+    assert len(set(got)) == len(values)
+    assert all(datetime.datetime.strptime(t, "%m/%d/%Y").day > 12 for t in got[: len(late)])
