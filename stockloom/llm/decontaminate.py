@@ -3,9 +3,9 @@
 Texts become templates: numbers, quantities, units and names turn into typed placeholders, all
 other tokens stay, lower-cased. Windows of a template are hashed, and windows of documents
 are joined with windows of benchmark items by hash. Hits of a document and an item on one
-alignment are put together: what fills the placeholders must map one to one between item and document
-throughout ("7" always became "9", never "9" and "4"), and the windows must cover
-``COVER`` of the item's tokens. So a copied question is found, and one with other names and
+alignment are put together: each value of the item's placeholders must have become one value of the document
+("7" always "9", never "9" and "4"; "7" and "8" may both have become "9") in ``CONSISTENT`` of the
+placeholders, and the windows must cover ``COVER`` of the item's tokens. So a copied question is found, and one with other names and
 figures as well.
 
 A name is a capitalised token that doesn't begin a sentence. A window with fewer
@@ -34,6 +34,7 @@ from stockloom.sources.scratch import stage
 
 WINDOW = 8
 COVER = 0.8
+CONSISTENT = 0.9
 #: Units of measure that follow a number.
 UNITS = """
     mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg lb lbs pound pounds oz ounce
@@ -217,19 +218,33 @@ def matches(rows: DataFrame, items: DataFrame, window: int = WINDOW, cover: floa
         lambda acc: acc["sum"],
     )
 
-    def kinds(*names: str) -> Column:
-        return F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(*(p[n].alias(n) for n in names)))))
-
-    both = kinds("mine", "theirs")
-    judged = runs.select(
+    def held(counted: Column) -> Column:
+        """Placeholders that hold what their item's value mostly became."""
+        most = F.transform(
+            F.array_distinct(F.transform("pairs", lambda p: p["mine"])),
+            lambda m: F.array_max(F.transform(F.filter(counted, lambda c: c["mine"] == m), lambda c: c["n"])),
+        )
+        return F.aggregate(most, F.lit(0), lambda a, b: a + b)
+
+    values = F.transform(
+        F.array_distinct(F.transform("pairs", lambda p: F.struct(p["mine"].alias("mine"), p["theirs"].alias("theirs")))),
+        lambda v: F.struct(
+            v["mine"].alias("mine"),
+            F.size(
+                F.filter("pairs", lambda p: (p["mine"] == v["mine"]) & (p["theirs"] == v["theirs"]))
+            ).alias("n"),
+        ),
+    )
+    agreeing = F.element_at(F.transform(F.array(values), held), 1)
+    full = runs.select(*key, (covered / F.col("item_tokens")).alias("covered"), "pairs").where(F.col("covered") >= cover)
+    judged = full.where(agreeing >= CONSISTENT * F.size("pairs")).select(
         *key,
-        (covered / F.col("item_tokens")).alias("covered"),
+        "covered",
         F.size("pairs").alias("slots"),
         F.size(F.filter("pairs", lambda p: p["mine"] != p["theirs"])).alias("changed"),
-        ((both == kinds("mine")) & (both == kinds("theirs"))).alias("consistent"),
-    ).where((F.col("covered") >= cover) & F.col("consistent"))
+    )
     best = Window.partitionBy(*ROW, "item_id").orderBy(F.desc("covered"), "changed", "shift", "copy")
-    return judged.withColumn("n", F.row_number().over(best)).where("n = 1").drop("n", "copy", "shift", "consistent")
+    return judged.withColumn("n", F.row_number().over(best)).where("n = 1").drop("n", "copy", "shift")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:

@@ -249,3 +249,17 @@ def test_dates_with_the_month_first_are_one_to_one(spark):
     got = [r.text for r in pii.pseudonymised(df, "key").collect()]
     assert len(set(got)) == len(values)
     assert all(datetime.datetime.strptime(t, "%m/%d/%Y").day > 12 for t in got[: len(late)])
+
+
+def test_values_of_an_item_may_become_equal(spark):
+    item = "near the old river a farmer has {} apples and then gives {} apples to the boy who sells {} more of them"
+    long = " and then ".join(["the farmer who came here sold {} of them"] * 11)
+    items = spark.createDataFrame([(1, item.format(5, 3, 9)), (2, long.format(5, *range(11, 20), 5))], "item_id long, text string")
+    texts = [
+        item.format(4, 4, 7),
+        long.format(7, *range(21, 30), 8),  # one odd slot of eleven
+        long.format(5, *range(11, 20), 5).replace("and then", "then"),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.slots, r.changed) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(0, 1): (3, 3), (1, 2): (11, 11)}
