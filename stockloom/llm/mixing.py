@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stockloom.llm.rows import ROW, with_row
 from stockloom.llm.running import running_total, scattered
 from stockloom.sources.scratch import stage
 
@@ -102,7 +103,7 @@ def mixed(
 
 
 def positions(mix: DataFrame) -> DataFrame:
-    """One row per document and time it is read, in the order of training, with ``position``.
+    """One row per document and time it is read, with ``position``, its place in the order of training.
 
     A document is read once more if at least half of it is still wanted; then it is read whole.
     """
@@ -114,14 +115,17 @@ def positions(mix: DataFrame) -> DataFrame:
         again.withColumn("round", F.explode(F.sequence(F.lit(0), F.col("times") - 1)))
         .withColumn("position", due(F.least(share, F.lit(1.0)), F.col("tilt")))
         .drop("times", "round")
-        .orderBy("position", F.col("doc_id"))
     )
 
 
 def in_training_order(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as they are read, in the order of training, with the columns of ``docs``."""
-    named = ["doc_id", "source", "text"]
-    others = [c for c in docs.columns if c not in named]
-    rest = [F.struct(*others).alias("__rest")] if others else []
-    mix = mixed(sized(docs.select(*named, *rest)))
-    return positions(mix).select(*(F.col(f"__rest.{c}") if c in others else F.col(c) for c in docs.columns))
+    """The rows of ``docs`` as often as they are read, in the order of training, with the columns of ``docs``.
+
+    Places are found for ids, sources, sizes and a 128-bit hash of each row; texts join them once, at the end.
+    Rows equal throughout share that hash, so one copy of them stands for all.
+    """
+    marked = with_row(docs)
+    mix = mixed(sized(marked.select("doc_id", "source", "text", *ROW)).drop("text"))
+    times = positions(mix).select(F.col("position").alias("__position"), F.col("doc_id").alias("__id"), *ROW)
+    whole = marked.dropDuplicates(ROW).join(times, ROW)
+    return whole.orderBy("__position", "__id", *ROW).select(*docs.columns)
