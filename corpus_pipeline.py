@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockloom.llm import decontaminate, langid, mixing, sharding, word_copies
-from stockloom.sources.scratch import stage
+from stockloom.llm import decontaminate, langid, mixing, sharding, simhash
+from stockloom.sources.scratch import scratch_path, staging
 
 SHARDS = 40
 
@@ -20,8 +20,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts with similar five-word runs the document with the smallest id."""
-    return word_copies.drop_near_copies(docs)
+    """Of each component of near fingerprints (four-word shingles, four bits) the document with the smallest id."""
+    return simhash.drop_near_copies(docs)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,12 @@ ORACLE_SQL = None  # SQL has neither the fingerprints' hash nor components
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages one after another; what a stage has staged on its way goes once its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        with staging(spark):
+            found = function(spark, docs, sf_dir)
+            found.write.parquet(path)
+        docs = spark.read.schema(found.schema).parquet(path)
     return docs
