@@ -82,8 +82,50 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
+_TRIE = """
+WITH RECURSIVE steps(byte, x, n) AS (
+  SELECT i, i, 0 FROM range(256) r(i)
+  UNION ALL
+  SELECT byte, CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, n + 1 FROM steps WHERE n < 8
+), crc AS (
+  SELECT list(x ORDER BY byte) AS t FROM steps WHERE n = 8
+), convs AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns,
+    list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda s: ('0x' || s)::BIGINT) AS b
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), shared AS (
+  SELECT conv_id, turns, conv_id - conv_id % 5 AS base, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+    lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), 4294967295::BIGINT) % 9 AS h
+  FROM convs, crc
+), rebuilt AS (
+  SELECT s.conv_id, list_concat(coalesce(b.turns[1:s.h], []), s.turns[s.h + 1:]) AS turns
+  FROM shared s LEFT JOIN convs b ON b.conv_id = s.base
+), prefixes AS (
+  SELECT conv_id, d AS depth, turns[1:d]::VARCHAR AS node, turns[1:greatest(d - 1, 0)]::VARCHAR AS parent,
+    CASE WHEN d = 0 THEN 0 ELSE octet_length(encode(turns[d].text)) END AS bytes, d = len(turns) AS ends
+  FROM rebuilt, unnest(range(len(turns) + 1)) u(d)
+), nodes AS (
+  SELECT depth, node, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(bytes) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, node
+), children AS (
+  SELECT depth - 1 AS depth, parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL
+), valued AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children FROM nodes n LEFT JOIN children c USING (depth, node)
+), totals AS (
+  SELECT p.depth, p.node, sum((v.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(v.saved)::BIGINT AS saved_tokens
+  FROM valued v JOIN prefixes p ON p.conv_id = v.conv_id AND p.depth <= v.depth GROUP BY p.depth, p.node
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, t.n_leaves, t.saved_tokens, v.ends_sha256
+FROM valued v JOIN totals t USING (depth, node)
+  LEFT JOIN nodes p ON v.depth > 0 AND p.depth = v.depth - 1 AND p.node = v.parent
+"""
+
 ORACLES: dict[str, str] = {
     "op5_exact_duplicates": _EXACT,
     "op6_curriculum_mix": _MIX,
     "op10_jump_hash_shards": _SHARDS,
+    "op11_conversation_trie": _TRIE,
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockloom.llm import chat, decontaminate, exact, langid, line_dedup, mixing, pii, sharding, simhash, toxicity
+from stockloom.llm import (
+    chat, decontaminate, exact, langid, line_dedup, mixing, pii, prefix_trie, repair, sharding, simhash, toxicity,
+)
 from stockloom.llm.oracles import ORACLES
 from stockloom.sources.scratch import stage
 
@@ -101,6 +103,15 @@ def op10_jump_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(_table(spark, sf_dir, "documents"), 40)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = _table(spark, sf_dir, "conversations")
+    return repair.repaired(repair.damaged(conversations), conversations)
+
+
 QUERIES = {
     "op1_benchmark_templates": op1_benchmark_templates,
     "op2_line_minhash": op2_line_minhash,
@@ -112,6 +123,8 @@ QUERIES = {
     "op10_jump_hash_shards": op10_jump_hash_shards,
     "op8_chat_roles": op8_chat_roles,
     "op9_simhash_near_copies": op9_simhash_near_copies,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
