@@ -14,7 +14,7 @@ def db():
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) < set(QUERIES)
 
 
