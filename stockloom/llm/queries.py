@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockloom.llm import (
-    chat, decontaminate, exact, langid, line_dedup, mixing, pii, prefix_trie, repair, sharding, simhash, toxicity,
+    chat, decontaminate, exact, html_text, langid, line_dedup, mixing, pii, prefix_trie, repair, sharding, simhash, toxicity,
 )
 from stockloom.llm.oracles import ORACLES
 from stockloom.sources.scratch import stage
@@ -107,6 +107,10 @@ def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(_table(spark, sf_dir, "pages").select("page_id", "url", "html"), html_text.train())
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = _table(spark, sf_dir, "conversations")
     return repair.repaired(repair.damaged(conversations), conversations)
@@ -124,6 +128,7 @@ QUERIES = {
     "op8_chat_roles": op8_chat_roles,
     "op9_simhash_near_copies": op9_simhash_near_copies,
     "op11_conversation_trie": op11_conversation_trie,
+    "op12_html_extraction": op12_html_extraction,
     "op13_conversation_repair": op13_conversation_repair,
 }
 
