@@ -58,7 +58,8 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 class Block(NamedTuple):
     text: str
-    seen: tuple[str, ...]  #: features of the elements around it
+    seen: tuple[str, ...]  #: features of the elements around it, each once
+    nearest: tuple[str, ...]  #: the innermost one or two of them
     linked: int  #: characters of the text within links
 
 
@@ -68,7 +69,7 @@ class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, tuple[str, ...]]] = []
+        self.open: list[tuple[str, tuple[str, ...], tuple[str, ...]]] = []
         self.pieces: list[str] = []
         self.linked, self.links, self.muted = 0, 0, 0
 
@@ -76,7 +77,8 @@ class _Reader(HTMLParser):
         if self.pieces:
             text = _BLANK.sub(" ", "".join(self.pieces)).strip()
             if text:
-                self.blocks.append(Block(text, self.open[-1][1] if self.open else (), self.linked))
+                seen, nearest = self.open[-1][1:] if self.open else ((), ())
+                self.blocks.append(Block(text, seen, nearest, self.linked))
         self.pieces, self.linked = [], 0
 
     def handle_starttag(self, tag, attrs):
@@ -91,8 +93,12 @@ class _Reader(HTMLParser):
             self.imply(tag)
         self.muted += tag in SILENT
         self.links += tag == "a"
-        above = self.open[-1][1] if self.open else ()
-        self.open.append((tag, above + _features(tag, _named(attrs))))
+        seen, nearest = self.open[-1][1:] if self.open else ((), ())
+        found = _features(tag, _named(attrs))
+        if found:
+            seen += tuple(f for f in found if f not in seen)
+            nearest = (nearest + tuple(f for f in found if f.startswith("<")))[-2:]
+        self.open.append((tag, seen, nearest))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -125,7 +131,7 @@ class _Reader(HTMLParser):
             self.flush()
 
     def close_from(self, at: int) -> None:
-        for name, _ in self.open[at:]:
+        for name, *_ in self.open[at:]:
             self.muted -= name in SILENT
             self.links -= name == "a"
         del self.open[at:]
@@ -156,7 +162,7 @@ def _features(tag: str, attrs: tuple[tuple[str, str], ...]) -> tuple[str, ...]:
             found.append("hidden")
         else:
             found += [f".{p.lower()}" for p in _PART.findall(value)]
-    return tuple(found)
+    return tuple(dict.fromkeys(found))
 
 
 def blocks(html: str | None) -> list[Block]:
@@ -176,10 +182,8 @@ def features(chain: list[Block]) -> list[list[int]]:
         text = block.text
         n = len(text)
         words = text.split(" ") if n < 200 else []
-        around = set(block.seen)
-        seen = {f"in {s}" for s in around}
-        own = [s for s in block.seen if s.startswith("<")]
-        seen |= {f"own {s}" for s in own[-1:]} | {f"above {s}" for s in own[-2:-1]}
+        seen = {f"in {s}" for s in block.seen}
+        seen |= {f"own {s}" for s in block.nearest[-1:]} | {f"above {s}" for s in block.nearest[-2:-1]}
         seen |= {
             "any",
             f"length {min(9, n.bit_length())}",
@@ -283,7 +287,7 @@ def labelled_chains(n: int, seed: int) -> list[tuple[list[list[int]], list[int]]
         marked = [(b, label_of(b.text)) for b in blocks(page)]
         known = [(b, label) for b, label in marked if label is not None and unmarked(b.text)]
         if known:
-            plain = [Block(unmarked(b.text), b.seen, b.linked) for b, _ in known]
+            plain = [b._replace(text=unmarked(b.text)) for b, _ in known]
             out.append((features(plain), [label for _, label in known]))
     return out
 
