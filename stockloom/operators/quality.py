@@ -103,19 +103,20 @@ def with_faults(df: DataFrame, table: Table) -> DataFrame:
     return df.withColumn("faults", row_faults(df, table))
 
 
-def rejected(df: DataFrame, table: Table) -> DataFrame:
-    """The rows that the contract refuses: table_name, faults, record (JSON)."""
-    return (
-        with_faults(df, table)
-        .where(F.size("faults") > 0)
-        .select(
-            F.lit(table.name).alias("table_name"),
-            F.array_join("faults", "; ").alias("faults"),
-            F.to_json(F.struct(*map(field_ref, df.columns))).alias("record"),
-        )
+def reject_lines(bad: DataFrame, table: str, columns: Iterable[str]) -> DataFrame:
+    """Refused rows, with their ``faults``, as they are kept: table_name, faults, record (JSON)."""
+    return bad.select(
+        F.lit(table).alias("table_name"),
+        F.array_join("faults", "; ").alias("faults"),
+        F.to_json(F.struct(*map(field_ref, columns))).alias("record"),
     )
 
 
+def rejected(df: DataFrame, table: Table) -> DataFrame:
+    """The rows that the contract refuses for themselves: table_name, faults, record (JSON)."""
+    return reject_lines(with_faults(df, table).where(F.size("faults") > 0), table.name, df.columns)
+
+
 def unreadable_cells(text: DataFrame, schema: T.StructType, name: str) -> DataFrame:
     """(table_name, column_name, violations > 0): text cells that don't fit the type of their column."""
     typed = [f for f in schema if f.name in text.columns and not isinstance(f.dataType, T.StringType)]

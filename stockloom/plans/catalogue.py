@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from stockloom import model
 from stockloom.functions.columns import safe_div, usable_key
 from stockloom.functions.diacritics import strip_diacritics
 from stockloom.model import DIM_ENTERPRISE, FACT_OWNERSHIP, FACT_PRICE, Reference
-from stockloom.operators import dimensions, extract, prices, quality, ratios, statements, unions
+from stockloom.operators import dimensions, extract, gate, prices, quality, ratios, statements, unions
 from stockloom.operators import normalize, universe
 from stockloom.operators.carry import carry_forward
 from stockloom.operators.surrogate import with_surrogate_keys
@@ -461,36 +462,76 @@ def load_rejects(spark, sf_dir):
     return bad.groupBy("table_name", "faults").agg(F.count("*").alias("rejected"))
 
 
-_LOADS: dict[tuple[str, str], CatalogSink] = {}
+@query
+def load_key_rejects(spark, sf_dir):
+    """Prices that repeat a key of their batch or of the loaded table."""
+    batch, existing = shapes.price_batches(spark, sf_dir)
+    return _refused(gate.gated(batch, model.FACT_PRICE, {}, existing), "stock_code", "trade_date", "volume")
+
+
+@query
+def load_orphan_rejects(spark, sf_dir):
+    """Ownership rows of unknown companies or holders."""
+    rows, companies, holders = shapes.stakes_with_orphans(spark, sf_dir)
+    parents = {"dim_enterprise": companies, "dim_holder_info": holders}
+    return _refused(gate.gated(rows, FACT_OWNERSHIP, parents), "stock_code", "holder_id", "shares_count")
+
+
+def _refused(checked: DataFrame, *columns: str) -> DataFrame:
+    return checked.where(F.size("faults") > 0).select(*columns, F.array_join("faults", "; ").alias("faults"))
+
+
+def _loaded(spark: SparkSession, sf_dir: str, names: list[str], times: int = 1, **options) -> CatalogSink:
+    """A warehouse loaded from landed copies of the shapes, by these jobs, anew for each query.
 
+    The shapes' codes come from tables that don't refer to each other, so references aren't enforced here.
+    """
+    zone = LandingZone(spark, scratch_path(spark, "lake"))
+    jobs.land_shapes(zone, sf_dir, names)
+    sink = jobs.scratch_warehouse(spark)
+    for _ in range(times):
+        jobs.load_warehouse(zone, sink, jobs=names, references=False, **options)
+    return sink
 
-def _loaded(spark: SparkSession, sf_dir: str) -> CatalogSink:
-    """A warehouse loaded from landed copies of the shapes, once per session and folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LOADS:
-        zone = LandingZone(spark, scratch_path(spark, "lake"))
-        jobs.land_shapes(zone, sf_dir)
-        sink = jobs.scratch_warehouse(spark)
-        jobs.load_warehouse(zone, sink)
-        _LOADS[key] = sink
-    return _LOADS[key]
+
+def _contract_columns(name: str) -> list[str]:
+    """Columns of a table without surrogate ids and load times."""
+    return [f.name for f in model.WAREHOUSE[name].fields if not f.surrogate and f.default not in ("now", "today")]
 
 
 def _register_loaded(name: str) -> None:
-    """A query for a loaded table, without surrogate ids and load times."""
-    contract = model.WAREHOUSE[name]
-    columns = [f.name for f in contract.fields if not f.surrogate and f.default not in ("now", "today")]
-    QUERIES[f"loaded_{name}"] = lambda spark, sf_dir: _loaded(spark, sf_dir).read(name).select(*columns)
+    """A query for a loaded table, by the job that loads it."""
+    names, columns = [jobs.job_of(name)], _contract_columns(name)
+    QUERIES[f"loaded_{name}"] = lambda spark, sf_dir: (
+        _loaded(spark, sf_dir, names, verify=False, tables=[name]).read(name).select(*columns)
+    )
 
 
 for _name in model.WAREHOUSE:
     _register_loaded(_name)
 
 
+@query
+def loaded_twice_dim_industry(spark, sf_dir):
+    """A load that is repeated for the same files."""
+    sink = _loaded(spark, sf_dir, ["industry"], times=2, verify=False)
+    return sink.read("dim_industry").select(*_contract_columns("dim_industry"))
+
+
+@query
+def surrogate_keys_reloaded(spark, sf_dir):
+    """Ids of prices that are loaded, and loaded again with other measures and further keys."""
+    sink = replace(jobs.scratch_warehouse(spark), dense_ids=True)
+    first, second = shapes.price_reload(spark, sf_dir)
+    sink.write(first, "fact_price_history", "overwrite")
+    sink.write(second, "fact_price_history", "overwrite")
+    return sink.read("fact_price_history").select("price_id", "stock_code", "trade_date", "volume")
+
+
 @query
 def warehouse_tables(spark, sf_dir):
     """All load jobs on landed copies of the shapes; rows and columns of each table."""
-    sink = _loaded(spark, sf_dir)
+    sink = _loaded(spark, sf_dir, list(jobs.JOBS))
     lines = [
         sink.read(name).agg(F.count("*").alias("row_count")).select(
             F.lit(name).alias("table_name"),

@@ -501,6 +501,33 @@ SELECT 'fact_ownership' AS table_name, faults, count(*) AS rejected FROM (
   FROM faults)
 WHERE faults <> '' GROUP BY faults""",
     ),
+    "load_key_rejects": """
+WITH prices AS (
+  SELECT 'C' || (o_custkey % 50) AS stock_code, CAST(o_orderdate AS DATE) AS trade_date,
+         CAST(o_totalprice AS DECIMAL(15,2)) AS close, o_orderkey AS volume FROM orders
+), batch AS (
+  SELECT *, row_number() OVER (PARTITION BY stock_code, trade_date ORDER BY close, volume) AS place
+  FROM prices WHERE volume % 3 <> 0
+), checked AS (
+  SELECT *, (stock_code, trade_date) IN (SELECT (stock_code, trade_date) FROM prices WHERE volume % 3 = 0) AS taken FROM batch
+)
+SELECT stock_code, trade_date, volume,
+       'stock_code,trade_date: ' || CASE WHEN taken THEN 'already loaded' ELSE 'repeated' END AS faults
+FROM checked WHERE taken OR place > 1""",
+    "load_orphan_rejects": """
+SELECT 'S' || l_suppkey AS stock_code, 'H' || l_partkey AS holder_id, l_orderkey AS shares_count,
+       CASE WHEN l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 <> 9)
+            THEN 'stock_code: not in dim_enterprise' ELSE 'holder_id: not in dim_holder_info' END AS faults
+FROM lineitem
+WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey % 10 <> 9)
+   OR l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 7 <> 3)""",
+    "surrogate_keys_reloaded": """
+WITH prices AS (
+  SELECT 'C' || (o_custkey % 50) AS stock_code, CAST(o_orderdate AS DATE) AS trade_date, sum(o_orderkey)::BIGINT AS volume,
+         bool_or(o_orderkey % 3 <> 0) AS early
+  FROM orders GROUP BY ALL
+)
+SELECT row_number() OVER (ORDER BY early DESC, stock_code, trade_date) AS price_id, stock_code, trade_date, volume FROM prices""",
 }
 
 _LOADED = {
@@ -517,4 +544,5 @@ _LOADED = {
     "fact_subsidiary": ORACLES["fact_subsidiary"],
 }
 ORACLES |= {f"loaded_{name}": sql for name, sql in _LOADED.items()}
+ORACLES["loaded_twice_dim_industry"] = ORACLES["loaded_dim_industry"]
 ORACLES["landed_enterprise_profile"] = ORACLES["enterprise_profile"]

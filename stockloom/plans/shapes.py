@@ -403,3 +403,45 @@ def ownership_with_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_totalprice") / 30).alias("ownership_ratio"),
         F.col("o_orderdate").cast("date").alias("report_date"),
     )
+
+
+def _orders_as_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey") % 50).alias("stock_code"),
+        F.col("o_orderdate").cast("date").alias("trade_date"),
+        F.col("o_totalprice").cast("decimal(15,2)").alias("close"),
+        F.col("o_orderkey").alias("volume"),
+    )
+
+
+def price_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two thirds of the orders as a batch of prices with repeated keys, and the others as loaded ones."""
+    prices = _orders_as_prices(spark, sf_dir)
+    return prices.where(F.col("volume") % 3 != 0), prices.where(F.col("volume") % 3 == 0)
+
+
+def price_reload(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """One price per key: those of two thirds of the orders, then those of all orders."""
+    prices = _orders_as_prices(spark, sf_dir)
+
+    def by_key(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("stock_code", "trade_date").agg(F.sum("volume").alias("volume"))
+
+    return by_key(prices.where(F.col("volume") % 3 != 0)), by_key(prices)
+
+
+def stakes_with_orphans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Line items as stakes of parts in suppliers, and nine suppliers and six parts in seven or so that are known."""
+    code, holder = (lambda c: F.concat(F.lit("S"), c)), (lambda c: F.concat(F.lit("H"), c))
+    rows = table(spark, sf_dir, "lineitem").select(
+        code(F.col("l_suppkey")).alias("stock_code"),
+        holder(F.col("l_partkey")).alias("holder_id"),
+        F.col("l_orderkey").alias("shares_count"),
+    )
+    suppliers = table(spark, sf_dir, "supplier").where("s_suppkey % 10 <> 9")
+    parts = table(spark, sf_dir, "part").where("p_partkey % 7 <> 3")
+    return (
+        rows,
+        suppliers.select(code(F.col("s_suppkey")).alias("stock_code")),
+        parts.select(holder(F.col("p_partkey")).alias("holder_id")),
+    )

@@ -83,6 +83,18 @@ class LandingZone:
     def path(self, relative: str) -> str:
         return f"{self.root}/{relative}"
 
+    def files(self, *relative: str) -> DataFrame:
+        """path, length, modified of the files of landed tables; their contents aren't read."""
+        paths = [r if "://" in r or r.startswith("/") else self.path(r) for r in relative]
+        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+        return listed.select("path", "length", F.col("modificationTime").alias("modified"))
+
+    def fingerprint(self, files: DataFrame) -> str:
+        """The same text for the same files with the same lengths and times; their list stays in Spark."""
+        seen = F.xxhash64("path", "length", "modified")
+        print_ = F.concat(F.hex(F.count("*")), F.lit("-"), F.hex(F.bit_xor(seen)))
+        return files.agg(F.lower(print_)).first()[0]
+
     def save_dataframe(
         self,
         df: DataFrame | None,

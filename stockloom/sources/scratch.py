@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -37,17 +37,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/stockloom/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once as parquet and continue from the files.
 
     Later actions read columnar files instead of repeating the upstream plan, and
-    a lost executor costs a re-read of some files only.
+    a lost executor costs a re-read of some files only. With ``partition_by``, actions that
+    ask for one value of these columns read the files of that value only.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
     if (open_stages := _staged.get()) is not None:
         open_stages.append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -60,7 +61,18 @@ def staging(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _staged.reset(token)
-        jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
         for path in paths:
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(settings).delete(folder, True)
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reaches; an absent one is ignored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark reaches; none if it is absent."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(folder)] if system.exists(folder) else []

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockloom import model
-from stockloom.operators import quality
+from stockloom.operators import gate, quality
 from stockloom.plans import jobs
 from stockloom.sources import raw
 from stockloom.sources import warehouse as w
@@ -197,10 +197,16 @@ def test_repeated_loads(loaded):
     jobs.load_financials(zone, sink, merge_ratios=False)  # overwrites, and keeps both rows of a quarter
     assert sink.read("fact_financial_ratio").count() == 3
     assert sink.read("fact_price_history").count() == 3
-    jobs.load_subsidiaries(zone, sink)  # appends, ids go on
+    before = {t: sorted(map(tuple, sink.read(t).drop("updated_at", "created_at").collect())) for t in ("fact_subsidiary", "dim_industry")}
+    jobs.load_subsidiaries(zone, sink)  # the same files: the load replaces itself
+    jobs.load_industry(zone, sink)
+    after = {t: sorted(map(tuple, sink.read(t).drop("updated_at", "created_at").collect())) for t in before}
+    assert after == before
+    other = sink.read("fact_subsidiary").drop("sub_id")
+    sink.write(other, "fact_subsidiary")  # a load of its own: appends, ids go on
     assert sorted(r.sub_id for r in sink.read("fact_subsidiary").collect()) == [1, 2, 3, 4]
     sparse = replace(sink, dense_ids=False)
-    jobs.load_subsidiaries(zone, sparse)
+    sparse.write(other.limit(2), "fact_subsidiary")
     ids = [r.sub_id for r in sink.read("fact_subsidiary").collect()]
     assert len(ids) == len(set(ids)) == 6 and min(sorted(ids)[4:]) > 4
     sink.initialise()
@@ -245,6 +251,8 @@ def test_every_fault_is_rejected_or_reported(spark, tmp_path):
     path.parent.mkdir(parents=True)
     path.write_text(officers, encoding="utf-8")
     sink = jobs.scratch_warehouse(spark)
+    companies = spark.createDataFrame([("ACB",), ("GAS",)], ["stock_code"])
+    sink.write(companies, "dim_enterprise")
     report = jobs.load_leadership(zone, sink)
     assert report.rows == {"dim_holder_info": 5, "fact_ownership": 3}
     assert report.rejects == {"dim_holder_info": 1, "fact_ownership": 4}
@@ -255,5 +263,105 @@ def test_every_fault_is_rejected_or_reported(spark, tmp_path):
     ]
     assert json.loads(next(r.record for r in kept if r.faults.startswith("own")))["stock_code"] == "GAS"
     tables = {name: sink.read(name) for name in model.WAREHOUSE}
-    found = {tuple(r) for r in quality.warehouse_violations(tables).collect()}
-    assert ("reference", "fact_ownership", "stock_code", 3) in found
+    assert quality.warehouse_violations(tables).collect() == []
+
+    # Rejects are kept per load: another load adds its own, the same one replaces them, a clean one removes none.
+    path.write_text(officers + "7,G,Chair,1,0.5,2024-06-30,NONE\n", encoding="utf-8")
+    for _ in range(2):
+        report = jobs.load_leadership(zone, sink)
+        assert report.rejects == {"dim_holder_info": 6, "fact_ownership": 5}  # holders are known, NONE is no company
+    path.write_text("id,officer_name,officer_position,quantity,officer_own_percent,update_date,stock_code\n9,Z,CEO,1,0.5,2024-06-30,GAS\n")
+    assert jobs.load_leadership(zone, sink).rejects == {}
+    kept = zone.read_dataframe("rejects", "fact_ownership", "json").collect()
+    assert len(kept) == 9 and len({r.load_id for r in kept}) == 2
+    assert [json.loads(r.record)["holder_id"] for r in kept if r.faults == "stock_code: not in dim_enterprise"] == ["NONE_7"]
+    assert sink.read("fact_ownership").where("stock_code = 'NONE'").isEmpty()
+
+
+def test_keys_are_unique_in_the_batch_and_against_the_table(spark):
+    sink = jobs.scratch_warehouse(spark)
+    schema = "industry_code string, industry_group string, industry_name string"
+    first = [("1", "A", "x"), ("1", "A", "w"), ("1", "A", "w"), ("2", "B", None), (None, "C", "y"), ("3", None, "z")]
+    checked = gate.gated(spark.createDataFrame(first, schema), model.DIM_INDUSTRY, {}).collect()
+    assert sorted((r.industry_code or "", r.industry_name or "", *r.faults) for r in checked) == [
+        ("", "y", "industry_code: missing"), ("1", "w"), ("1", "w", "industry_code: repeated"),
+        ("1", "x", "industry_code: repeated"), ("2", ""), ("3", "z"),
+    ]
+    good = [r for r in checked if not r.faults]
+    sink.write(spark.createDataFrame(good, schema + ", faults array<string>"), "dim_industry", load_id="first")
+    second = spark.createDataFrame([("3", "q", "q"), ("4", "q", "q"), ("4", "p", "q")], schema)
+    checked = gate.gated(second, model.DIM_INDUSTRY, {}, sink.others("dim_industry", "second")).collect()
+    assert sorted((r.industry_code, r.industry_group, *r.faults) for r in checked) == [
+        ("3", "q", "industry_code: already loaded"), ("4", "p"), ("4", "q", "industry_code: repeated"),
+    ]
+    nothing = second.limit(0)
+    assert gate.gated(nothing, model.DIM_INDUSTRY, {}, sink.read("dim_industry")).collect() == []
+
+
+def test_null_keys_never_clash(spark):
+    rows = spark.createDataFrame([("A", None, 1), ("A", None, 1), ("A", 2020, 1), ("A", 2020, 1)], "stock_code string, year int, quarter int")
+    checked = gate.gated(rows, model.FACT_RATIO, {"dim_enterprise": rows.select("stock_code")}).collect()
+    assert sorted(len(r.faults) for r in checked) == [0, 0, 0, 1]
+
+
+def test_a_hot_key_is_ranked_by_partial_minima(spark):
+    """A third of the rows share a key; no window ranks them in one task."""
+    rows = spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, 'HOT', concat('C', id)) AS industry_code", "'G' AS industry_group", "cast(id AS string) AS industry_name"
+    )
+    checked = gate.gated(rows, model.DIM_INDUSTRY, {})
+    assert "Window" not in checked._jdf.queryExecution().executedPlan().toString()
+    assert checked.where("size(faults) = 0").count() == 20_001
+    assert checked.where("size(faults) = 0 and industry_code = 'HOT'").first().industry_name == "0"
+
+
+def test_a_write_that_dies_leaves_the_rows_of_before(spark, loaded_folder):
+    sink = jobs.scratch_warehouse(spark)
+    schema = "industry_code string, industry_name string"
+    sink.write(spark.createDataFrame([("1", "a")], schema), "dim_industry", "overwrite")
+    broken = spark.range(100, numPartitions=4).selectExpr("cast(id AS string) AS industry_code", "if(id = 99, raise_error('lost'), 'x') AS industry_name")
+    with pytest.raises(RuntimeError, match="dim_industry"):
+        sink.write(broken, "dim_industry", "overwrite")
+    assert [r.industry_code for r in sink.read("dim_industry").collect()] == ["1"]
+    for n in ("2", "3", "4"):  # versions that nothing points to are pruned
+        sink.write(spark.createDataFrame([(n, "a")], schema), "dim_industry", "overwrite")
+    assert [r.industry_code for r in sink.read("dim_industry").collect()] == ["4"]
+    assert len(list(Path(f"{sink.location}/dim_industry".removeprefix("file:")).glob("all-*"))) == 2
+
+
+def test_ids_survive_a_reload(spark):
+    sink = replace(jobs.scratch_warehouse(spark), dense_ids=True)
+    schema = "stock_code string, year int, quarter int, pe double"
+    sink.write(spark.createDataFrame([("A", 2020, 1, 1.0), ("B", 2020, 1, 1.0), ("C", None, 1, 1.0)], schema), "fact_financial_ratio", "overwrite")
+    ids = {r.stock_code: r.ratio_id for r in sink.read("fact_financial_ratio").collect()}
+    sink.write(spark.createDataFrame([("B", 2020, 1, 9.0), ("0", 2020, 1, 9.0)], schema), "fact_financial_ratio", "overwrite")
+    sink.write(spark.createDataFrame([("A", 2020, 1, 9.0), ("B", 2020, 1, 7.0), ("0", 2020, 1, 7.0)], schema), "fact_financial_ratio", "overwrite")
+    again = {r.stock_code: r.ratio_id for r in sink.read("fact_financial_ratio").collect()}
+    assert again == {"A": ids["A"], "B": ids["B"], "0": 4} and sorted(ids.values()) == [1, 2, 3]
+
+
+@pytest.fixture
+def loaded_folder(spark, tmp_path):
+    for name, text in {**{model.LANDED_PATHS[k]: v for k, v in RAW.items()},
+                       jobs.MAP_PATH: "code,tax_code,industry_code\nACB,0301452948,6419\nGAS,3500102710,0620\n"}.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    return tmp_path
+
+
+def test_a_failed_branch_alone_is_repeated(spark, loaded_folder):
+    zone, sink = LandingZone(spark, str(loaded_folder)), jobs.scratch_warehouse(spark)
+    enterprise = loaded_folder / model.LANDED_PATHS["enterprise"]
+    held = enterprise.read_text(encoding="utf-8")
+    enterprise.unlink()
+    with pytest.raises(Exception):
+        jobs.load_warehouse(zone, sink)
+    assert sink.read("dim_industry").count() == 2 and sink.read("dim_date").count() == 3  # they don't wait for companies
+    assert sink.read("fact_subsidiary").count() == 0
+    enterprise.write_text(held, encoding="utf-8")
+    report = jobs.load_warehouse(zone, sink, resume=True)
+    assert report.skipped == ["industry"] and "dim_industry" not in report.rows
+    assert {name: sink.read(name).count() for name in model.WAREHOUSE} == SIZES and report.violations == []
+    report = jobs.load_warehouse(zone, sink, resume=True)
+    assert sorted(report.skipped) == sorted(jobs.JOBS) and report.rows == {}
+    assert sink.spark.table(sink.qualified("load_ledger")).count() == 8  # one line per file read
