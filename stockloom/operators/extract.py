@@ -57,19 +57,26 @@ def industry_rows(pages: DataFrame, page_id: str = "page_id", html: str = "html"
             row["cells"][5]["text"].alias("name"),
         ),
     )
-    # places of the labels in a page; the last one at or before a row is the row's
+    # The page is cut where a label stands, and each part unfolds with its label alone. A part is as
+    # long as its rows, so the work grows with the page. Exploding one struct keeps the arrays from being computed anew in each part.
+    once = pages.select(page_id, F.explode(F.array(F.struct(labelled.alias("rows")))).alias("t"))
     marks = F.filter(
-        F.transform(F.col("rows"), lambda row, i: F.when(row["label"].isNotNull(), i)), lambda i: i.isNotNull()
+        F.transform(F.col("t.rows"), lambda row, i: F.when((i == 0) | row["label"].isNotNull(), i)), lambda i: i.isNotNull()
     )
+    cut = once.select(page_id, F.explode(F.array(F.struct("t.rows", marks.alias("marks")))).alias("t"))
+    rows, starts = F.col("t.rows"), F.col("t.marks")
+
+    def part(start: Column, i: Column) -> Column:
+        end = F.coalesce(F.get(starts, i + 1), F.size(rows))
+        return F.struct(F.get(rows, start)["label"].alias("label"), F.slice(rows, start + 1, end - start).alias("rows"))
+
+    parts = cut.select(page_id, F.explode_outer(F.transform(starts, part)).alias("part"))
     return (
-        pages.select(page_id, labelled.alias("rows"))
-        .select(page_id, "rows", marks.alias("marks"))
-        # outer: a filter for rows, inferred from a plain explode, would read each page twice
-        .select(page_id, "rows", "marks", F.posexplode_outer("rows").alias("pos", "row"))
+        parts.select(page_id, F.col("part.label").alias("industry_group"), F.explode_outer("part.rows").alias("row"))
         .where(all_digits(F.col("row.code")))
         .select(
             page_id,
-            F.get("rows", F.array_max(F.filter("marks", lambda i: i <= F.col("pos"))))["label"].alias("industry_group"),
+            "industry_group",
             F.col("row.code").alias("industry_code"),
             F.col("row.name").alias("industry_name"),
         )

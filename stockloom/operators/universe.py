@@ -65,21 +65,21 @@ def take_until_found(
 ) -> DataFrame:
     """Rows of a paged listing up to the page where enough listed codes were seen.
 
-    Pages are read in order, from 1. Reading stops after the page on which the number of
-    kept rows reaches the number of listed codes, and after ``max_pages`` if given. With
-    an empty list there is nothing to find and one page is read; without a list, all are.
+    Pages are read in order. Reading stops after the page on which the number of
+    kept rows reaches the number of listed codes, and after page ``max_pages`` if given. With
+    an empty list there is nothing to find and the first page is read; without a list, all are.
+    Rows without a page belong to no page in that order: they are kept where all pages are read.
 
     The pages read are a prefix, so one number, found first, cuts the rows. They are kept
     once, written, and then counted by ranges of pages and inside one range only.
     """
-    visited = rows.where(F.col(page) >= 1)
-    if max_pages is not None:
-        visited = visited.where(F.col(page) <= max_pages)
+    visited = rows if max_pages is None else rows.where(F.col(page) <= max_pages)
     if codes is None:
         return visited
     listed = _listed(rows, codes)
     if listed is None:
-        return visited.where(F.col(page) == 1)
+        first = visited.agg(F.min(page)).first()[0]
+        return visited.where(F.col(page) == F.lit(first))
     kept = stage(filter_universe(visited, listed, column), "listing")
     last = _last_page(kept.select(F.col(page).alias("page")), listed.count())
     return kept if last is None else kept.where(F.col(page) <= last)
@@ -87,6 +87,7 @@ def take_until_found(
 
 def _last_page(pages: DataFrame, wanted: int) -> int | None:
     """The page on which the running count of rows reaches ``wanted``; none if it never does."""
+    pages = pages.where("page is not null")
     by_range = F.floor(F.col("page") / PAGE_RANGE)
     found = _reaching(pages.select(by_range.alias("at")), wanted)
     if found is None:

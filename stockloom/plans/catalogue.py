@@ -20,6 +20,7 @@ from stockloom.plans import jobs, shapes
 from stockloom.plans.shapes import table
 from stockloom.sources.landing import LandingZone, scan_csv
 from stockloom.sources.raw import scan_landed
+from stockloom.sources.scan import Scan, scan_files
 from stockloom.sources.scratch import scratch_path
 from stockloom.sources.warehouse import CatalogSink
 
@@ -462,6 +463,35 @@ def load_rejects(spark, sf_dir):
     return bad.groupBy("table_name", "faults").agg(F.count("*").alias("rejected"))
 
 
+def _ragged(spark: SparkSession, sf_dir: str) -> Scan:
+    path = scratch_path(spark, "ragged")
+    shapes.write_lines(shapes.ragged_orders(spark, sf_dir), path)
+    return scan_files(spark, path)
+
+
+@query
+def scan_rejects(spark, sf_dir):
+    """Records with more or fewer cells than their header."""
+    return _ragged(spark, sf_dir).rejects().select("record", "expected", "found")
+
+
+@query
+def scan_sound_rows(spark, sf_dir):
+    """The other records of the same files."""
+    return _ragged(spark, sf_dir).rows()
+
+
+@query
+def scan_mixed_headers(spark, sf_dir):
+    """Files with their columns in another order, and one column less, as one table with a tag from the path."""
+    zone = LandingZone(spark, scratch_path(spark, "mixed"))
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    zone.save_dataframe(suppliers.where("s_suppkey % 2 = 0"), "raw", "EVEN", "csv")
+    zone.save_dataframe(suppliers.where("s_suppkey % 2 = 1").select("s_name", "s_suppkey"), "raw", "ODD", "csv")
+    found = scan_files(spark, [zone.path("raw/EVEN.csv"), zone.path("raw/ODD.csv")], tags={"source": r"/([A-Z]+)\.csv/"})
+    return found.rows()
+
+
 @query
 def load_key_rejects(spark, sf_dir):
     """Prices that repeat a key of their batch or of the loaded table."""

@@ -16,6 +16,7 @@ from stockloom import model
 from stockloom.operators import dimensions, extract, gate, prices, quality, ratios, statements
 from stockloom.sources import raw
 from stockloom.sources.landing import LandingZone, conform
+from stockloom.sources.scan import RECORD, Scan
 from stockloom.sources.scratch import delete_folder, scratch_path, stage, staging
 from stockloom.sources.warehouse import LOAD, CatalogSink, Sink
 
@@ -122,9 +123,8 @@ class Job:
         # One evaluation: refused rows lie in files of their own.
         split = stage(checked.withColumn("__refused", refused), table, ["__refused"])
         report = self.load.report
-        rejects = self._reject(split.where("__refused").drop("__refused"), table, df.columns)
-        if rejects:
-            report.rejects[table] = report.rejects.get(table, 0) + rejects
+        bad = split.where("__refused").drop("__refused")
+        self._reject(bad, table, quality.reject_lines(bad, table, df.columns))
         good = split.where("not __refused").drop("__refused", "faults")
         extra = {} if unique or not readable else {"stable_ids": False}
         rows = sink.write(good, table, mode, self.load_id, **extra)
@@ -132,20 +132,28 @@ class Job:
         report.rows[table] = report.rows.get(table, 0) + rows
         self.load.settle([table])
 
-    def _reject(self, bad: DataFrame, table: str, columns: list[str]) -> int:
-        """Write the refused rows into the partition of this load, or delete what it has had there before."""
+    def _reject(self, bad: DataFrame, table: str, lines: DataFrame) -> None:
+        """Write ``lines``, one per row of ``bad``, into the partition of this load; delete what it has had there before."""
         path = self.zone.path(f"rejects/{table}.json/{LOAD}={self.load_id}")
         if bad.isEmpty():
             delete_folder(self.zone.spark, path)
-            return 0
+            return
         counted = Observation()
-        lines = quality.reject_lines(bad, table, columns).observe(counted, F.count(F.lit(1)).alias("rows"))
-        lines.write.mode("overwrite").json(path)
-        return counted.get["rows"]
+        lines.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").json(path)
+        report = self.load.report
+        report.rejects[table] = report.rejects.get(table, 0) + counted.get["rows"]
+
+    def text(self, name: str) -> DataFrame:
+        """The sound records of a landed table, parsed once and staged; the others go to the rejects."""
+        cells = raw.scan(self.zone, name).cells
+        staged = stage(cells.withColumn("__bad", F.col(RECORD).isNotNull()), name, ["__bad"])
+        bad = Scan(staged.where("__bad").drop("__bad"))
+        self._reject(bad.cells, name, bad.rejects())
+        return Scan(staged.where("not __bad").drop("__bad")).rows()
 
     def scan(self, name: str, schema: T.StructType) -> DataFrame:
         """A landed table by its types; cells that don't fit are null, and counted."""
-        text = stage(raw.scan_landed(self.zone, name), name)
+        text = self.text(name)
         for line in quality.unreadable_cells(text, schema, name).collect():
             self.load.report.unreadable[name, line.column_name] = line.violations
         return conform(text, schema)
@@ -172,7 +180,7 @@ def _run(
 
 def load_industry(zone: LandingZone, sink: Sink | Load) -> LoadReport:
     def work(job: Job) -> None:
-        job.write(raw.read_industries(zone), "dim_industry")
+        job.write(conform(job.text("industries"), model.RAW_INDUSTRY), "dim_industry")
 
     return _run(zone, sink, "industry", work, model.LANDED_PATHS["industries"])
 
@@ -180,7 +188,8 @@ def load_industry(zone: LandingZone, sink: Sink | Load) -> LoadReport:
 def load_enterprise(zone: LandingZone, sink: Sink | Load, map_path: str | None = None) -> LoadReport:
     def work(job: Job) -> None:
         industry_map = raw.read_industry_map(zone, map_path or zone.path(MAP_PATH))
-        job.write(dimensions.enterprise_enriched(raw.read_enterprises(zone), industry_map), "dim_enterprise")
+        companies = conform(job.text("enterprise"), model.RAW_ENTERPRISE)
+        job.write(dimensions.enterprise_enriched(companies, industry_map), "dim_enterprise")
 
     return _run(zone, sink, "enterprise", work, model.LANDED_PATHS["enterprise"], map_path or MAP_PATH)
 
@@ -218,13 +227,13 @@ def load_financials(
     def work(job: Job) -> None:
         income = balance = quotes = report = price_fact = None
         if wanted - {"dim_date"}:
-            balance = raw.read_balance(zone)
+            balance = raw.read_balance(zone, job.text("balance"))
         if wanted & {"dim_date", "fact_price_history", "fact_financial_ratio"}:
-            quotes = stage(raw.read_prices(zone), "prices")
+            quotes = raw.read_prices(zone, job.text("prices"))
         if "dim_date" in wanted:
             job.write(dimensions.dim_date(quotes), "dim_date", "overwrite")
         if wanted & {"fact_financial_report", "fact_financial_ratio"}:
-            income = raw.read_income(zone)
+            income = raw.read_income(zone, job.text("income"))
             report = stage(statements.financial_report(income, balance), "report")
         if "fact_financial_report" in wanted:
             job.write(report, "fact_financial_report", "overwrite")

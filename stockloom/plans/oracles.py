@@ -501,6 +501,21 @@ SELECT 'fact_ownership' AS table_name, faults, count(*) AS rejected FROM (
   FROM faults)
 WHERE faults <> '' GROUP BY faults""",
     ),
+    "scan_rejects": """
+SELECT CASE WHEN o_orderkey % 7 = 0
+            THEN concat_ws(',', o_orderkey, '"' || o_orderstatus || ', as ""is"""', o_custkey, 'EXTRA')
+            ELSE concat_ws(',', o_orderkey, o_orderstatus) END AS record,
+       CAST(3 AS INTEGER) AS expected, CAST(CASE WHEN o_orderkey % 7 = 0 THEN 4 ELSE 2 END AS INTEGER) AS found
+FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0""",
+    "scan_sound_rows": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus || ', as "is"' AS o_orderstatus,
+       CAST(o_custkey AS VARCHAR) AS o_custkey
+FROM orders WHERE o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0""",
+    "scan_mixed_headers": """
+SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name,
+       CASE WHEN s_suppkey % 2 = 0 THEN CAST(s_nationkey AS VARCHAR) END AS s_nationkey,
+       CASE WHEN s_suppkey % 2 = 0 THEN 'EVEN' ELSE 'ODD' END AS source
+FROM supplier""",
     "load_key_rejects": """
 WITH prices AS (
   SELECT 'C' || (o_custkey % 50) AS stock_code, CAST(o_orderdate AS DATE) AS trade_date,

@@ -445,3 +445,20 @@ def stakes_with_orphans(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Da
         suppliers.select(code(F.col("s_suppkey")).alias("stock_code")),
         parts.select(holder(F.col("p_partkey")).alias("holder_id")),
     )
+
+
+def ragged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a CSV file under the header o_orderkey,o_orderstatus,o_custkey, some with a cell more or less."""
+    key = F.col("o_orderkey")
+    quoted = F.concat(F.lit('"'), "o_orderstatus", F.lit(', as ""is"""'))
+    line = (
+        F.when(key % 7 == 0, F.concat_ws(",", key, quoted, "o_custkey", F.lit("EXTRA")))
+        .when(key % 11 == 0, F.concat_ws(",", key, "o_orderstatus"))
+        .otherwise(F.concat_ws(",", key, quoted, "o_custkey"))
+    )
+    return table(spark, sf_dir, "orders").select(line.alias("o_orderkey,o_orderstatus,o_custkey"))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Write ready lines, each file headed by the column's name."""
+    lines.write.options(header="true", sep="\u0002", quote="", escapeQuotes="false").csv(path)

@@ -5,6 +5,7 @@ The root may be any URI Spark can reach (object store, HDFS, local path).
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Sequence
 from datetime import datetime
@@ -15,24 +16,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockloom.functions.columns import field_ref
+from stockloom.sources.scratch import folder_names
 
 FORMATS = ("parquet", "csv", "json")
 
 # Quotes are doubled inside quoted cells, as spreadsheet tools and pandas write them.
-_CSV = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
+CSV = {"header": "true", "sep": ",", "quote": '"', "escape": '"'}
 # Times keep their microseconds, texts their outer blanks; an empty text is quoted, a null isn't.
 _TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 _CSV_WRITER = {
-    **_CSV,
+    **CSV,
     **_TIMES,
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "emptyValue": '""',
 }
-_EMPTY = "\u0001"  # stands for a quoted empty cell while a file is parsed
+EMPTY = "\u0001empty\u0001"  # stands for a quoted empty cell while a file is parsed
+MARK = "__row"  # a second column of tables with one: a null alone would be a blank line, which isn't a record
 
 
 def scan_csv(
@@ -52,12 +55,16 @@ def scan_csv(
     ``multiline`` allows line breaks inside quoted cells; such files cannot be split,
     so keep it off for big files.
     """
-    reader = spark.read.options(**_CSV, emptyValue=_EMPTY).option("multiLine", multiline)
+    reader = spark.read.options(**CSV, emptyValue=EMPTY).option("multiLine", multiline)
     header = reader.csv(path).columns
     as_text = T.StructType([T.StructField(name, T.StringType()) for name in header])
     cells = reader.option("enforceSchema", False).schema(as_text).csv(path)
     rows = cells.select(
-        *[F.when(field_ref(c) != _EMPTY, field_ref(c)).when(field_ref(c) == _EMPTY, "").alias(c) for c in header]
+        *[
+            F.when(field_ref(c) != EMPTY, field_ref(c)).when(field_ref(c) == EMPTY, "").alias(c)
+            for c in header
+            if c != MARK
+        ]
     )
     return rows if schema is None else conform(rows, schema)
 
@@ -127,7 +134,9 @@ class LandingZone:
             if when_empty == "fail":
                 raise ValueError(f"no rows for {folder}")
             return None
-        name = file_name or default_name()
+        name = file_name or self._free_name(folder, file_format)
+        if file_format == "csv" and len(df.columns) == 1:
+            df = df.withColumn(MARK, F.lit(1))
         counted = Observation()
         writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
         target = self.path(f"{folder}/{name}.{file_format}")
@@ -147,6 +156,12 @@ class LandingZone:
             writer.options(**{"ignoreNullFields": "false"} | _TIMES | options).json(target)
         return Landed(target, counted.get["rows"])
 
+    def _free_name(self, folder: str, file_format: str) -> str:
+        """The default name, with a number behind it if that second has a table already."""
+        taken, name = folder_names(self.spark, self.path(folder)), default_name()
+        numbers = itertools.chain([""], (f"_{n}" for n in itertools.count(2)))
+        return next(name + n for n in numbers if f"{name}{n}.{file_format}" not in taken)
+
     def read_dataframe(
         self,
         folder: str,

@@ -139,6 +139,14 @@ def test_take_until_found_stops_after_the_page_that_completes_the_list(spark):
     assert u.take_until_found(df, [], "code", "page").count() == 2
 
 
+def test_page_zero_and_rows_without_a_page(spark, rows):
+    df = spark.createDataFrame([(0, "A"), (1, "B"), (None, "C"), (2, "A")], "page int, code string")
+    assert u.take_until_found(df, None, "code", "page").count() == 4
+    assert rows(u.take_until_found(df, [], "code", "page"), "page", "code") == [(0, "A")]
+    assert rows(u.take_until_found(df, ["A"], "code", "page"), "page", "code") == [(0, "A")]
+    assert rows(u.take_until_found(df, ["C", "X"], "code", "page"), "page", "code") == [(None, "C")]
+
+
 def test_pages_beyond_the_first_ranges_are_read(spark, rows):
     df = spark.createDataFrame([(p, c) for p in (83, 84, 85, 90, 4000) for c in "AB"], "page int, code string")
     assert u.take_until_found(df, None, "code", "page").count() == 10

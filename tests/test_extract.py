@@ -210,3 +210,16 @@ def test_labels_stay_in_their_record(spark, rows):
         ("A", "0111"), ("A", "0112"), ("B", "0111"), ("B", "0112"), (None, "0111"), (None, "0112"),
     ]
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_industry_rows_of_a_long_page_are_linear_in_it(spark):
+    """A page of 50,000 rows, with a label in every fiftieth or in the first only."""
+    def page(every):
+        cells = "<td></td><td></td><td>{0:06d}</td><td></td><td>Name</td></tr>"
+        return "<table>" + "".join(f"<tr><td>{f'G{i}' if i % every == 0 else ''}</td>" + cells.format(i) for i in range(50_000)) + "</table>"
+
+    pages = spark.createDataFrame([(1, page(50)), (2, page(100_000))], "page_id long, html string")
+    found = x.industry_rows(pages)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    groups = {(r.page_id, r.industry_group): r.n for r in found.groupBy("page_id", "industry_group").agg(F.count("*").alias("n")).collect()}
+    assert len(groups) == 1001 and groups[1, "G49950"] == 50 and groups[2, "G0"] == 50_000

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from stockloom import model
 from stockloom.sources.landing import LandingZone, default_name, scan_csv
+from stockloom.sources.scan import headers, scan_files
 from stockloom.sources.objectstore import ObjectStore
 from stockloom.sources.scratch import scratch_path, scratch_root, stage
 
@@ -169,3 +170,49 @@ def test_empty_tables_by_choice(spark, zone):
         zone.save_dataframe(df.limit(0), "raw", "x", when_empty="fail")
     assert zone.save_dataframe(df.limit(0), "raw", "x", when_empty="write").rows == 0
     assert zone.read_dataframe("raw", "x").count() == 0
+
+
+def test_files_with_differing_headers_are_one_table(spark, tmp_path, rows):
+    write(tmp_path, "x_AAA.csv", 'a,b\n1,2\n"",\n', "utf-8-sig")
+    write(tmp_path, "x_BBB.csv", "b,a,c\n4,3,5\n")
+    write(tmp_path, "x_CCC.csv", "a,b\n6,7\n")
+    write(tmp_path, "x_DDD.csv", "")
+    assert [len(files) for files in headers(spark, str(tmp_path)).values()] == [2, 1]
+    found = scan_files(spark, str(tmp_path), tags={"source": r"_([A-Z]+)\.csv"}).rows()
+    assert rows(found, "source", "a", "b", "c") == [
+        ("AAA", "", None, None), ("AAA", "1", "2", None), ("BBB", "3", "4", "5"), ("CCC", "6", "7", None),
+    ]
+    typed = scan_files(spark, str(tmp_path)).rows(T.StructType().add("c", "integer").add("a", "integer"))
+    assert rows(typed) == [(5, 3), (None, 1), (None, 6), (None, None)]
+
+
+def test_ragged_records_are_rejects(spark, tmp_path, rows):
+    path = write(tmp_path, "r.csv", 'a,b,c\n1,2,3\nC,3,0630,EXTRA\nB,2\n"x,y","z",w\n')
+    scan = scan_files(spark, path)
+    assert rows(scan.rows()) == [("1", "2", "3"), ("x,y", "z", "w")]
+    assert rows(scan.rejects(), "expected", "found", "record") == [(3, 2, "B,2"), (3, 4, "C,3,0630,EXTRA")]
+    assert scan.rows().select("a").count() == 2 and scan.rejects().count() == 2  # whatever columns are read
+    assert scan.rejects().first().file.endswith("r.csv")
+    lines = write(tmp_path, "m.csv", 'code,address\nACB,"line 1\nline 2"\nX,"a\nb",c\n')
+    scan = scan_files(spark, lines, multiline=True)
+    assert rows(scan.rows()) == [("ACB", "line 1\nline 2")]
+    assert [(r.expected, r.found) for r in scan.rejects().collect()] == [(2, 3)]
+
+
+def test_nothing_to_scan(spark, tmp_path):
+    write(tmp_path, "e.csv", "")
+    scan = scan_files(spark, str(tmp_path))
+    assert scan.rows().collect() == [] == scan.rejects().collect()
+
+
+def test_nulls_of_a_single_column_survive(spark, zone, rows):
+    df = spark.createDataFrame([("a",), (None,), ("",), ("\u0001",), (None,)], "v string")
+    zone.save_dataframe(df, "raw", "one", "csv")
+    assert rows(zone.read_dataframe("raw", "one", "csv")) == rows(df)
+    assert rows(zone.read_dataframe("raw", "one", "csv", df.schema)) == rows(df)
+
+
+def test_saves_of_one_second_keep_apart(spark, zone, monkeypatch):
+    monkeypatch.setattr("stockloom.sources.landing.default_name", lambda: "data_20240506_070809")
+    saved = [zone.save_dataframe(spark.range(n), "raw") for n in (1, 2, 3)]
+    assert len(set(saved)) == 3 and [spark.read.parquet(p).count() for p in saved] == [1, 2, 3]
