@@ -503,7 +503,7 @@ WHERE faults <> '' GROUP BY faults""",
     ),
     "scan_rejects": """
 SELECT CASE WHEN o_orderkey % 7 = 0
-            THEN concat_ws(',', o_orderkey, '"' || o_orderstatus || ', as ""is"""', o_custkey, 'EXTRA')
+            THEN concat_ws(',', o_orderkey, '"' || o_orderstatus || ', as ""is""' || '"', o_custkey, 'EXTRA')
             ELSE concat_ws(',', o_orderkey, o_orderstatus) END AS record,
        CAST(3 AS INTEGER) AS expected, CAST(CASE WHEN o_orderkey % 7 = 0 THEN 4 ELSE 2 END AS INTEGER) AS found
 FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0""",
