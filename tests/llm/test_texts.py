@@ -3,6 +3,7 @@ import random
 import re
 
 import brute
+import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
@@ -131,6 +132,33 @@ def test_lines_equal_plain_version(spark):
         assert texts[i] == "\n".join(t for k, t in enumerate(parts) if k not in wanted[i][2])
 
 
+def test_lines_of_equal_runs_and_unlike_lengths_are_one(spark):
+    docs = [(1, "-" * 20), (2, "-" * 200), (3, "=" * 10 + "\n" + "=" * 300), (4, "a line of its own, said once")]
+    got = {r.doc_id: r.dropped for r in line_dedup.documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: [], 2: [0], 3: [1], 4: []}
+
+
+@pytest.mark.parametrize("bucket", [64, 4])
+def test_planted_pairs_are_met(spark, monkeypatch, bucket):
+    """Pairs at 0.8 to 0.95, alone and among lines that share half their runs with them, hence in large buckets."""
+    monkeypatch.setattr(line_dedup, "BUCKET", bucket)
+    monkeypatch.setattr(line_dedup, "HUBS", 4)
+    drawn = random.Random(3)
+    text = lambda n: "".join(drawn.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    lines, shared = [], text(130)
+    for i in range(150):
+        line = text(240) if i % 2 else shared + text(110)
+        cut = drawn.choice([3, 8, 14, 20])  # of 240 characters, at the end
+        lines += [line, line[:-cut] + text(cut)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r.doc_id: r.kept_lines for r in line_dedup.documents(docs).collect()}
+    runs = [{t[k : k + 8] for k in range(len(t) - 7)} for t in lines]
+    close = [i for i in range(0, len(lines), 2) if len(runs[i] & runs[i + 1]) >= 0.8 * len(runs[i] | runs[i + 1])]
+    assert len(close) > 100
+    assert sum(found[i + 1] == 0 for i in close) >= 0.99 * len(close)
+    assert sum(n == 0 for n in found.values()) <= len(close)
+
+
 def test_lines_of_odd_rows(odd_docs, no_docs):
     got = line_dedup.documents(odd_docs).collect()
     assert len(got) == odd_docs.count()
