@@ -2,14 +2,16 @@
 
 Texts become templates: numbers, quantities, units and names turn into typed placeholders, all
 other tokens stay, lower-cased. Windows of a template are hashed, and windows of documents
-are joined with windows of benchmark items by hash. Hits of a document and an item on one
-alignment are put together: each value of the item's placeholders must have become one value of the document
+are joined with windows of benchmark items by hash. Every window has a second hash, of its lower-cased tokens as they are, so that copies
+that differ in capitals only are met as well. Hits of a document and an item on one alignment, and those in one stretch of the document as long as the item,
+are put together: each value of the item's placeholders must have become one value of the document
 ("7" always "9", never "9" and "4"; "7" and "8" may both have become "9") in ``CONSISTENT`` of the
-placeholders, and the windows must cover ``COVER`` of the item's tokens. So a copied question is found, and one with other names and
-figures as well.
+placeholders, and the windows must cover ``COVER`` of the item's tokens. So a copied question is found, one with other names and
+figures as well, and one with a word put in or left out.
 
-A name is a capitalised token that doesn't begin a sentence. A window with fewer
-than half plain words says little as a template and is compared by its tokens as they are.
+A name is a capitalised token; one that begins a sentence is a name unless the benchmark has the word without a capital as well
+(by a bit table of fixed size, which may rarely take a name for such a word). A window without any plain word says nothing as a
+template and has its second hash only.
 Items of fewer than ``WINDOW + 1`` tokens get windows one token shorter than the item.
 
 Before the join, document windows are tested against a bit table of the benchmark's windows. Its
@@ -53,9 +55,14 @@ def _unit_hashes() -> np.ndarray:
     return np.unique(tokens(text, text).hashes)
 
 
-def template(found: Tokens, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Template codes of tokens, and which of them are placeholders."""
-    number, name = found.number, found.capital & ~found.opening
+def template(found: Tokens, units: np.ndarray, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Template codes of tokens, and which of them are placeholders. ``common``: bit table of words that are no names."""
+    number = found.number
+    usual = found.opening.copy() if common is None else np.zeros(len(number), bool)
+    if common is not None:
+        first = np.flatnonzero(found.opening & found.capital)
+        usual[first] = holds(common, found.hashes[first])
+    name = found.capital & ~usual
     unit = np.isin(found.hashes, units)
     unit[1:] &= number[:-1]
     unit[:1] = False
@@ -65,35 +72,52 @@ def template(found: Tokens, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return codes, number | found.measure | unit | name
 
 
-def window_hashes(codes: np.ndarray, raw: np.ndarray, slot: np.ndarray, size: int) -> np.ndarray:
-    """A hash for each window of ``size`` tokens, by template or, with few plain words, as it is."""
-    count = len(codes) - size + 1
+def common_words(items: DataFrame) -> np.ndarray:
+    """Bit table of the words that the items have without a capital."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                for found in token_blocks(text.as_py()):
+                    words = np.unique(found.hashes[~found.capital])
+                    yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64))], ["word"])
+
+    return bit_table(items.select("text").mapInArrow(cut, "word bigint").distinct())
+
+
+def window_hashes(values: np.ndarray, size: int) -> np.ndarray:
+    """A hash for each window of ``size`` values."""
+    count = len(values) - size + 1
     if count < 1:
         return np.empty(0, np.uint64)
-    slots = np.concatenate(([0], np.cumsum(slot)))
-    plain = size - (slots[size:] - slots[:-size])
-    by = []
-    for values in (codes, raw):
-        total = np.zeros(count, np.uint64)
-        for k in range(size):
-            total = total * np.uint64(_QUERY) + values[k : k + count]
-        by.append(mixed(total ^ np.uint64(size)))
-    return np.where(2 * plain >= size, by[0], by[1] ^ np.uint64(1))
-
-
-def _windows(text: str | None, sizes: list[int], units: np.ndarray):
-    """Blocks of (size, first position, window hashes, token hashes, placeholders), windows whole."""
+    total = np.zeros(count, np.uint64)
+    for k in range(size):
+        total = total * np.uint64(_QUERY) + values[k : k + count]
+    return mixed(total ^ np.uint64(size))
+
+
+def _windows(text: str | None, sizes: list[int], units: np.ndarray, common: np.ndarray):
+    """Blocks of (size, first position, hashes, which to use, token hashes, placeholders), windows whole.
+
+    Each comes by template, then by tokens as they are, where that differs; these have no placeholders.
+    """
     carry, at, most = None, 0, max(sizes) - 1
     for found in token_blocks(text):
-        codes, slot = template(found, units)
+        codes, slot = template(found, units, common)
         parts = (codes, found.hashes, slot)
         before = len(carry[0]) if carry else 0
         if carry:
             parts = tuple(map(np.concatenate, zip(carry, parts)))
         for size in sizes:  # windows that lie in the carried part came with the last block
             skip = max(0, before - size + 1)
-            cut = tuple(p[skip:] for p in parts)
-            yield size, at - before + skip, window_hashes(*cut, size), cut[1], cut[2]
+            codes, raw, slot = (p[skip:] for p in parts)
+            if len(codes) < size:
+                continue
+            sums = np.concatenate(([0], np.cumsum(slot)))
+            slots = sums[size:] - sums[:-size]
+            first = at - before + skip
+            yield size, first, window_hashes(codes, size), slots < size, raw, slot
+            yield size, first, window_hashes(raw, size), slots > 0, raw, np.zeros(len(slot), bool)
         at += len(found.hashes)
         carry = tuple(p[len(p) - min(most, len(p)) :] for p in parts) if most else None
 
@@ -102,7 +126,7 @@ def _sizes(count: int, window: int) -> int:
     return min(window, max(1, count - 1))
 
 
-def _item_windows(items: DataFrame, window: int) -> DataFrame:
+def _item_windows(items: DataFrame, window: int, common: np.ndarray) -> DataFrame:
     """item_id, copy, item_tokens, size, position, hash, slots (position and token of each placeholder)."""
     units = _unit_hashes()
 
@@ -112,8 +136,8 @@ def _item_windows(items: DataFrame, window: int) -> DataFrame:
             for item, copy, text in zip(*(c.to_pylist() for c in batch.columns)):
                 count = sum(len(b.hashes) for b in token_blocks(text))
                 size = _sizes(count, window)
-                for _, first, hashes, raw, slot in _windows(text, [size], units):
-                    rows += _rows([item, copy, count], size, first, hashes, raw, slot, range(len(hashes)))
+                for _, first, hashes, use, raw, slot in _windows(text, [size], units, common):
+                    rows += _rows([item, copy, count], size, first, hashes, raw, slot, np.flatnonzero(use))
             yield _batch(rows, ["item_id", "copy", "item_tokens"], [batch.schema.field(0).type, pa.int64(), pa.int64()])
 
     kind = dict(items.dtypes)["item_id"]
@@ -150,7 +174,7 @@ def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], names)
 
 
-def _doc_windows(docs: DataFrame, sizes: list[int], table: np.ndarray) -> DataFrame:
+def _doc_windows(docs: DataFrame, sizes: list[int], table: np.ndarray, common: np.ndarray) -> DataFrame:
     """Row hash, size, position, hash and slots of the windows that the bit table lets through."""
     units = _unit_hashes()
 
@@ -158,8 +182,8 @@ def _doc_windows(docs: DataFrame, sizes: list[int], table: np.ndarray) -> DataFr
         for batch in batches:
             rows = []
             for row, row2, text in zip(batch.column(0), batch.column(1), batch.column(2)):
-                for size, first, hashes, raw, slot in _windows(text.as_py(), sizes, units):
-                    which = np.flatnonzero(holds(table, hashes))
+                for size, first, hashes, use, raw, slot in _windows(text.as_py(), sizes, units, common):
+                    which = np.flatnonzero(holds(table, hashes) & use)
                     if len(which):
                         rows += _rows([row.as_py(), row2.as_py()], size, first, hashes, raw, slot, which)
                 if len(rows) > 20_000:
@@ -178,18 +202,23 @@ def matches(rows: DataFrame, items: DataFrame, window: int = WINDOW, cover: floa
     Columns: item_id, covered (share of the item's tokens), slots (placeholders compared) and
     changed (placeholders filled differently; 0: copied as it is).
     """
-    known = stage(_item_windows(items, window), "benchmark-windows")
+    common = common_words(items.where("item_id is not null"))
+    known = stage(_item_windows(items, window, common), "benchmark-windows")
     sizes = sorted(r[0] for r in known.select("size").distinct().collect())  # at most ``window`` of them
     if not sizes:
         sizes = [window]
     table = bit_table(known.select("hash"))
-    hits = _doc_windows(rows, sizes, table).withColumnsRenamed({"position": "at", "slots": "filled"})
+    hits = _doc_windows(rows, sizes, table, common).withColumnsRenamed({"position": "at", "slots": "filled"})
     met = hits.join(known, ["size", "hash"])
     pairs = F.arrays_zip(F.col("slots"), F.col("filled"))
-    key = [*ROW, "item_id", "copy", "shift"]
+    key = [*ROW, "item_id", "copy", "stretch"]
+    shift, length = F.col("at") - F.col("position"), F.col("item_tokens")
+    # Each alignment by itself, since items that repeat a pattern also meet themselves shifted; then stretches as long as the
+    # item, and those half a length on: what lies close together shares one of them.
+    stretches = F.array(3 * shift, 3 * F.floor(shift / length) + 1, 3 * F.floor(shift / length + 0.5) + 2)
     aligned = met.select(
         *ROW, "item_id", "copy", "item_tokens", "size", "position",
-        (F.col("at") - F.col("position")).alias("shift"),
+        F.explode(stretches).alias("stretch"),
         F.transform(
             pairs,
             lambda p: F.struct(
@@ -199,10 +228,10 @@ def matches(rows: DataFrame, items: DataFrame, window: int = WINDOW, cover: floa
             ),
         ).alias("pairs"),
     )
-    # an alignment holds at most one hit per window of the item
+    # a stretch holds at most as many alignments as the item has tokens
     runs = aligned.groupBy(*key, "item_tokens").agg(
         F.sort_array(F.collect_set(F.struct("position", "size"))).alias("spans"),
-        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
     start = F.struct(F.lit(0).cast("bigint").alias("end"), F.lit(0).cast("bigint").alias("sum"))
     covered = F.aggregate(
@@ -243,8 +272,8 @@ def matches(rows: DataFrame, items: DataFrame, window: int = WINDOW, cover: floa
         F.size("pairs").alias("slots"),
         F.size(F.filter("pairs", lambda p: p["mine"] != p["theirs"])).alias("changed"),
     )
-    best = Window.partitionBy(*ROW, "item_id").orderBy(F.desc("covered"), "changed", "shift", "copy")
-    return judged.withColumn("n", F.row_number().over(best)).where("n = 1").drop("n", "copy", "shift")
+    best = Window.partitionBy(*ROW, "item_id").orderBy(F.desc("covered"), "changed", "stretch", "copy")
+    return judged.withColumn("n", F.row_number().over(best)).where("n = 1").drop("n", "copy", "stretch")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import re
 
 import brute
+import numpy as np
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -63,16 +64,39 @@ def test_templates(spark):
     assert decontaminate.clean(docs, items.limit(0)).count() == len(TEXTS)
 
 
+def test_reparameterised_questions_are_found(spark):
+    items = [
+        (1, "Tom has five red marbles. Ann takes three of them. Tom then counts what is left in the bag."),
+        (2, "the quick brown fox jumps over the lazy dog while the farmer looks on from the old barn door"),
+        (3, "Mix 5 kg and 3 kg, 12 ml and 9 ml, 40 g and 7 g, then heat 20 minutes at 180 degrees."),
+        (4, "A shop sells pencils in boxes of twelve and every class of the school buys four boxes each autumn term."),
+    ]
+    texts = [
+        (10, "Sue has five red marbles. Max takes three of them. Sue then counts what is left in the bag."),
+        (11, "Sue has five red marbles. Max takes three of them. Kim then counts what is left in the bag."),
+        (20, "The Quick Brown Fox Jumps Over The Lazy Dog While The Farmer Looks On From The Old Barn Door"),
+        (30, "Mix 8 kg and 1 kg, 15 ml and 6 ml, 60 g and 2 g, then heat 35 minutes at 200 degrees."),
+        (40, "A shop sells pencils in boxes of twelve and every single class of the school buys four boxes each autumn term."),
+        (50, "Then he counts what is left of the red marbles while the farmer looks on and every class heats water."),
+        (51, "In 2019 Anna Schmidt sold 40 kg of apples, 30 kg of pears and 20 kg of plums to 12 shops in Bremen."),
+        (52, "Kim Has 3 Cats. Lee Has 4 Dogs. Sam Has 5 Cows. Pat Has 6 Pigs. Jo Has 7 Hens. Al Has 8 Ducks."),
+    ]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(10, 1), (20, 2), (30, 3), (40, 4)}
+
+
 def test_templates_do_not_depend_on_blocks(monkeypatch):
     text = "Alice has 5 km. " * 300 + "then Bob said 3.5 words of some length again and again to all. " * 20
     units = decontaminate._unit_hashes()
 
     def found():
         out = {}
-        for size, first, hashes, raw, slot in decontaminate._windows(text, [3, 8], units):
+        cut = decontaminate._windows(text, [3, 8], units, np.zeros(1 << 17, np.uint32))
+        for n, (size, first, hashes, use, raw, slot) in enumerate(cut):
             for i, h in enumerate(hashes.tolist()):
-                assert (size, first + i) not in out
-                out[size, first + i] = h, tuple(slot[i : i + size].tolist())
+                assert (n % 2, size, first + i) not in out
+                out[n % 2, size, first + i] = h, bool(use[i]), tuple(slot[i : i + size].tolist())
         return out
 
     whole = found()
