@@ -64,10 +64,10 @@ def op3_toxicity_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", langid.held_out("doc_id", 4, 2))
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    gain = toxicity.train(toxicity.labelled(docs.where("not held_out"), labels))
-    found = stage(toxicity.compared(docs, gain), "toxicity")
-    curve = toxicity.fitted(found.where("not held_out").join(labels, "doc_id"))
-    score = toxicity.score(F.col("difference"), curve)
+    docs = docs.withColumn("apart", toxicity.for_curve(F.col("text")))
+    gains = toxicity.train(toxicity.labelled(docs.where("not held_out and not apart"), labels))
+    found = stage(toxicity.compared(docs, gains), "toxicity")
+    score = toxicity.score(toxicity.fitted(found.where("not held_out").join(labels, "doc_id")))
     return found.select("doc_id", "held_out", score.alias("score"), toxicity.predicted(score).alias("predicted"))
 
 

@@ -1,30 +1,35 @@
 """Toxicity by two Kneser-Ney models of words, one of toxic and one of ordinary texts.
 
-Kneser-Ney smoothing judges a word not by how often it occurs but by how many different words
-it follows: a passage that is copied a thousand times counts once. With N_c(w) the number of
-distinct words before w in class c, N(w) that of both classes and d a discount,
-
-    p_c(w) = (1 - rest) * (N_c(w) - d)+ / sum (N_c - d)+  +  rest * p(w)
-    p(w)   = (N(w) + 1) / (sum N + slots)
-    rest   = sum min(N, d) / sum N
-
-The backoff ``p`` and its share ``rest`` come from the counts of both classes together, so a
-word that a class has hardly seen is left to what both share, and a word that neither knows compares as equal.
-
-A text is read in windows of ``WINDOW`` words, each starting half a window after the last. Their
-log-likelihoods per word are compared (those of a shorter text as if it had ``WINDOW`` words), and the
-largest difference stands for the text: a few toxic words in a long text weigh as much as in
-a short one. A logistic curve, fitted to a histogram of the labelled texts, turns
-it into a score from 0 to 1.
-
-Distinct pairs of words are counted over all labelled texts, in Spark (of a word's predecessors, two of 2**40
-hashes may rarely be taken for one). Words are summed into
-``WORDS`` hashed slots, whatever the size of the corpus; slots with more than d
-predecessors in a class, ``WORDS`` at most, reach the driver and are broadcast.
-
-Null and empty texts have no words and compare as equal (difference 0). Rows without a label teach
-nothing; a document with several labels teaches each. With one class missing all scores are
-the share of toxic labels, 0 without any label.
+A class c gives a word w behind v the probability
+
+    p_c(w | v) = (1 - r2) * (C_c(v, w) - d2)+ / sum over w of (C_c(v, w) - d2)+  +  r2 * p_c(w)
+    p_c(w)     = (1 - r1) * (N_c(w) - d1)+ / sum (N_c - d1)+  +  r1 * p(w)
+    p(w)       = classes(w) / sum classes
+
+C_c(v, w) is the number of texts of the class with the pair (a text over ``tokens.BLOCK`` bytes counts once a
+block), N_c(w) the number of distinct words before w, so a passage that is copied a thousand times
+counts once there, and classes(w) the number of classes that know w. The discounts come from the counts of counts of both
+classes together, d = n1 / (n1 + 2 n2), and so do the shares r1 and r2 of the backoff, which both classes
+have in common. Rare expressions are left to it: a pair in fewer than
+``LEAST`` texts of both classes, or behind a word that only one class knows, is as likely as its word; a word with fewer
+than ``LEAST`` distinct predecessors is as likely in one class as in the other.
+
+The difference of the log-likelihoods is then a sum of gains: that of each word, and what a known pair
+adds to it. Gains below ``SLIGHT`` are left out of the table. A text is compared by three
+numbers: ``mean``, all its gains by its words, that is its length-normalised log-likelihoods; ``peak``, the largest mean of
+the gains of ``WINDOW`` words in a row (a shorter text is taken as one with ``WINDOW`` words), since a mean over
+a long text drowns a few words; and ``phrase``, the largest gain of a pair, apart from the peak since
+copied passages count in pairs. A logistic curve of the three, fitted to a histogram, gives a score from 0 to 1.
+The curve learns from a quarter of the labelled texts, by their checksum, the models from the
+others, as texts that a model has seen look clearer to it than new ones.
+
+Pairs are counted in Spark over whole texts; words are told by 64-bit hashes, predecessors of one word by 32
+bits. The table of gains grows with the corpus. Up to ``HELD`` entries (12 bytes each) are broadcast; a larger
+one is joined with the words that a bit table lets through. Gains are multiples of 2**-10, so both ways give the same sums.
+
+Null and empty texts have no words: the three are 0. Rows without a label teach
+nothing; a document with several labels teaches each. With one class missing there are no gains, and all scores are
+the share of toxic labels, 0 without any label. If the curve's quarter lacks a class, it learns from all labelled texts.
 """
 
 from __future__ import annotations
@@ -37,29 +42,37 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from stockloom.llm.bits import among
+from stockloom.llm.bits import among, bit_table, holds
 from stockloom.llm.tokens import mixed, token_blocks
 from stockloom.sources.scratch import stage
 
-WORDS = 1 << 22
-DISCOUNT = 4.0
+LEAST = 5
+SLIGHT = 0.3
 WINDOW = 2  #: words of an expression
-BINS = 400  #: of the histogram of differences, from -SPAN to SPAN
-SPAN = 5.0
+HELD = 1 << 22  #: entries of a table of gains that is broadcast
+FILTER_BITS = 25
 THRESHOLD = 0.3
+PAIRS = 1 << 21  #: words whose pairs are counted at a time
 
 _START = np.uint64(0x5851F42D4C957F2D)
+# lowest, highest and number of bins of the histogram
+_BINS = {"mean": (-4.0, 4.0, 81), "peak": (-10.0, 10.0, 201), "phrase": (-10.0, 10.0, 41)}
+NUMBERS = list(_BINS)
+_ONE = 1024.0
 
 
 class Curve(NamedTuple):
-    slope: float
+    mean: float
+    peak: float
+    phrase: float
     offset: float
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - (WORDS.bit_length() - 1))).astype(np.int64)
+class Gains(NamedTuple):
+    table: DataFrame  #: key, gain, pair (or else a word)
+    n: int
 
 
 def _hash_blocks(text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -72,34 +85,52 @@ def _hash_blocks(text: str | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield before, words
 
 
-def _pairs(labelled: DataFrame) -> DataFrame:
-    """pair (slot of a word, hash of the word before) and class (1 ordinary, 2 toxic): distinct within a batch."""
+def _short(before: np.ndarray) -> np.ndarray:
+    return (mixed(before) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def _pair_keys(short: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mixed(words + mixed(short.view(np.uint32).astype(np.uint64) + np.uint64(1)))
+
+
+def _pairs(known: DataFrame) -> DataFrame:
+    """word, before and the numbers of texts of each class with the pair: summed over some texts of a task."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            held: dict[int, list] = {0: [], 1: []}
-            size = 0
             for text, toxic in zip(batch.column(0), batch.column(1)):
                 for before, words in _hash_blocks(text.as_py()):
-                    held[toxic.as_py()].append((before, words))
-                    size += len(words)
-                    if size > 1 << 20:
-                        yield from map(_counted, held, held.values())
-                        held, size = {0: [], 1: []}, 0
-            yield from map(_counted, held, held.values())
-
-    return labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
-        count, "pair bigint, class tinyint"
-    )
-
-
-def _counted(toxic: int, parts: list) -> pa.RecordBatch:
-    before = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.uint64)
-    words = np.concatenate([p[1] for p in parts]) if parts else np.empty(0, np.uint64)
-    pairs = np.unique(_slot(words) << 40 | (mixed(before) >> np.uint64(24)).astype(np.int64))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(pairs), pa.array(np.full(len(pairs), 1 + toxic, np.int8))], ["pair", "class"]
-    )
+                    pairs = _unique(words, _short(before))[:2]
+                    held.append((*pairs, np.full(len(pairs[0]), toxic.as_py(), np.int32)))
+                    size += len(pairs[0])
+                    if size > PAIRS:
+                        yield _counted(held)
+                        held, size = [], 0
+        if held:
+            yield _counted(held)
+
+    columns = known.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
+    return columns.mapInArrow(count, "word bigint, before int, toxic int, plain int")
+
+
+def _unique(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, the order that sorts them and where each begins in it."""
+    order = np.lexsort((before, words))
+    words, before = words[order], before[order]
+    new = np.ones(len(words), bool)
+    new[1:] = (words[1:] != words[:-1]) | (before[1:] != before[:-1])
+    first = np.flatnonzero(new)
+    return words[first], before[first], order, first
+
+
+def _counted(parts: list) -> pa.RecordBatch:
+    words, before, toxic = (np.concatenate(p) for p in zip(*parts))
+    keys, shorts, order, first = _unique(words, before)
+    n_toxic = np.add.reduceat(toxic[order], first) if len(first) else toxic
+    n = np.diff(np.append(first, len(words))).astype(np.int32)
+    columns = [keys.view(np.int64), shorts, n_toxic.astype(np.int32), n - n_toxic.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "before", "toxic", "plain"])
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -110,93 +141,245 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return some.select("doc_id", "text").join(known.hint("merge"), "doc_id").select("text", "toxic")
 
 
-def train(known: DataFrame) -> np.ndarray:
-    """Gains by slot, a word's toxic less its ordinary log-probability, from rows (text, toxic)."""
-    pairs = _pairs(known.where("toxic in (0, 1)")).groupBy("pair").agg(F.bit_or("class").alias("class"))
+def for_curve(text: Column) -> Column:
+    """Whether the curve learns from a text, and not the models."""
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % 4 == 0
+
+
+def _discount(table: DataFrame, n: Column) -> tuple[float, float]:
+    """Discount and share of the backoff, from the counts ``n`` of both classes."""
+    ones, twos, own, own_n, total = table.agg(
+        F.sum((n == 1).cast("double")), F.sum((n == 2).cast("double")), F.sum((n >= LEAST).cast("double")),
+        F.sum(F.when(n >= LEAST, n).cast("double")), F.sum(n.cast("double")),
+    ).first()
+    ones, twos, own, own_n, total = (v or 0.0 for v in (ones, twos, own, own_n, total))
+    discount = min(1.0, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
+    return discount, (total - own_n + own * discount) / max(total, 1.0)
 
-    def of(c: int) -> Column:
-        return F.sum((F.col("class").bitwiseAND(F.lit(c)) > 0).cast("int"))
 
-    words = pairs.groupBy(F.shiftright("pair", 40).alias("slot")).agg(
-        of(2).alias("toxic"), of(1).alias("plain"), F.count("*").alias("both")
+def _rounded(value: Column) -> Column:
+    return F.round(value * _ONE) / _ONE
+
+
+def train(known: DataFrame) -> Gains:
+    """Gains (key of a word or a pair, toxic less ordinary log-probability) of rows (text, toxic)."""
+    # by both words, as one word alone may be in a third of all pairs
+    pairs = _pairs(known.where("toxic in (0, 1)")).groupBy("word", "before")
+    pairs = stage(pairs.agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "toxicity-pairs")
+    words = pairs.groupBy("word").agg(
+        F.count("*").alias("n"),
+        *(F.sum((F.col(c) > 0).cast("bigint")).alias(c) for c in ("toxic", "plain")),
     )
     words = stage(words, "toxicity-words")
-    over = [F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) for c in ("toxic", "plain")]
-    sums = words.agg(
-        *map(F.sum, over), F.sum(F.least("both", F.lit(DISCOUNT))), F.sum(F.col("both").cast("double"))
-    ).first()
-    toxic, plain, freed, total = (v or 0.0 for v in sums)
-    found = words.where(F.greatest("toxic", "plain") > DISCOUNT).toArrow()
-    gain = np.zeros(WORDS, np.float32)
-    if toxic and plain:
-        at, n_toxic, n_plain, both = (found.column(c).to_numpy() for c in ("slot", "toxic", "plain", "both"))
-        rest = freed / total
-        shared = rest * (both + 1) / (total + WORDS)
-        gain[at] = np.log((1 - rest) * np.maximum(n_toxic - DISCOUNT, 0) / toxic + shared) - np.log(
-            (1 - rest) * np.maximum(n_plain - DISCOUNT, 0) / plain + shared
-        )
-    return gain
+    d1, r1 = _discount(words, F.col("n"))
+    d2, r2 = _discount(pairs, F.col("toxic") + F.col("plain"))
+
+    def over(c: str, discount: float) -> Column:
+        return F.greatest(F.col(c) - discount, F.lit(0.0))
+
+    own = words.where(F.col("n") >= LEAST)
+    sums = own.agg(*(F.sum(over(c, d1)) for c in ("toxic", "plain"))).first()
+    classes = (F.col("toxic") > 0).cast("int") + (F.col("plain") > 0).cast("int")
+    all_classes = words.agg(F.sum(classes)).first()[0] or 1
+    toxic, plain = (v or 0.0 for v in sums)
+    if not (toxic and plain):
+        return Gains(words.select(F.col("word").alias("key"), F.lit(0.0).alias("gain"), F.lit(True).alias("pair")).where("false"), 0)
+
+    def level(c: str, total: float) -> Column:
+        return (1 - r1) * over(c, d1) / total + r1 * classes / all_classes
+
+    likely = words.select("word", "n", level("toxic", toxic).alias("p_toxic"), level("plain", plain).alias("p_plain"))
+    gain = _rounded(F.log("p_toxic") - F.log("p_plain"))
+    of_words = likely.where(F.col("n") >= LEAST).select(F.col("word").alias("key"), gain.alias("gain"))
+
+    known_pairs = pairs.where(F.col("toxic") + F.col("plain") >= LEAST)
+    behind = known_pairs.groupBy("before").agg(
+        *(F.sum(over(c, d2)).alias(f"all_{c}") for c in ("toxic", "plain"))
+    ).where("all_toxic > 0 and all_plain > 0")
+    shared = r1 * classes / all_classes
+    rare = F.col("n") < LEAST
+    base = words.select(
+        "word",
+        *(F.when(rare, shared).otherwise(level(c, t)).alias(f"p_{c}") for c, t in (("toxic", toxic), ("plain", plain))),
+    )
+    both = known_pairs.join(behind, "before").join(base, "word")
 
+    def pair_level(c: str) -> Column:
+        return (1 - r2) * over(c, d2) / F.col(f"all_{c}") + r2 * F.col(f"p_{c}")
 
-def fitted(known: DataFrame) -> Curve:
-    """Curve of rows (difference, toxic), from a histogram of ``2 * BINS`` counts."""
-    bin_ = F.floor((F.greatest(F.lit(-SPAN), F.least(F.lit(SPAN), "difference")) + SPAN) * (BINS - 1) / (2 * SPAN))
-    n = np.zeros((2, BINS))
-    for toxic, at, count in known.where("toxic in (0, 1)").groupBy("toxic", bin_.alias("bin")).count().collect():
-        n[toxic, at] = count
-    total, share = n.sum(), n[1].sum() / max(1.0, n.sum())
-    if not 0 < share < 1:
-        edge = 1e-9 if share == 0 else 1 - 1e-9
-        return Curve(0.0, math.log(edge / (1 - edge)))
-    x = (np.arange(BINS) + 0.5) * 2 * SPAN / (BINS - 1) - SPAN
-    weights = np.zeros(2)
+    more = _rounded(F.log(pair_level("toxic")) - F.log(pair_level("plain"))) - gain
+    of_pairs = both.select("word", "before", more.alias("gain")).where(F.abs("gain") >= SLIGHT)
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, before = (batch.column(i).to_numpy() for i in (0, 1))
+            keys = _pair_keys(before, words.view(np.uint64)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(2)], ["key", "gain"])
+
+    of_pairs = of_pairs.mapInArrow(keyed, "key bigint, gain double")
+    table = of_words.where(F.abs("gain") >= SLIGHT).withColumn("pair", F.lit(False))
+    table = table.union(of_pairs.withColumn("pair", F.lit(True)))
+    # two expressions with one hash share a gain
+    table = table.groupBy("key").agg(F.sum("gain").alias("gain"), F.min("pair").alias("pair"))
+    table = stage(table, "toxicity-gains")
+    return Gains(table, table.count())
+
+
+def _found(text: str | None, bits: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Blocks of a text: place of the first word, words, and places and keys that the bit table holds."""
+    at = 0
+    for before, words in _hash_blocks(text):
+        keys = np.concatenate((words, _pair_keys(_short(before), words)))
+        some = np.flatnonzero(holds(bits, keys))
+        yield at, len(words), some % len(words), keys[some].view(np.int64)
+        at += len(words)
+
+
+def compared_text(
+    text: str | None, bits: np.ndarray, keys: np.ndarray, gains: np.ndarray, pair: np.ndarray
+) -> tuple[float, float, float]:
+    """(mean, peak, phrase) of a text; ``keys`` are sorted."""
+    total, n, peak, phrase, carry = 0.0, 0, -math.inf, -math.inf, np.empty(0)
+    for _, size, places, found in _found(text, bits):
+        at = np.searchsorted(keys, found)
+        known = at < len(keys)
+        known[known] = keys[at[known]] == found[known]
+        at, places = at[known], places[known]
+        words, pairs = (np.bincount(places[k], gains[at[k]], size) for k in (~pair[at], pair[at]))
+        total, n = total + float(words.sum() + pairs.sum()), n + size
+        phrase = max(phrase, float(pairs.max()))
+        words = np.concatenate((carry, words))
+        if len(words) >= WINDOW:
+            peak = max(peak, float(np.convolve(words, np.ones(WINDOW), "valid").max()))
+        carry = words[-(WINDOW - 1) :]
+    if not n:
+        return 0.0, 0.0, 0.0
+    return total / n, (peak if n >= WINDOW else float(words.sum())) / WINDOW, phrase
+
+
+def compared(docs: DataFrame, gains: Gains, held: int = HELD) -> DataFrame:
+    """``docs`` without text, with ``mean``, ``peak`` and ``phrase``; columns of these names are replaced."""
+    bits = bit_table(gains.table.select("key"), FILTER_BITS)
+    names = [c for c in docs.columns if c not in ("text", *NUMBERS)]
+    return (_by_broadcast if gains.n <= held else _by_join)(docs.select("text", *names), gains, bits)
+
+
+def _fields(docs: DataFrame) -> list[StructField]:
+    return [f for f in docs.schema.fields if f.name != "text"]
+
+
+def _by_broadcast(docs: DataFrame, gains: Gains, bits: np.ndarray) -> DataFrame:
+    table = gains.table.orderBy("key").toArrow()
+    columns = (table.column(c).to_numpy(zero_copy_only=False) for c in ("key", "gain", "pair"))
+    shared = docs.sparkSession.sparkContext.broadcast((bits, *columns))
+    schema = StructType([*_fields(docs), *(StructField(c, DoubleType()) for c in NUMBERS)])
+    names = schema.names
+
+    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.array([compared_text(t.as_py(), *shared.value) for t in batch.column(0)], float).reshape(-1, 3)
+            added = [pa.array(values[:, i]) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *added], names)
+
+    return docs.mapInArrow(add, schema)
+
+
+def _by_join(docs: DataFrame, gains: Gains, bits: np.ndarray) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    place = ArrayType(StructType([StructField("at", LongType()), StructField("key", LongType())]))
+    rows = docs.withColumn("__row", F.monotonically_increasing_id())
+    schema = StructType([*_fields(rows), StructField("__n", LongType()), StructField("__found", place)])
+    names = schema.names
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("at", pa.int64()), ("key", pa.int64())]))
+        for batch in batches:
+            sizes, found = [], []
+            for text in batch.column(0):
+                blocks = list(_found(text.as_py(), shared.value))
+                sizes.append(sum(b[1] for b in blocks))
+                found.append([{"at": b[0] + p, "key": k} for b in blocks for p, k in zip(b[2].tolist(), b[3].tolist())])
+            added = [pa.array(sizes, pa.int64()), pa.array(found, kind)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *added], names)
+
+    rows = stage(rows.mapInArrow(find, schema), "toxicity-found")
+    hits = rows.select("__row", "__n", F.explode("__found").alias("f")).select("__row", "__n", "f.at", "f.key")
+    of = [F.sum(F.when(F.col("pair") == pair, F.col("gain"))) for pair in (False, True)]
+    places = hits.join(gains.table, "key").groupBy("__row", "__n", "at").agg(of[0].alias("word"), of[1].alias("of_pair"))
+    # a word is in the windows that begin up to WINDOW - 1 words before it
+    last = F.greatest(F.col("__n") - WINDOW, F.lit(0))
+    starts = F.sequence(F.greatest(F.col("at") - (WINDOW - 1), F.lit(0)), F.least("at", last))
+    windows = places.where("word is not null").select("__row", "word", F.explode(starts).alias("start"))
+    sums = windows.groupBy("__row", "start").agg(F.sum("word").alias("sum"))
+    peaks = sums.groupBy("__row").agg(F.max("sum").alias("top"), F.count("*").alias("windows"))
+    nothing = F.lit(0.0)
+    totals = places.groupBy("__row").agg(
+        F.sum(F.coalesce("word", nothing) + F.coalesce("of_pair", nothing)).alias("total"),
+        F.max("of_pair").alias("best"), F.count("of_pair").alias("pairs"),
+    )
+    met = rows.drop("__found").join(peaks, "__row", "left").join(totals, "__row", "left")
+
+    def most(best: str, seen: str, places: Column) -> Column:
+        """The largest gain, 0 where a place has none."""
+        rest = F.coalesce(seen, F.lit(0)) < places
+        return F.when(rest, F.greatest(F.coalesce(best, nothing), nothing)).otherwise(F.col(best))
+
+    return met.select(
+        *(f.name for f in _fields(docs)),
+        F.coalesce(F.col("total") / F.greatest("__n", F.lit(1)), nothing).alias("mean"),
+        (most("top", "windows", F.greatest(F.col("__n") - (WINDOW - 1), F.lit(1))) / WINDOW).alias("peak"),
+        most("best", "pairs", F.greatest("__n", F.lit(1))).alias("phrase"),
+    )
+
+
+def _bin(value: str, low: float, high: float, bins: int) -> Column:
+    inside = F.greatest(F.lit(low), F.least(F.lit(high), value))
+    return F.floor((inside - low) * (bins - 1) / (high - low) + 0.5)
+
+
+def _logistic(x: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    total, weights = n.sum(), np.zeros(x.shape[1])
     for _ in range(100):  # Newton steps with a slight pull to zero, so that separable texts have a fit
-        p = 1 / (1 + np.exp(-np.clip(weights[0] * x + weights[1], -30, 30)))
-        rest, curve = n[1] - n.sum(0) * p, n.sum(0) * p * (1 - p)
-        gradient = np.array([(rest * x).sum(), rest.sum()]) / total - 1e-4 * weights
-        hessian = np.array([[(curve * x * x).sum(), (curve * x).sum()], [(curve * x).sum(), curve.sum()]]) / total
-        step = np.linalg.solve(hessian + 1e-4 * np.eye(2), gradient)
+        p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+        gradient = x.T @ (n * (toxic - p)) / total - 1e-4 * weights
+        hessian = (x.T * (n * p * (1 - p))) @ x / total + 1e-4 * np.eye(len(weights))
+        step = np.linalg.solve(hessian, gradient)
         weights += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
-    return Curve(max(0.0, float(weights[0])), float(weights[1]))
-
-
-def difference(text: str | None, gain: np.ndarray) -> float:
-    """Largest difference of the log-likelihoods per word of a window; positive: rather toxic."""
-    most, carry = None, np.empty(0)
-    half = WINDOW // 2
-    for _, words in _hash_blocks(text):
-        gains = np.concatenate((carry, gain[_slot(words)]))
-        full = max(0, (len(gains) - WINDOW) // half + 1)
-        if full:
-            sums = np.concatenate(([0], np.cumsum(gains)))
-            at = np.arange(full) * half
-            best = float((sums[at + WINDOW] - sums[at]).max())
-            most = best if most is None else max(most, best)
-        carry = gains[full * half :]
-    if len(carry) and (most is None or len(carry) > WINDOW - half):
-        most = max(float(carry.sum()), -math.inf if most is None else most)
-    return (most or 0.0) / WINDOW
-
-
-def compared(docs: DataFrame, gain: np.ndarray) -> DataFrame:
-    """``docs`` without text, with ``difference``; a column of that name is replaced."""
-    shared = docs.sparkSession.sparkContext.broadcast(gain)
-    fields = [f for f in docs.schema.fields if f.name not in ("text", "difference")]
-    names = [f.name for f in fields]
+    return weights
 
-    def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = np.array([difference(t.as_py(), shared.value) for t in batch.column(0)], float)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(values)], [*names, "difference"])
 
-    schema = StructType([*fields, StructField("difference", DoubleType())])
-    return docs.select("text", *names).mapInArrow(add, schema)
+def fitted(known: DataFrame) -> Curve:
+    """Curve of rows (mean, peak, phrase, toxic, apart), from a histogram; ``apart`` marks the rows it learns from."""
+    counted = known.where("toxic in (0, 1)").groupBy(
+        "toxic", "apart", *(_bin(c, *bins).alias(c) for c, bins in _BINS.items())
+    )
+    cells = np.array([tuple(map(float, r)) for r in counted.count().collect()]).reshape(-1, 6)
+    own = cells[cells[:, 1] == 1]
+    if len(np.unique(own[:, 0])) == 2:
+        cells = own
+    toxic, n = cells[:, 0], cells[:, -1]
+    total, share = n.sum(), (n * toxic).sum() / max(1.0, n.sum())
+    if not 0 < share < 1:
+        edge = 1e-9 if share == 0 else 1 - 1e-9
+        return Curve(0.0, 0.0, 0.0, math.log(edge / (1 - edge)))
+    scaled = [low + cells[:, 2 + i] * (high - low) / (bins - 1) for i, (low, high, bins) in enumerate(_BINS.values())]
+    x = np.stack([*scaled, np.ones(len(cells))], 1)
+    used = np.ones(4, bool)
+    while True:
+        weights = np.zeros(4)
+        weights[used] = _logistic(x[:, used], n, toxic)
+        against = used & (weights < 0) & (np.arange(4) < 3)  # no number speaks against toxicity the more toxic it is
+        if not against.any():
+            break
+        used[against] = False
+    return Curve(*map(float, weights))
 
 
-def score(difference: Column, curve: Curve) -> Column:
-    return 1 / (1 + F.exp(-(F.lit(curve.slope) * difference + F.lit(curve.offset))))
+def score(curve: Curve) -> Column:
+    """Score of the columns ``mean``, ``peak`` and ``phrase``."""
+    return 1 / (1 + F.exp(-sum((F.lit(w) * F.col(c) for w, c in zip(curve, NUMBERS)), F.lit(curve.offset))))
 
 
 def predicted(score: Column, threshold: float = THRESHOLD) -> Column:

@@ -76,48 +76,98 @@ def test_language_of_odd_rows(odd_docs, no_docs):
     assert {r.lang_pred for r in langid.identified(odd_docs, nothing).collect()} == {"und"}
 
 
-def test_kneser_ney_gains_equal_plain_counts(spark):
-    drawn = random.Random(2)
-    rows = []
+def plain_gains(rows):
+    """Gains of words and of pairs by the definitions; ``rows``: (words, toxic)."""
+    texts, before = {}, {}
+    for words, toxic in rows:
+        for v, w in set(zip(["", *words], words)):
+            texts.setdefault((v, w), [0, 0])[toxic] += 1
+    for (v, w), n in texts.items():
+        before.setdefault(w, [set(), set()])
+        for c in (0, 1):
+            if n[c]:
+                before[w][c].add(v)
+    both = {w: len(a | b) for w, (a, b) in before.items()}
+
+    def discount(counts):
+        ones, twos = sum(n == 1 for n in counts), sum(n == 2 for n in counts)
+        d = min(1.0, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
+        return d, sum(min(n, d) if n >= toxicity.LEAST else n for n in counts) / sum(counts)
+
+    d1, r1 = discount(both.values())
+    d2, r2 = discount([sum(n) for n in texts.values()])
+    classes = sum(bool(a) + bool(b) for a, b in before.values())
+    total = [sum(max(len(before[w][c]) - d1, 0) for w in both if both[w] >= toxicity.LEAST) for c in (0, 1)]
+
+    def word(w, c):
+        rest = r1 * sum(map(bool, before[w])) / classes
+        if both[w] < toxicity.LEAST:
+            return rest
+        return (1 - r1) * max(len(before[w][c]) - d1, 0) / total[c] + rest
+
+    gains = {w: math.log(word(w, 1) / word(w, 0)) for w in both}
+    own = {k: n for k, n in texts.items() if sum(n) >= toxicity.LEAST}
+    behind = {v: [sum(max(n[c] - d2, 0) for (u, _), n in own.items() if u == v) for c in (0, 1)] for v, _ in own}
+    pairs = {}
+    for (v, w), n in own.items():
+        if all(behind[v]):
+            p = [(1 - r2) * max(n[c] - d2, 0) / behind[v][c] + r2 * word(w, c) for c in (0, 1)]
+            pairs[v, w] = math.log(p[1] / p[0]) - gains[w]
+    return tuple({k: g for k, g in some.items() if abs(g) >= toxicity.SLIGHT} for some in (gains, pairs))
+
+
+def plain_numbers(words, gains, pairs):
+    single = [gains.get(w, 0.0) for w in words]
+    double = [pairs.get(p, 0.0) for p in zip(["", *words], words)]
+    if not words:
+        return 0.0, 0.0, 0.0
+    peak = max(sum(single[i : i + toxicity.WINDOW]) for i in range(max(1, len(words) - toxicity.WINDOW + 1)))
+    return (sum(single) + sum(double)) / len(words), peak / toxicity.WINDOW, max(double)
+
+
+def drawn_texts(phrase=None):
+    drawn, rows = random.Random(3), []
     for i in range(400):
         words = [f"w{drawn.randrange(60)}" for _ in range(30)]
-        toxic = i % 5 == 0
-        if toxic:
+        if phrase:  # both words are as frequent in each class, but only toxic texts have them side by side
+            a, b = phrase if i % 5 == 0 else (phrase[0], "w1")
+            at = drawn.randrange(28)
+            words[at : at + 2] = a, b
+            if i % 5:
+                words += ["w2", phrase[1]]
+        elif i % 5 == 0:
             words[drawn.randrange(30)] = "rotter"
-        rows.append((" ".join(words), int(toxic)))
-    gain = toxicity.train(spark.createDataFrame(rows, "text string, toxic int"))
-    pairs = {0: set(), 1: set()}
-    for text, toxic in rows:
-        words = ["", *text.split()]
-        pairs[toxic] |= set(zip(words, words[1:]))
-    n = {c: {} for c in (0, 1, 2)}
-    for c, found in ((0, pairs[0]), (1, pairs[1]), (2, pairs[0] | pairs[1])):
-        for _, w in found:
-            n[c][w] = n[c].get(w, 0) + 1
-    d = toxicity.DISCOUNT
-    rest = sum(min(v, d) for v in n[2].values()) / sum(n[2].values())
-    for w in ("rotter", "w1", "w59"):
-        slot = toxicity._slot(tokens(w.encode(), w.encode()).hashes)[0]
-        shared = rest * (n[2][w] + 1) / (sum(n[2].values()) + toxicity.WORDS)
-        logs = [
-            math.log((1 - rest) * max(n[c].get(w, 0) - d, 0) / sum(max(v - d, 0) for v in n[c].values()) + shared)
-            for c in (0, 1)
-        ]
-        assert abs(gain[slot] - (logs[1] - logs[0])) < 1e-4
-    assert toxicity.difference("w1 rotter w2", gain) > 1 > abs(toxicity.difference("w1 w2 w3", gain))
-
-
-def test_windows_do_not_depend_on_blocks(monkeypatch):
-    gain = np.random.default_rng(0).normal(size=toxicity.WORDS).astype(np.float32)
-    texts = [" ".join(f"w{i}" for i in range(n)) for n in (0, 1, 2, 3, 50, 400)]
-    whole = [toxicity.difference(t, gain) for t in texts]
-    words = [[gain[toxicity._slot(tokens(w.encode(), w.encode()).hashes)[0]] for w in t.split()] for t in texts]
-    for got, gains in zip(whole, words):
-        runs = [sum(gains[i : i + toxicity.WINDOW]) for i in range(max(1, len(gains) - toxicity.WINDOW + 1))]
-        assert abs(got - max(runs) / toxicity.WINDOW) < 1e-4
+        rows.append((words, int(i % 5 == 0)))
+    return rows
+
+
+@pytest.mark.parametrize("phrase", [None, ("you", "pig")])
+def test_toxicity_equals_plain_models_both_ways(spark, phrase, monkeypatch):
+    rows = drawn_texts(phrase)
+    gains = toxicity.train(spark.createDataFrame([(" ".join(w), t) for w, t in rows], "text string, toxic int"))
+    plain = plain_gains(rows)
+    texts = [w for w, _ in rows[:40]] + [[], ["w1"], ["rotter"], ["never", "seen"], ["you", "pig"] * 40]
+    docs = spark.createDataFrame([(i, " ".join(w), "x") for i, w in enumerate(texts)], "id int, text string, peak string")
+    got = {}
+    for held in (toxicity.HELD, 0):
+        found = toxicity.compared(docs, gains, held)
+        assert found.columns == ["id", *toxicity.NUMBERS]
+        got[held] = sorted(tuple(r) for r in found.collect())
+        for i, *numbers in got[held]:
+            assert numbers == pytest.approx(plain_numbers(texts[i], *plain), abs=0.01)
+    assert got[0] == got[toxicity.HELD]
+    if phrase:
+        single, double = plain
+        assert double["you", "pig"] > 1 > abs(single.get("you", 0)) and abs(single.get("pig", 0)) < 1
+    else:
+        assert min(r[2] for r in got[0][:40:5]) > max(r[2] for r in got[0][:40] if r[0] % 5)
+    bits = toxicity.bit_table(gains.table.select("key"), toxicity.FILTER_BITS)
+    table = gains.table.orderBy("key").toPandas()
     blocks = toxicity.token_blocks
     monkeypatch.setattr(toxicity, "token_blocks", lambda t: blocks(t, 16))
-    assert np.allclose(whole, [toxicity.difference(t, gain) for t in texts], atol=1e-5)
+    for i, *numbers in got[0]:
+        columns = (table[c].to_numpy() for c in ("key", "gain", "pair"))
+        assert toxicity.compared_text(" ".join(texts[i]), bits, *columns) == tuple(numbers)
 
 
 def test_toxicity_of_held_out_documents(spark):
@@ -132,16 +182,16 @@ def test_toxicity_of_held_out_documents(spark):
 
 def test_toxicity_without_one_class_and_of_odd_rows(spark, odd_docs, no_docs):
     one = spark.createDataFrame([("a b", 1), (None, 1), ("", 1)], "text string, toxic int")
-    gain = toxicity.train(one)
-    assert not gain.any()
-    scores = lambda curve: toxicity.score(F.col("difference"), curve)
-    known = toxicity.compared(one, gain)
-    odd = toxicity.compared(odd_docs.drop("score"), gain)
-    assert odd.count() == odd_docs.count()
-    assert odd.select(scores(toxicity.fitted(known)).alias("s")).where("s < 0.999").count() == 0
-    none = toxicity.fitted(known.where("toxic = 0"))
-    assert odd.select(scores(none).alias("s")).where("s > 0.001").count() == 0
-    assert toxicity.compared(no_docs, gain).collect() == []
+    gains = toxicity.train(one)
+    assert gains.table.isEmpty() and gains.n == 0
+    known = toxicity.compared(one, gains).withColumn("apart", F.lit(False))
+    for held in (toxicity.HELD, -1):
+        odd = toxicity.compared(odd_docs, gains, held)
+        assert odd.count() == odd_docs.count()
+        assert odd.select(toxicity.score(toxicity.fitted(known)).alias("s")).where("s < 0.999").count() == 0
+        none = toxicity.fitted(known.where("toxic = 0"))
+        assert odd.select(toxicity.score(none).alias("s")).where("s > 0.001").count() == 0
+        assert toxicity.compared(no_docs, gains, held).collect() == []
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (3, None), (77, 1)], "doc_id long, toxic int")
     assert toxicity.labelled(odd_docs, labels).count() == 4
 
