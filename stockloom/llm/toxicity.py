@@ -60,6 +60,7 @@ _START = np.uint64(0x5851F42D4C957F2D)
 # lowest, highest and number of bins of the histogram
 _BINS = {"mean": (-4.0, 4.0, 81), "peak": (-10.0, 10.0, 201), "phrase": (-10.0, 10.0, 41)}
 NUMBERS = list(_BINS)
+_OWN = ("__row", "__n", "__found", "__top", "__windows", "__total", "__best", "__pairs")
 _ONE = 1024.0
 
 
@@ -258,9 +259,12 @@ def compared_text(
 
 
 def compared(docs: DataFrame, gains: Gains, held: int = HELD) -> DataFrame:
-    """``docs`` without text, with ``mean``, ``peak`` and ``phrase``; columns of these names are replaced."""
+    """``docs`` without text, with ``mean``, ``peak`` and ``phrase``; columns of these names are replaced.
+
+    Columns named as in ``_OWN`` are left out; all others stay.
+    """
     bits = bit_table(gains.table.select("key"), FILTER_BITS)
-    names = [c for c in docs.columns if c not in ("text", *NUMBERS)]
+    names = [c for c in docs.columns if c.lower() not in ("text", *NUMBERS, *_OWN)]
     return (_by_broadcast if gains.n <= held else _by_join)(docs.select("text", *names), gains, bits)
 
 
@@ -311,11 +315,11 @@ def _by_join(docs: DataFrame, gains: Gains, bits: np.ndarray) -> DataFrame:
     starts = F.sequence(F.greatest(F.col("at") - (WINDOW - 1), F.lit(0)), F.least("at", last))
     windows = places.where("word is not null").select("__row", "word", F.explode(starts).alias("start"))
     sums = windows.groupBy("__row", "start").agg(F.sum("word").alias("sum"))
-    peaks = sums.groupBy("__row").agg(F.max("sum").alias("top"), F.count("*").alias("windows"))
+    peaks = sums.groupBy("__row").agg(F.max("sum").alias("__top"), F.count("*").alias("__windows"))
     nothing = F.lit(0.0)
     totals = places.groupBy("__row").agg(
-        F.sum(F.coalesce("word", nothing) + F.coalesce("of_pair", nothing)).alias("total"),
-        F.max("of_pair").alias("best"), F.count("of_pair").alias("pairs"),
+        F.sum(F.coalesce("word", nothing) + F.coalesce("of_pair", nothing)).alias("__total"),
+        F.max("of_pair").alias("__best"), F.count("of_pair").alias("__pairs"),
     )
     met = rows.drop("__found").join(peaks, "__row", "left").join(totals, "__row", "left")
 
@@ -326,9 +330,9 @@ def _by_join(docs: DataFrame, gains: Gains, bits: np.ndarray) -> DataFrame:
 
     return met.select(
         *(f.name for f in _fields(docs)),
-        F.coalesce(F.col("total") / F.greatest("__n", F.lit(1)), nothing).alias("mean"),
-        (most("top", "windows", F.greatest(F.col("__n") - (WINDOW - 1), F.lit(1))) / WINDOW).alias("peak"),
-        most("best", "pairs", F.greatest("__n", F.lit(1))).alias("phrase"),
+        F.coalesce(F.col("__total") / F.greatest("__n", F.lit(1)), nothing).alias("mean"),
+        (most("__top", "__windows", F.greatest(F.col("__n") - (WINDOW - 1), F.lit(1))) / WINDOW).alias("peak"),
+        most("__best", "__pairs", F.greatest("__n", F.lit(1))).alias("phrase"),
     )
 
 

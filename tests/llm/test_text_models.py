@@ -192,6 +192,11 @@ def test_toxicity_without_one_class_and_of_odd_rows(spark, odd_docs, no_docs):
         none = toxicity.fitted(known.where("toxic = 0"))
         assert odd.select(toxicity.score(none).alias("s")).where("s > 0.001").count() == 0
         assert toxicity.compared(no_docs, gains, held).collect() == []
+    clashing = odd_docs.selectExpr("*", "1 as total", "2 as best", "3 as gain", "4 as key", "5 as at", "6 as __n")
+    for held in (toxicity.HELD, -1):
+        odd = toxicity.compared(clashing, gains, held)
+        assert odd.count() == odd_docs.count() and {"total", "best", "gain", "key", "at"} < set(odd.columns)
+        assert odd.where("total = 1 and best = 2 and gain = 3 and key = 4 and at = 5").count() == odd.count()
     labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (3, None), (77, 1)], "doc_id long, toxic int")
     assert toxicity.labelled(odd_docs, labels).count() == 4
 
