@@ -11,22 +11,22 @@ Jaccard similarity, verified pairs are united, and of each component the first l
 
 Equal lines are one line with several places, told by a 64-bit hash (of 10**9 different lines some
 pair collides with probability 0.03). A band's bucket with up to ``BUCKET`` lines is compared pair by pair.
-In a larger one every line is compared with hubs, those with the most places: with four, and what is similar to none
-with four times as many in the next round, up to ``HUBS``. Rounds don't grow with a bucket. Then lines of one component need no more comparing.
-Large buckets whose lines are of several components are cut up by each further band, again and again, until a part is small, and there lines of
-different components are compared pair by pair. So a pair that only large buckets hold is met if a hub joins it, or if it agrees
-in one more band for each cut: for one cut with probability 0.995 at 0.8 and 0.999994 at 0.9.
+In a larger one every line is compared with ``HUBS`` hubs, those with the most places. What that unites into one
+component needs no more comparing: a large bucket of copies of one line takes time in proportion to its lines.
+All pairs of a large bucket whose lines are of different components are compared as well, block against block
+of up to about ``BLOCK`` lines. So every pair that agrees in a band is compared or joined by others, however large
+the bucket. Only a large bucket of many components takes time with the square of its lines.
 
 Lines are the text between line feeds. Blank lines are no candidates and always stay. A null
 text has no lines, an empty one a blank line. An empty table gives no rows. Signatures and similarities are
-computed by numpy over Arrow batches, in pieces of bounded size; joins, buckets and components are built-in functions.
+computed by numpy over Arrow batches, in pieces and blocks of bounded size; joins, buckets and components are built-in functions.
 """
 
 from __future__ import annotations
 
 import functools
 import random
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +43,12 @@ BANDS = 14
 ROWS = 4
 FAR = 20  #: bits of two sketches that differ in no candidates
 BUCKET = 64
-HUBS = 64
+HUBS = 16
+BLOCK = 512  #: lines of a block
+BLOCK_UNITS = 1 << 19  #: characters of a block
 PIECE = 1 << 16  #: shingles that are hashed at a time
 HELD = 1 << 21  #: hashes of lines that a task keeps while it compares pairs
+COLUMNS = 1 << 12  #: shingles that two blocks share, counted at a time
 
 _KEYS = [f"k{b}" for b in range(BANDS)]
 _SIGNED = "id long, sketch long, " + ", ".join(f"{k} long" for k in _KEYS)
@@ -137,16 +140,14 @@ def signatures(lines: DataFrame) -> DataFrame:
     return signed.groupBy("id").agg(*(F.min(c).alias(c) for c in ("sketch", *_KEYS)))
 
 
-def _bands(signed: DataFrame) -> DataFrame:
-    """id, sketch, band, key: the key of each line in each band."""
-    return signed.select("id", "sketch", F.posexplode(F.array(*_KEYS)).alias("band", "key"))
-
-
 def _buckets(signed: DataFrame) -> DataFrame:
-    """key, band, id, sketch, n: the buckets of at least two lines."""
-    keyed = _bands(signed).repartition("key")
+    """key, id, sketch, n: the buckets of at least two lines.
+
+    Most keys are of one line, so only keys and ids are shuffled, and sketches join what is left.
+    """
+    keyed = signed.select("id", F.explode(F.array(*_KEYS)).alias("key")).repartition("key")
     met = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    return keyed.join(met, "key")
+    return keyed.join(met.hint("shuffle_hash"), "key").join(signed.select("id", "sketch"), "id")
 
 
 def _runs(line: str) -> np.ndarray:
@@ -209,68 +210,108 @@ def _sides(rows: DataFrame, *on: str) -> tuple[DataFrame, DataFrame]:
     return one, other
 
 
-def _hub_links(rest: DataFrame, verified: Callable[[DataFrame], DataFrame]) -> list[DataFrame]:
-    """Links of the lines of large buckets (key, id, sketch, count) with hubs, round by round."""
+def _hub_pairs(crowds: DataFrame, places: DataFrame) -> DataFrame:
+    """The lines of large buckets (key, id, sketch), each with the hubs of its bucket."""
     order = Window.partitionBy("key").orderBy(F.desc("count"), "id")
-    found, number = [], 4
-    while number <= HUBS and not rest.isEmpty():
-        hubs = rest.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= number)
-        one, _ = _sides(rest.drop("count"), "key")
-        _, hub = _sides(hubs.drop("count", "rank"), "key")
-        against = one.join(hub, "key").where("a <> b")
-        close = stage(verified(against), "line-pairs")
-        found.append(close)
-        either = close.union(close.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        done = against.join(either, ["a", "b"]).select("key", F.col("a").alias("id"))
-        over = done.union(hubs.select("key", "id")).distinct()
-        rest = stage(rest.join(over, ["key", "id"], "left_anti"), "line-crowds")
-        number *= 4
-    return found
-
-
-def _mixed(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, mask, id, sketch, root, n of the buckets whose lines are of several components."""
-    rooted = rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    sizes = rooted.groupBy("mask", "key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    return rooted.join(sizes.where("lo < hi").select("mask", "key", "n"), ["mask", "key"])
-
-
-def similar_pairs(buckets: DataFrame, signed: DataFrame, texts: DataFrame, places: DataFrame, similar: float) -> DataFrame:
-    """Verified pairs from buckets (key, band, id, sketch, n); ``places``: id, count of its places."""
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return _verified(pairs, texts, similar)
+    ranked = crowds.join(places, "id").withColumn("rank", F.row_number().over(order))
+    one, _ = _sides(crowds, "key")
+    _, hub = _sides(ranked.where(F.col("rank") <= HUBS).select("key", "id", "sketch"), "key")
+    return one.join(hub, "key").where("a <> b")
 
-    one, other = _sides(buckets.where(F.col("n") <= BUCKET).select("key", "id", "sketch"), "key")
-    found = [stage(verified(one.join(other, "key").where("a < b")), "line-pairs")]
-    crowds = buckets.where(F.col("n") > BUCKET)
-    rest = stage(crowds.join(places, "id").select("key", "id", "sketch", "count"), "line-crowds")
-    found += _hub_links(rest, verified)
 
-    # Keys of several bands are put together by exclusive-or, so the order of the cuts makes no difference.
-    rows, bands = crowds.select("key", F.expr("shiftleft(1, band)").alias("mask"), "id", "sketch"), _bands(signed)
+def _block_pairs(crowds: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
+    """key, x, y, at, id, root: each line of the buckets of several components, once for each pair (x, y) of blocks to compare.
+
+    ``at`` is the line's own block, one of x and y. Lines of a bucket's largest component are in blocks below zero,
+    which aren't compared with each other.
+    """
+    sized = texts.select("id", F.length("line").alias("units"))
+    rooted = crowds.select("key", "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).join(sized, "id")
+    parts = rooted.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("units").alias("units"))
+    total = parts.groupBy("key").agg(
+        F.max(F.struct("n", "root", "units")).alias("main"), F.sum("n").alias("n"), F.sum("units").alias("units"), F.min("root").alias("low"),
+        F.max("root").alias("high"),
+    )
+
+    def blocks(n: Column, units: Column) -> Column:
+        return F.ceil(F.greatest(n / BLOCK, units / BLOCK_UNITS)).cast("int")
+
+    mixed = total.where("low < high").select(
+        "key",
+        F.col("main.root").alias("main"),
+        blocks(F.col("main.n"), F.col("main.units")).alias("mains"),
+        blocks(F.col("n") - F.col("main.n"), F.col("units") - F.col("main.units")).alias("others"),
+    )
+    own = F.col("root") == F.col("main")
+    block = F.pmod(F.xxhash64("id"), F.when(own, F.col("mains")).otherwise(F.col("others"))).cast("int")
+    at = rooted.join(mixed, "key").withColumn("at", F.when(own, -1 - block).otherwise(block))
+    every = F.sequence(F.lit(0), F.col("others") - 1)
+    # An array of blocks, those that a line's own block is compared with.
+    against = F.when(own, every).otherwise(F.concat(F.sequence(-F.col("mains"), F.lit(-1)), every))
+    met = at.select("key", "at", "id", "root", F.explode(against).alias("with"))
+    return met.select("key", F.least("at", "with").alias("x"), F.greatest("at", "with").alias("y"), "at", "id", "root")
+
+
+def _shared(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Numbers of shingles that each of ``one`` shares with each of ``other`` (``_runs``)."""
+    both = np.intersect1d(np.concatenate(one), np.concatenate(other))
+    counts = np.zeros((len(one), len(other)), np.int64)
+    for at in range(0, both.size, COLUMNS):
+        some = both[at : at + COLUMNS]
+        sides = []
+        for side in (one, other):
+            marks = np.zeros((len(side), some.size), np.float32)
+            for i, runs in enumerate(side):
+                own = runs[np.searchsorted(runs, some[0]) : np.searchsorted(runs, some[-1], "right")]
+                column = np.searchsorted(some, own)
+                marks[i, column[some[column] == own]] = 1
+            sides.append(marks)
+        counts += (sides[0] @ sides[1].T).astype(np.int64)
+    return counts
+
+
+def _compare(group: pa.Table, similar: float) -> pa.Table:
+    """Links (a, b) between lines of two blocks (of one with itself if x = y): as many as join all that are similar."""
+    x, y, at, ids, roots = (group.column(c).to_numpy() for c in ("x", "y", "at", "id", "root"))
+    runs = [_runs(line) for line in group.column("line").to_pylist()]
+    left, right = np.flatnonzero(at == x), np.flatnonzero(at == y)
+    found: list[tuple[int, int]] = []
+    if left.size and right.size:
+        sizes = np.array([r.size for r in runs])
+        both = _shared([runs[i] for i in left], [runs[i] for i in right])
+        near = both / (sizes[left][:, None] + sizes[right] - both) >= similar
+        near &= roots[left][:, None] != roots[right]
+        over = {root: root for root in roots.tolist()}
+
+        def top(root: int) -> int:
+            while over[root] != root:
+                over[root] = root = over[over[root]]
+            return root
+
+        for i, j in zip(*(side.tolist() for side in np.nonzero(near))):
+            one, other = top(roots[left[i]]), top(roots[right[j]])
+            if one != other:
+                over[one] = other
+                found.append((ids[left[i]], ids[right[j]]))
+    return pa.table([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))], ["a", "b"])
+
+
+def similar_pairs(buckets: DataFrame, texts: DataFrame, places: DataFrame, similar: float) -> DataFrame:
+    """Links (a, b) that join all similar lines of each bucket (key, id, sketch, n); ``places``: id, count of its places."""
+    one, other = _sides(buckets.where(F.col("n") <= BUCKET).select("key", "id", "sketch"), "key")
+    pairs = one.join(other, "key").where("a < b")
+    crowds = buckets.where(F.col("n") > BUCKET).select("key", "id", "sketch")
     if crowds.isEmpty():
-        return found[0]
-    # Roots stay as they are here: links found in the cuts would only spare some comparisons.
-    roots = components(functools.reduce(DataFrame.union, found), "a", "b", "line-roots").withColumnRenamed("node", "id")
-    for cut in range(1, BANDS + 1):
-        mixed = stage(_mixed(rows, roots), "line-mixed")
-        if mixed.isEmpty():
-            break
-        few = mixed.where((F.col("n") <= BUCKET) | F.lit(cut == BANDS)).drop("n")
-        one, other = _sides(few, "mask", "key")
-        across = one.join(other, ["mask", "key"]).where("a < b and root_a <> root_b")
-        found.append(stage(verified(across), "line-pairs"))
-        bit = F.expr("shiftleft(1, band)")
-        wide = mixed.where(F.col("n") > BUCKET).select("mask", F.col("key").alias("outer"), "id")
-        parts = wide.join(bands, "id").where(F.col("mask").bitwiseAND(bit) == 0)
-        rows = stage(
-            parts.select(
-                F.col("outer").bitwiseXOR(F.col("key")).alias("key"), F.col("mask").bitwiseOR(bit).alias("mask"), "id", "sketch"
-            ).distinct(),
-            "line-parts",
-        )
-    return functools.reduce(DataFrame.union, found)
+        return _verified(pairs, texts, similar)
+    near = _verified(pairs.unionByName(_hub_pairs(crowds, places)), texts, similar)
+    roots = components(near, "a", "b", "line-roots").withColumnRenamed("node", "id")
+    blocks = _block_pairs(crowds, roots, texts).join(texts.select("id", "line"), "id")
+
+    def compare(group: pa.Table) -> pa.Table:
+        return _compare(group, similar)
+
+    across = blocks.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long")
+    return roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(across)
 
 
 def places(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
@@ -291,7 +332,7 @@ def places(docs: DataFrame, similar: float = SIMILARITY) -> DataFrame:
     candidates = stage(buckets.select("id").distinct(), "line-candidates")
     likely = lines.select("id", "line").where(among(F.col("id"), candidates))
     texts = stage(likely.dropDuplicates(["id"]).join(candidates, "id"), "line-texts")
-    pairs = similar_pairs(buckets, signed, texts, counts.select("id", "count"), similar)
+    pairs = similar_pairs(buckets, texts, counts.select("id", "count"), similar)
     roots = components(pairs, "a", "b", "line-links").withColumnsRenamed({"node": "id", "root": "component"})
     named = counts.join(roots, "id", "left").withColumn("component", F.coalesce("component", "id"))
     firsts = named.groupBy("component").agg(F.min("first").alias("keep"), F.sum("count").alias("size"))

@@ -183,6 +183,34 @@ def test_planted_pairs_are_met(spark, monkeypatch, bucket):
     assert sum(n == 0 for n in found.values()) <= len(close)
 
 
+def test_pairs_of_one_large_bucket_only_are_met(spark, monkeypatch):
+    """Pairs that agree in a single band, in a bucket whose hubs are like none of them, are compared all the same."""
+    monkeypatch.setattr(line_dedup, "BUCKET", 4)
+    monkeypatch.setattr(line_dedup, "HUBS", 4)
+    drawn = random.Random(5)
+    text = lambda n: "".join(drawn.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    lines = [text(120) for _ in range(20)]
+    lines += [line[:-k] + text(k) for k, line in zip((3, 5, 8), lines[8:])] + ["-" * 20, "-" * 900]
+    rows = [(7, i, 0, len(lines)) for i in range(len(lines))]
+    buckets = spark.createDataFrame(rows, "key long, id long, sketch long, n long")
+    texts = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
+    places = spark.createDataFrame([(i, 100 - i) for i in range(len(lines))], "id long, count long")
+    wanted = [(8, 20), (9, 21), (10, 22), (23, 24)]
+    for block in (512, 3):
+        monkeypatch.setattr(line_dedup, "BLOCK", block)
+        found = line_dedup.similar_pairs(buckets, texts, places, 0.8).where("a <> b")
+        assert sorted(tuple(sorted(r)) for r in found.collect()) == wanted
+
+
+def test_shared_shingles_are_counted_in_parts(monkeypatch):
+    lines = ["the quick brown fox jumps", "the quick brown dog jumps over", "----------", "short"]
+    sets = [{t[k : k + 8] for k in range(max(1, len(t) - 7))} for t in lines]
+    runs = [line_dedup._runs(t) for t in lines]
+    for columns in (1 << 12, 3):
+        monkeypatch.setattr(line_dedup, "COLUMNS", columns)
+        assert line_dedup._shared(runs, runs[:3]).tolist() == [[len(a & b) for b in sets[:3]] for a in sets]
+
+
 def test_lines_of_odd_rows(odd_docs, no_docs):
     got = line_dedup.documents(odd_docs).collect()
     assert len(got) == odd_docs.count()
