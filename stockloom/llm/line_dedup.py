@@ -43,7 +43,7 @@ BANDS = 14
 ROWS = 4
 FAR = 20  #: bits of two sketches that differ in no candidates
 BUCKET = 64
-HUBS = 16
+HUBS = 64
 BLOCK = 512  #: lines of a block
 BLOCK_UNITS = 1 << 19  #: characters of a block
 PIECE = 1 << 16  #: shingles that are hashed at a time
@@ -210,37 +210,41 @@ def _sides(rows: DataFrame, *on: str) -> tuple[DataFrame, DataFrame]:
     return one, other
 
 
-def _hub_pairs(crowds: DataFrame, places: DataFrame) -> DataFrame:
-    """The lines of large buckets (key, id, sketch), each with the hubs of its bucket."""
+def _blocks_of(n: Column, units: Column) -> Column:
+    """Into how many blocks ``n`` lines of ``units`` characters together go."""
+    return F.ceil(F.greatest(n / BLOCK, units / BLOCK_UNITS)).cast("int")
+
+
+def _hub_blocks(crowds: DataFrame, places: DataFrame) -> DataFrame:
+    """key, x, y, at, id, root: the lines of large buckets (key, id, units) in blocks, and the hubs of a bucket (block -1) with each."""
     order = Window.partitionBy("key").orderBy(F.desc("count"), "id")
+    total = crowds.groupBy("key").agg(_blocks_of(F.count("*"), F.sum("units")).alias("blocks"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    lines = crowds.join(total, "key").select("key", block.alias("y"), block.alias("at"), "id")
     ranked = crowds.join(places, "id").withColumn("rank", F.row_number().over(order))
-    one, _ = _sides(crowds, "key")
-    _, hub = _sides(ranked.where(F.col("rank") <= HUBS).select("key", "id", "sketch"), "key")
-    return one.join(hub, "key").where("a <> b")
+    hubs = ranked.where(F.col("rank") <= HUBS).join(total, "key").select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("y"), F.lit(-1).alias("at"), "id"
+    )
+    return lines.union(hubs).select("key", F.lit(-1).alias("x"), "y", "at", "id", F.col("id").alias("root"))
 
 
-def _block_pairs(crowds: DataFrame, roots: DataFrame, texts: DataFrame) -> DataFrame:
-    """key, x, y, at, id, root: each line of the buckets of several components, once for each pair (x, y) of blocks to compare.
+def _block_pairs(crowds: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, x, y, at, id, root: each line of the large buckets (key, id, units) of several components, once for each pair (x, y) of blocks to compare.
 
     ``at`` is the line's own block, one of x and y. Lines of a bucket's largest component are in blocks below zero,
     which aren't compared with each other.
     """
-    sized = texts.select("id", F.length("line").alias("units"))
-    rooted = crowds.select("key", "id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")).join(sized, "id")
+    rooted = crowds.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     parts = rooted.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("units").alias("units"))
     total = parts.groupBy("key").agg(
         F.max(F.struct("n", "root", "units")).alias("main"), F.sum("n").alias("n"), F.sum("units").alias("units"), F.min("root").alias("low"),
         F.max("root").alias("high"),
     )
-
-    def blocks(n: Column, units: Column) -> Column:
-        return F.ceil(F.greatest(n / BLOCK, units / BLOCK_UNITS)).cast("int")
-
     mixed = total.where("low < high").select(
         "key",
         F.col("main.root").alias("main"),
-        blocks(F.col("main.n"), F.col("main.units")).alias("mains"),
-        blocks(F.col("n") - F.col("main.n"), F.col("units") - F.col("main.units")).alias("others"),
+        _blocks_of(F.col("main.n"), F.col("main.units")).alias("mains"),
+        _blocks_of(F.col("n") - F.col("main.n"), F.col("units") - F.col("main.units")).alias("others"),
     )
     own = F.col("root") == F.col("main")
     block = F.pmod(F.xxhash64("id"), F.when(own, F.col("mains")).otherwise(F.col("others"))).cast("int")
@@ -296,21 +300,27 @@ def _compare(group: pa.Table, similar: float) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in (zip(*found) if found else ([], []))], ["a", "b"])
 
 
+def _links(blocks: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
+    """Links (a, b) between similar lines of two blocks (key, x, y, at, id, root)."""
+
+    def compare(group: pa.Table) -> pa.Table:
+        return _compare(group, similar)
+
+    named = blocks.join(texts.select("id", "line"), "id")
+    return named.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long")
+
+
 def similar_pairs(buckets: DataFrame, texts: DataFrame, places: DataFrame, similar: float) -> DataFrame:
     """Links (a, b) that join all similar lines of each bucket (key, id, sketch, n); ``places``: id, count of its places."""
     one, other = _sides(buckets.where(F.col("n") <= BUCKET).select("key", "id", "sketch"), "key")
-    pairs = one.join(other, "key").where("a < b")
-    crowds = buckets.where(F.col("n") > BUCKET).select("key", "id", "sketch")
+    close = _verified(one.join(other, "key").where("a < b"), texts, similar)
+    crowds = buckets.where(F.col("n") > BUCKET).select("key", "id")
     if crowds.isEmpty():
-        return _verified(pairs, texts, similar)
-    near = _verified(pairs.unionByName(_hub_pairs(crowds, places)), texts, similar)
+        return close
+    crowds = stage(crowds.join(texts.select("id", F.length("line").alias("units")), "id"), "line-crowds")
+    near = close.union(_links(_hub_blocks(crowds, places), texts, similar))
     roots = components(near, "a", "b", "line-roots").withColumnRenamed("node", "id")
-    blocks = _block_pairs(crowds, roots, texts).join(texts.select("id", "line"), "id")
-
-    def compare(group: pa.Table) -> pa.Table:
-        return _compare(group, similar)
-
-    across = blocks.groupBy("key", "x", "y").applyInArrow(compare, "a long, b long")
+    across = _links(_block_pairs(crowds, roots), texts, similar)
     return roots.select(F.col("id").alias("a"), F.col("root").alias("b")).union(across)
 
 
