@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import functools
 import random
-from collections.abc import Iterable, Iterator
+from collections.abc import Container, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,7 @@ PIECE = 1 << 16  #: shingles that are hashed at a time
 HELD = 1 << 21  #: hashes of lines that a task keeps while it compares pairs
 COLUMNS = 1 << 12  #: shingles that two blocks share, counted at a time
 
+_BLANK = " \t\n\x0b\f\r"  #: what a blank line is made of
 _KEYS = [f"k{b}" for b in range(BANDS)]
 _SIGNED = "id long, sketch long, " + ", ".join(f"{k} long" for k in _KEYS)
 _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -64,7 +65,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     """__at (row), doc_id, pos, line, id (null for blank lines)."""
     numbered = docs.select("doc_id", "text").withColumn("__at", F.monotonically_increasing_id())
     cut = numbered.select("__at", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    return cut.withColumn("id", F.when(F.col("line").rlike(r"\S"), F.xxhash64("line")))
+    return cut.withColumn("id", F.when(F.ltrim("line", F.lit(_BLANK)) != "", F.xxhash64("line")))
 
 
 def _units(line: str) -> bytes:
@@ -109,10 +110,13 @@ def _least(lines: list[str], factors: np.ndarray) -> np.ndarray:
         h = (_hashes(b"".join(pieces)) >> np.uint64(32)).astype(np.uint32)
         ends = np.cumsum([len(p) // 2 for p in pieces])
         starts = np.concatenate(([0], ends[:-1]))
-        # Every second stretch runs over the border of two pieces and is left out.
-        cuts = np.stack([starts, ends - SHINGLE + 1], axis=1).ravel()[:-1]
-        for k, factor in enumerate(factors):
-            np.minimum.at(least[k], owners, np.minimum.reduceat(h * factor, cuts)[::2])
+        # What runs over the border of two pieces is taken for the first shingle of the earlier, which alters no minimum.
+        h[ends[:-1, None] - np.arange(1, SHINGLE)] = h[starts[:-1], None]
+        product = np.empty_like(h)
+        # Lines of a block follow each other, each with one piece: a full piece ends its block.
+        for row, factor in zip(least[:, owners[0] : owners[-1] + 1], factors):
+            np.multiply(h, factor, out=product)
+            np.minimum(row, np.minimum.reduceat(product, starts), out=row)
     return least
 
 
@@ -150,11 +154,39 @@ def _buckets(signed: DataFrame) -> DataFrame:
     return keyed.join(met.hint("shuffle_hash"), "key").join(signed.select("id", "sketch"), "id")
 
 
+def _once(hashes: np.ndarray) -> np.ndarray:
+    """Distinct hashes, sorted; sorts ``hashes`` in place."""
+    hashes.sort()
+    new = np.ones(hashes.size, bool)
+    np.not_equal(hashes[1:], hashes[:-1], out=new[1:])
+    return hashes[new]
+
+
+def _distinct(lines: list[bytes]) -> Iterator[np.ndarray]:
+    """Hashes of the distinct shingles of each line (its units), sorted."""
+    h, at = _hashes(b"".join(lines)), 0
+    for units in lines:
+        end = at + len(units) // 2
+        yield _once(h[at : end - SHINGLE + 1])
+        at = end
+
+
 def _runs(line: str) -> np.ndarray:
     """Hashes of the distinct shingles of a line, sorted."""
-    h = _hashes(_units(line))
-    h.sort()
-    return h[np.concatenate(([True], h[1:] != h[:-1]))]
+    return next(_distinct([_units(line)]))
+
+
+def _runs_of(lines: Iterable[str]) -> Iterator[np.ndarray]:
+    """``_runs`` of each line; lines are hashed together, about ``PIECE`` shingles at a time."""
+    some, held = [], 0
+    for line in lines:
+        some.append(_units(line))
+        held += len(some[-1]) // 2
+        if held >= PIECE:
+            yield from _distinct(some)
+            some, held = [], 0
+    if some:
+        yield from _distinct(some)
 
 
 def similarity(one: np.ndarray, other: np.ndarray) -> float:
@@ -165,27 +197,42 @@ def similarity(one: np.ndarray, other: np.ndarray) -> float:
     return both / (h.size - both)
 
 
+def _similar(one: np.ndarray, other: np.ndarray, similar: float) -> bool:
+    small, large = sorted((one.size, other.size))
+    return small >= similar * large and similarity(one, other) >= similar
+
+
+def _portions(batch: pa.RecordBatch, known: Container[int]) -> Iterator[tuple[list[tuple[int, int]], dict[int, str]]]:
+    """Pairs (a, b) of a, b, line_a, line_b in order, with those of their lines that aren't known, about ``PIECE`` characters at a time."""
+    a, b, line_a, line_b = batch.columns
+    pairs, fresh, held = [], {}, 0
+    for i, pair in enumerate(zip(a.to_pylist(), b.to_pylist())):
+        pairs.append(pair)
+        for key, line in zip(pair, (line_a, line_b)):
+            if key not in known and key not in fresh:
+                fresh[key] = line[i].as_py()
+                held += len(fresh[key])
+        if held >= PIECE:
+            yield pairs, fresh
+            pairs, fresh, held = [], {}, 0
+    yield pairs, fresh
+
+
 def _verify(batches: Iterable[pa.RecordBatch], similar: float) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b) of a, b, line_a, line_b that are similar. Runs of up to ``HELD`` shingles are kept for further pairs."""
     known: dict[int, np.ndarray] = {}
     held = 0
     for batch in batches:
-        a, b, line_a, line_b = batch.columns
-        close = []
-        for i, pair in enumerate(zip(a.to_pylist(), b.to_pylist())):
-            sets = []
-            for key, line in zip(pair, (line_a, line_b)):
-                runs = known.get(key)
-                if runs is None:
-                    runs = known[key] = _runs(line[i].as_py())
-                    held += runs.size
-                sets.append(runs)
-            small, large = sorted(runs.size for runs in sets)
-            close.append(small >= similar * large and similarity(*sets) >= similar)
+        close: list[bool] = []
+        for pairs, fresh in _portions(batch, known):
+            known.update(zip(fresh, _runs_of(fresh.values())))
+            held += sum(known[key].size for key in fresh)
+            close += [_similar(known[one], known[other], similar) for one, other in pairs]
             if held > HELD:
-                known, held = {}, 0
+                known.clear()
+                held = 0
         mask = pa.array(close, pa.bool_())
-        yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([c.filter(mask) for c in batch.columns[:2]], ["a", "b"])
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, similar: float) -> DataFrame:
@@ -258,26 +305,37 @@ def _block_pairs(crowds: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _shared(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
     """Numbers of shingles that each of ``one`` shares with each of ``other`` (``_runs``)."""
-    both = np.intersect1d(np.concatenate(one), np.concatenate(other))
+    both = np.concatenate([_once(np.concatenate(side)) for side in (one, other)])
+    both.sort()
+    both = both[1:][both[1:] == both[:-1]]
     counts = np.zeros((len(one), len(other)), np.int64)
+    if not both.size:
+        return counts
+    places = [_places_of(both, side) for side in (one, other)]
     for at in range(0, both.size, COLUMNS):
-        some = both[at : at + COLUMNS]
-        sides = []
-        for side in (one, other):
-            marks = np.zeros((len(side), some.size), np.float32)
-            for i, runs in enumerate(side):
-                own = runs[np.searchsorted(runs, some[0]) : np.searchsorted(runs, some[-1], "right")]
-                column = np.searchsorted(some, own)
-                marks[i, column[some[column] == own]] = 1
-            sides.append(marks)
-        counts += (sides[0] @ sides[1].T).astype(np.int64)
+        marks = []
+        for side, (lines, columns) in zip((one, other), places):
+            some = slice(*np.searchsorted(columns, (at, at + COLUMNS)))
+            marks.append(np.zeros((len(side), min(COLUMNS, both.size - at)), np.float32))
+            marks[-1][lines[some], columns[some] - at] = 1
+        counts += (marks[0] @ marks[1].T).astype(np.int64)
     return counts
 
 
+def _places_of(shingles: np.ndarray, lines: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``lines`` (``_runs``) hold ``shingles``: numbers of lines and of shingles, by shingle."""
+    every = np.concatenate(lines)
+    column = np.minimum(np.searchsorted(shingles, every), shingles.size - 1)
+    held = shingles[column] == every
+    line, column = np.repeat(np.arange(len(lines)), [r.size for r in lines])[held], column[held]
+    order = np.argsort(column, kind="stable")
+    return line[order], column[order]
+
+
 def _compare(group: pa.Table, similar: float) -> pa.Table:
     """Links (a, b) between lines of two blocks (of one with itself if x = y): as many as join all that are similar."""
     x, y, at, ids, roots = (group.column(c).to_numpy() for c in ("x", "y", "at", "id", "root"))
-    runs = [_runs(line) for line in group.column("line").to_pylist()]
+    runs = list(_runs_of(group.column("line").to_pylist()))
     left, right = np.flatnonzero(at == x), np.flatnonzero(at == y)
     found: list[tuple[int, int]] = []
     if left.size and right.size:

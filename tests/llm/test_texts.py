@@ -4,6 +4,7 @@ import re
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -211,6 +212,47 @@ def test_shared_shingles_are_counted_in_parts(monkeypatch):
         assert line_dedup._shared(runs, runs[:3]).tolist() == [[len(a & b) for b in sets[:3]] for a in sets]
 
 
+def test_lines_are_hashed_together(monkeypatch):
+    """A check of many pairs hashes short lines together, and finds what a check of one pair by one finds."""
+    drawn = random.Random(4)
+    text = lambda n: "".join(drawn.choices("abc \u00e9", k=n))
+    lines = ["a", "-" * 20, "-" * 900, *(text(n) for n in range(1, 200))]
+    lines += [line[:-2] + text(2) for line in lines]
+    sets = [{t[k : k + 8] for k in range(max(1, len(t) - 7))} for t in lines]
+    pairs = [(i, j) for i in range(len(lines)) for j in (1, 2, i, (i + 202) % 404)]
+    wanted = [(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    rows = {"a": [i for i, _ in pairs], "b": [j for _, j in pairs]}
+    rows |= {"line_a": [lines[i] for i in rows["a"]], "line_b": [lines[j] for j in rows["b"]]}
+    batch, hashes, calls = pa.RecordBatch.from_pydict(rows), line_dedup._hashes, []
+    monkeypatch.setattr(line_dedup, "_hashes", lambda units: calls.append(len(units)) or hashes(units))
+    for piece, held in ((1 << 16, 1 << 21), (300, 1 << 21), (300, 50)):
+        monkeypatch.setattr(line_dedup, "PIECE", piece)
+        monkeypatch.setattr(line_dedup, "HELD", held)
+        calls.clear()
+        found = [tuple(r.values()) for out in line_dedup._verify([batch, batch.slice(0, 0)], 0.8) for r in out.to_pylist()]
+        assert found == wanted
+        assert piece == 300 or len(calls) == 1
+
+
+def test_signatures_are_least_hashes_of_any_pieces(monkeypatch):
+    lines = ["a", "x" * 500, "quick brown foxes", "\u00e9" * 9, "0123456789" * 30, "12345678"]
+    factors = line_dedup._factors()
+    wanted = [[min(int(h >> np.uint64(32)) * int(f) % 2**32 for h in line_dedup._runs(t)) for t in lines] for f in factors]
+    for piece in (1 << 16, 100, 9, 8):
+        monkeypatch.setattr(line_dedup, "PIECE", piece)
+        assert line_dedup._least(lines, factors).tolist() == wanted
+
+
+def test_blank_lines_are_told_without_a_pattern(spark):
+    lines = ["", " ", "\t\x0b\f\r ", "\u00a0", "\u2003", " a", "\x00", "\x1c", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "doc_id long, text string")
+    found = line_dedup._lines(docs)
+    assert {r.doc_id: r.id is None for r in found.collect()} == {
+        i: not re.search(r"[^ \t\n\x0b\f\r]", t) for i, t in enumerate(lines) if t is not None
+    }
+    assert "RLIKE" not in found._jdf.queryExecution().toString()
+
+
 def test_lines_of_odd_rows(odd_docs, no_docs):
     got = line_dedup.documents(odd_docs).collect()
     assert len(got) == odd_docs.count()
