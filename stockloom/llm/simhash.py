@@ -107,14 +107,15 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Dat
     )
     keyed = fps.select("fp", keys.alias("k")).select("k.part", "k.bits", "fp")
     met = keyed.groupBy("part", "bits").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(keyed.join(met, ["part", "bits"]), "simhash-buckets")
+    # merged by hint here and below: Spark takes an exploded table for as small as it was before, and would broadcast it
+    shared = stage(keyed.join(met.hint("merge"), ["part", "bits"]), "simhash-buckets")
 
     small = shared.where(F.col("n") <= bucket)
     left = small.select("part", "bits", F.col("fp").alias("a"))
     right = small.select("part", "bits", F.col("fp").alias("b"))
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
     same = (left["part"] == right["part"]) & (left["bits"] == right["bits"])
-    pairs = left.join(right, same & close).select("a", "b")
+    pairs = left.join(right.hint("merge"), same & close).select("a", "b")
 
     crowded = shared.where(F.col("n") > bucket).select("fp").distinct()
     near = crowded.withColumn("mid", F.col("fp"))
@@ -122,7 +123,7 @@ def links(fps: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -> Dat
         turned = F.expr("explode(transform(sequence(0, 64), b -> if(b = 64, 0L, shiftleft(1L, b))))")
         near = near.withColumn("turned", turned).select("fp", F.expr("mid ^ turned").alias("mid")).distinct()
     least = near.groupBy("mid").agg(F.min("fp").alias("a"), F.max("fp").alias("most")).where("a < most")
-    stars = near.join(least.select("mid", "a"), "mid").where("a < fp").select("a", F.col("fp").alias("b"))
+    stars = near.join(least.select("mid", "a").hint("merge"), "mid").where("a < fp").select("a", F.col("fp").alias("b"))
     return pairs.union(stars).distinct()
 
 

@@ -54,6 +54,16 @@ def test_links_of_crowded_buckets_keep_the_same_components(spark):
             assert set(got) == set(near)
 
 
+def test_tables_that_explode_are_never_broadcast(spark, monkeypatch):
+    made, stage = [], simhash.stage
+    monkeypatch.setattr(simhash, "stage", lambda df, label: made.append(df) or stage(df, label))
+    fps = spark.range(600).select(F.col("id").alias("fp"))  # Spark knows its size, and takes it for small once exploded
+    made.append(simhash.links(fps, bucket=4))
+    for df in made:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_blocks_of_text_give_the_same_fingerprint(monkeypatch):
     from stockloom.llm import words
 
