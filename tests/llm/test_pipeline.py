@@ -7,7 +7,7 @@ import brute
 import corpus_pipeline
 from conftest import SF_DIR
 
-from stockloom.llm import langid
+from stockloom.llm import components, langid, simhash
 
 
 def plain(docs, items):
@@ -43,3 +43,13 @@ def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs):
             assert got.columns[: len(docs.columns)] == docs.columns or name == "shards"
             n = got.count()
             assert n == 0 if docs is no_docs else n > 0
+
+
+def test_near_copies_broadcast_no_exploded_table(spark, documents, monkeypatch):
+    made, stage = {}, simhash.stage
+    for module in (simhash, components):
+        monkeypatch.setattr(module, "stage", lambda df, label: made.setdefault(label, df) and stage(df, label))
+    corpus_pipeline.near_copies(spark, documents, SF_DIR)
+    for label in ("simhash-buckets", "simhash-links"):
+        plan = made[label]._jdf.queryExecution().executedPlan().toString()
+        assert "Generate" in plan and "SortMergeJoin" in plan and "Broadcast" not in plan
