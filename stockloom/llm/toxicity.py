@@ -23,9 +23,11 @@ copied passages count in pairs. A logistic curve of the three, fitted to a histo
 The curve learns from a quarter of the labelled texts, by their checksum, the models from the
 others, as texts that a model has seen look clearer to it than new ones.
 
-Pairs are counted in Spark over whole texts; words are told by 64-bit hashes, predecessors of one word by 32
-bits. The table of gains grows with the corpus. Up to ``HELD`` entries (12 bytes each) are broadcast; a larger
-one is joined with the words that a bit table lets through. Gains are multiples of 2**-10, so both ways give the same sums.
+Pairs are counted over whole texts; words are told by 64-bit hashes, predecessors of one word by 32
+bits. They are shuffled packed, in ``BUCKETS`` buckets by word and part of the predecessors, each word once for all its
+pairs of a bucket. The table of gains grows with the corpus. Up to ``HELD`` entries (17 bytes each) every task holds; a larger
+one comes to it in pieces of ``PIECE`` entries, one at a time, and meets there what a bit table lets through of ``MET`` keys
+or words in a row. Nothing is shuffled. Gains are multiples of 2**-10, so both ways give the same sums.
 
 Null and empty texts have no words: the three are 0. Rows without a label teach
 nothing; a document with several labels teaches each. With one class missing there are no gains, and all scores are
@@ -40,9 +42,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from stockloom.llm.bits import among, bit_table, holds
 from stockloom.llm.tokens import mixed, token_blocks
@@ -51,10 +54,14 @@ from stockloom.sources.scratch import stage
 LEAST = 5
 SLIGHT = 0.3
 WINDOW = 2  #: words of an expression
-HELD = 1 << 22  #: entries of a table of gains that is broadcast
+HELD = 1 << 22  #: entries of a table of gains that a task holds
+PIECE = 1 << 21  #: entries that it holds at a time of a larger one
+MET = 1 << 21  #: keys or words that meet the pieces together
 FILTER_BITS = 25
 THRESHOLD = 0.3
 PAIRS = 1 << 21  #: words whose pairs are counted at a time
+BUCKETS = 1 << 12  #: buckets of all pairs
+PARTS = 64  #: buckets of one word, which may be in a third of all pairs
 
 _START = np.uint64(0x5851F42D4C957F2D)
 # lowest, highest and number of bins of the histogram
@@ -95,7 +102,7 @@ def _pair_keys(short: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def _pairs(known: DataFrame) -> DataFrame:
-    """word, before and the numbers of texts of each class with the pair: summed over some texts of a task."""
+    """What ``_judged`` says of all pairs: rows of words (``before`` is null), to be summed, and of pairs that aren't rare."""
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -103,16 +110,33 @@ def _pairs(known: DataFrame) -> DataFrame:
             for text, toxic in zip(batch.column(0), batch.column(1)):
                 for before, words in _hash_blocks(text.as_py()):
                     pairs = _unique(words, _short(before))[:2]
-                    held.append((*pairs, np.full(len(pairs[0]), toxic.as_py(), np.int32)))
-                    size += len(pairs[0])
+                    of = np.full(len(pairs[0]), toxic.as_py(), np.int64)
+                    held.append((*pairs, of, 1 - of))
+                    size += len(of)
                     if size > PAIRS:
-                        yield _counted(held)
+                        yield _packed(*_summed(held))
                         held, size = [], 0
         if held:
-            yield _counted(held)
+            yield _packed(*_summed(held))
+
+    def put_together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, last = [], 0, None
+        for batch in batches:
+            for row in zip(*batch.columns):
+                bucket, words, pairs, data = (v.as_py() for v in row)
+                if size > PAIRS and bucket != last:
+                    yield _judged(*_summed(held))
+                    held, size = [], 0
+                held.append(_unpacked(words, pairs, data))
+                size, last = size + pairs, bucket
+        if held:
+            yield _judged(*_summed(held))
 
     columns = known.select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"))
-    return columns.mapInArrow(count, "word bigint, before int, toxic int, plain int")
+    packed = columns.mapInArrow(count, "bucket int, words int, pairs int, data binary")
+    return packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        put_together, ", ".join(f"{c} {'int' if c == 'before' else 'bigint'}" for c in _JUDGED)
+    )
 
 
 def _unique(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -125,13 +149,69 @@ def _unique(words: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return words[first], before[first], order, first
 
 
-def _counted(parts: list) -> pa.RecordBatch:
-    words, before, toxic = (np.concatenate(p) for p in zip(*parts))
+def _sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of runs that begin at ``first``."""
+    return np.add.reduceat(values.astype(np.int64), first) if len(first) else np.empty(0, np.int64)
+
+
+def _summed(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Distinct pairs of parts (words, before, toxic, plain) in order, their numbers summed."""
+    words, before, toxic, plain = (np.concatenate(p) for p in zip(*parts))
     keys, shorts, order, first = _unique(words, before)
-    n_toxic = np.add.reduceat(toxic[order], first) if len(first) else toxic
-    n = np.diff(np.append(first, len(words))).astype(np.int32)
-    columns = [keys.view(np.int64), shorts, n_toxic.astype(np.int32), n - n_toxic.astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["word", "before", "toxic", "plain"])
+    return keys, shorts, _sums(toxic[order], first), _sums(plain[order], first)
+
+
+def _runs(words: np.ndarray) -> np.ndarray:
+    """Where each of the sorted words begins."""
+    new = np.ones(len(words), bool)
+    new[1:] = words[1:] != words[:-1]
+    return np.flatnonzero(new)
+
+
+def _packed(words: np.ndarray, before: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> pa.RecordBatch:
+    """Pairs in order by bucket: words once, what stands before them, and how many; a word has ``PARTS`` buckets."""
+    part = (before.view(np.uint32) % np.uint32(PARTS)).astype(np.uint64)
+    bucket = (mixed(words + part) % np.uint64(BUCKETS)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    bucket, words, before, toxic, plain = (c[order] for c in (bucket, words, before, toxic, plain))
+    edges = np.append(_runs(bucket), len(bucket))
+    rows = []
+    for i, j in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        first = _runs(words[i:j])
+        numbers = [np.diff(np.append(first, j - i)), toxic[i:j], plain[i:j]]
+        numbers = pa.compress(b"".join(n.astype(np.int64).tobytes() for n in numbers), codec="zstd", asbytes=True)
+        rows.append((bucket[i], len(first), j - i, words[i:j][first].tobytes() + before[i:j].tobytes() + numbers))
+    columns = list(zip(*rows)) or [()] * 4
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["bucket", "words", "pairs", "data"])
+
+
+def _unpacked(words: int, pairs: int, data: bytes) -> tuple[np.ndarray, ...]:
+    at = 8 * words + 4 * pairs
+    numbers = pa.decompress(data[at:], 8 * (words + 2 * pairs), codec="zstd", asbytes=True)
+    numbers = np.frombuffer(numbers, np.int64)
+    n, toxic, plain = np.split(numbers, [words, words + pairs])
+    return np.repeat(np.frombuffer(data, np.uint64, words), n), np.frombuffer(data, np.int32, pairs, 8 * words), toxic, plain
+
+
+#: of a pair ``n`` texts, ``toxic`` and ``plain`` ones; of a word ``n`` distinct predecessors, those of each class, and of
+#: its pairs how many are in one text, in two, and the ``texts`` of all
+_JUDGED = ("word", "before", "toxic", "plain", "n", "ones", "twos", "texts")
+
+
+def _judged(words: np.ndarray, before: np.ndarray, toxic: np.ndarray, plain: np.ndarray) -> pa.RecordBatch:
+    """Rows of the words, ``before`` null, and of the pairs in ``LEAST`` texts or more; pairs are distinct and in order."""
+    first, n = _runs(words), toxic + plain
+    own = np.flatnonzero(n >= LEAST)
+    of_words = (_sums(c, first) for c in (toxic > 0, plain > 0, n > 0, n == 1, n == 2, n))
+    of_pairs = (toxic[own], plain[own], n[own], *[np.zeros(len(own), np.int64)] * 3)
+    none = pa.nulls(len(first), pa.int32())
+    columns = [
+        pa.array(np.concatenate((words[first], words[own])).view(np.int64)),
+        pa.concat_arrays([none, pa.array(before[own], pa.int32())]),
+        *(pa.array(np.concatenate(c)) for c in zip(of_words, of_pairs)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, list(_JUDGED))
 
 
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -147,33 +227,33 @@ def for_curve(text: Column) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary")) % 4 == 0
 
 
-def _discount(table: DataFrame, n: Column) -> tuple[float, float]:
-    """Discount and share of the backoff, from the counts ``n`` of both classes."""
-    ones, twos, own, own_n, total = table.agg(
-        F.sum((n == 1).cast("double")), F.sum((n == 2).cast("double")), F.sum((n >= LEAST).cast("double")),
-        F.sum(F.when(n >= LEAST, n).cast("double")), F.sum(n.cast("double")),
-    ).first()
-    ones, twos, own, own_n, total = (v or 0.0 for v in (ones, twos, own, own_n, total))
+def _discount(counts: tuple) -> tuple[float, float]:
+    """Discount and share of the backoff, from sums over the counts of both classes, as ``_counts`` has them."""
+    ones, twos, own, own_n, total = (float(v or 0) for v in counts)
     discount = min(1.0, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
     return discount, (total - own_n + own * discount) / max(total, 1.0)
 
 
+def _counts(n: Column) -> list[Column]:
+    """How many are 1, 2, and ``LEAST`` or more, the sum of these and that of all."""
+    known = n >= LEAST
+    return [F.sum(c) for c in ((n == 1).cast("long"), (n == 2).cast("long"), known.cast("long"), F.when(known, n), n)]
+
+
 def _rounded(value: Column) -> Column:
     return F.round(value * _ONE) / _ONE
 
 
 def train(known: DataFrame) -> Gains:
     """Gains (key of a word or a pair, toxic less ordinary log-probability) of rows (text, toxic)."""
-    # by both words, as one word alone may be in a third of all pairs
-    pairs = _pairs(known.where("toxic in (0, 1)")).groupBy("word", "before")
-    pairs = stage(pairs.agg(F.sum("toxic").alias("toxic"), F.sum("plain").alias("plain")), "toxicity-pairs")
-    words = pairs.groupBy("word").agg(
-        F.count("*").alias("n"),
-        *(F.sum((F.col(c) > 0).cast("bigint")).alias(c) for c in ("toxic", "plain")),
-    )
+    judged = stage(_pairs(known.where("toxic in (0, 1)")), "toxicity-pairs")
+    is_word = F.col("before").isNull()
+    pairs = judged.where(~is_word).select("word", "before", "toxic", "plain")
+    words = judged.where(is_word).groupBy("word").agg(*(F.sum(c).alias(c) for c in ("n", "toxic", "plain")))
     words = stage(words, "toxicity-words")
-    d1, r1 = _discount(words, F.col("n"))
-    d2, r2 = _discount(pairs, F.col("toxic") + F.col("plain"))
+    d1, r1 = _discount(words.agg(*_counts(F.col("n"))).first())
+    own_pairs = (F.sum(F.when(~is_word, c)) for c in (F.lit(1), F.col("n")))
+    d2, r2 = _discount(judged.agg(F.sum("ones"), F.sum("twos"), *own_pairs, F.sum("texts")).first())
 
     def over(c: str, discount: float) -> Column:
         return F.greatest(F.col(c) - discount, F.lit(0.0))
@@ -193,8 +273,7 @@ def train(known: DataFrame) -> Gains:
     gain = _rounded(F.log("p_toxic") - F.log("p_plain"))
     of_words = likely.where(F.col("n") >= LEAST).select(F.col("word").alias("key"), gain.alias("gain"))
 
-    known_pairs = pairs.where(F.col("toxic") + F.col("plain") >= LEAST)
-    behind = known_pairs.groupBy("before").agg(
+    behind = pairs.groupBy("before").agg(
         *(F.sum(over(c, d2)).alias(f"all_{c}") for c in ("toxic", "plain"))
     ).where("all_toxic > 0 and all_plain > 0")
     shared = r1 * classes / all_classes
@@ -203,7 +282,7 @@ def train(known: DataFrame) -> Gains:
         "word",
         *(F.when(rare, shared).otherwise(level(c, t)).alias(f"p_{c}") for c, t in (("toxic", toxic), ("plain", plain))),
     )
-    both = known_pairs.join(behind, "before").join(base, "word")
+    both = pairs.join(behind, "before").join(base, "word")
 
     def pair_level(c: str) -> Column:
         return (1 - r2) * over(c, d2) / F.col(f"all_{c}") + r2 * F.col(f"p_{c}")
@@ -236,26 +315,85 @@ def _found(text: str | None, bits: np.ndarray) -> Iterator[tuple[int, int, np.nd
         at += len(words)
 
 
+class _Numbers:
+    """mean, peak and phrase of a text, whose blocks are added in order."""
+
+    def __init__(self):
+        self.total, self.n, self.peak, self.phrase, self.carry = 0.0, 0, -math.inf, -math.inf, np.empty(0)
+
+    def add(self, size: int, places: np.ndarray, gains: np.ndarray, pair: np.ndarray) -> None:
+        """A block of ``size`` words, some of whose places have gains of words and of pairs."""
+        words, pairs = (np.bincount(places[k], gains[k], size) for k in (~pair, pair))
+        self.total, self.n = self.total + float(words.sum() + pairs.sum()), self.n + size
+        self.phrase = max(self.phrase, float(pairs.max()))
+        words = np.concatenate((self.carry, words))
+        if len(words) >= WINDOW:
+            self.peak = max(self.peak, float(np.convolve(words, np.ones(WINDOW), "valid").max()))
+        self.carry = words[-(WINDOW - 1) :]
+
+    def all(self) -> tuple[float, float, float]:
+        if not self.n:
+            return 0.0, 0.0, 0.0
+        return self.total / self.n, (self.peak if self.n >= WINDOW else float(self.carry.sum())) / WINDOW, self.phrase
+
+
+def _met(keys: np.ndarray, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``found`` are among the sorted keys, and where."""
+    at = np.searchsorted(keys, found)
+    known = at < len(keys)
+    known[known] = keys[at[known]] == found[known]
+    return known, at[known]
+
+
 def compared_text(
     text: str | None, bits: np.ndarray, keys: np.ndarray, gains: np.ndarray, pair: np.ndarray
 ) -> tuple[float, float, float]:
     """(mean, peak, phrase) of a text; ``keys`` are sorted."""
-    total, n, peak, phrase, carry = 0.0, 0, -math.inf, -math.inf, np.empty(0)
+    numbers = _Numbers()
     for _, size, places, found in _found(text, bits):
-        at = np.searchsorted(keys, found)
-        known = at < len(keys)
-        known[known] = keys[at[known]] == found[known]
-        at, places = at[known], places[known]
-        words, pairs = (np.bincount(places[k], gains[at[k]], size) for k in (~pair[at], pair[at]))
-        total, n = total + float(words.sum() + pairs.sum()), n + size
-        phrase = max(phrase, float(pairs.max()))
-        words = np.concatenate((carry, words))
-        if len(words) >= WINDOW:
-            peak = max(peak, float(np.convolve(words, np.ones(WINDOW), "valid").max()))
-        carry = words[-(WINDOW - 1) :]
-    if not n:
-        return 0.0, 0.0, 0.0
-    return total / n, (peak if n >= WINDOW else float(words.sum())) / WINDOW, phrase
+        known, at = _met(keys, found)
+        numbers.add(size, places[known], gains[at], pair[at])
+    return numbers.all()
+
+
+def compared_in_pieces(
+    texts: Iterable[str | None], bits: np.ndarray, pieces: list[Broadcast], most: int = MET
+) -> list[tuple[float, float, float]]:
+    """(mean, peak, phrase) of each text; the pieces have one range of sorted keys after another."""
+    numbers, held, size = [], [], 0
+    for text in texts:
+        numbers.append(_Numbers())
+        for _, words, places, found in _found(text, bits):
+            held.append((numbers[-1], words, places, found))
+            size += max(words, len(found))
+            if size > most:
+                _settle(held, pieces)
+                held, size = [], 0
+    _settle(held, pieces)
+    return [n.all() for n in numbers]
+
+
+def _settle(held: list[tuple], pieces: list[Broadcast]) -> None:
+    """Adds the held blocks (numbers, words, places, found) to their texts; every piece is read once."""
+    if not held:
+        return
+    found = np.concatenate([h[3] for h in held])
+    order = np.argsort(found)
+    found = found[order]
+    known, gains, pair = np.zeros(len(found), bool), np.zeros(len(found)), np.zeros(len(found), bool)
+    for piece in pieces:
+        keys, own, of_pair = piece.value
+        vars(piece).pop("_value", None)  # else it stays when the next one is read
+        if len(keys):
+            low, high = np.searchsorted(found, keys[0]), np.searchsorted(found, keys[-1], "right")
+            here, at = _met(keys, found[low:high])
+            here = order[low:high][here]
+            known[here], gains[here], pair[here] = True, own[at], of_pair[at]
+    end = 0
+    for numbers, words, places, some in held:
+        here = end + np.flatnonzero(known[end : end + len(some)])
+        numbers.add(words, places[here - end], gains[here], pair[here])
+        end += len(some)
 
 
 def compared(docs: DataFrame, gains: Gains, held: int = HELD) -> DataFrame:
@@ -263,77 +401,41 @@ def compared(docs: DataFrame, gains: Gains, held: int = HELD) -> DataFrame:
 
     Columns named as in ``_OWN`` are left out; all others stay.
     """
-    bits = bit_table(gains.table.select("key"), FILTER_BITS)
+    context = docs.sparkSession.sparkContext
+    bits = context.broadcast(bit_table(gains.table.select("key"), FILTER_BITS))
     names = [c for c in docs.columns if c.lower() not in ("text", *NUMBERS, *_OWN)]
-    return (_by_broadcast if gains.n <= held else _by_join)(docs.select("text", *names), gains, bits)
-
-
-def _fields(docs: DataFrame) -> list[StructField]:
-    return [f for f in docs.schema.fields if f.name != "text"]
-
-
-def _by_broadcast(docs: DataFrame, gains: Gains, bits: np.ndarray) -> DataFrame:
-    table = gains.table.orderBy("key").toArrow()
-    columns = (table.column(c).to_numpy(zero_copy_only=False) for c in ("key", "gain", "pair"))
-    shared = docs.sparkSession.sparkContext.broadcast((bits, *columns))
-    schema = StructType([*_fields(docs), *(StructField(c, DoubleType()) for c in NUMBERS)])
-    names = schema.names
+    docs = docs.select("text", *names)
+    schema = StructType([*docs.schema.fields[1:], *(StructField(c, DoubleType()) for c in NUMBERS)])
+    whole = gains.n <= held
+    pieces = [context.broadcast(_columns(part)) for part in _parts(gains, 1 if whole else -(-gains.n // PIECE))]
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([compared_text(t.as_py(), *shared.value) for t in batch.column(0)], float).reshape(-1, 3)
+            texts = (t.as_py() for t in batch.column(0))
+            if whole:
+                found = [compared_text(t, bits.value, *pieces[0].value) for t in texts]
+            else:
+                found = compared_in_pieces(texts, bits.value, pieces)
+            values = np.array(found, float).reshape(-1, 3)
             added = [pa.array(values[:, i]) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *added], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *added], schema.names)
 
     return docs.mapInArrow(add, schema)
 
 
-def _by_join(docs: DataFrame, gains: Gains, bits: np.ndarray) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
-    place = ArrayType(StructType([StructField("at", LongType()), StructField("key", LongType())]))
-    rows = docs.withColumn("__row", F.monotonically_increasing_id())
-    schema = StructType([*_fields(rows), StructField("__n", LongType()), StructField("__found", place)])
-    names = schema.names
+def _parts(gains: Gains, n: int) -> Iterator[DataFrame]:
+    """The table in ``n`` ranges of keys, which are hashes and so spread evenly."""
+    edges = [(i << 64) // n - (1 << 63) for i in range(n + 1)] if n else []
+    for low, high in zip(edges, edges[1:]):
+        yield gains.table.where(F.col("key").between(low, high - 1))
 
-    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("at", pa.int64()), ("key", pa.int64())]))
-        for batch in batches:
-            sizes, found = [], []
-            for text in batch.column(0):
-                blocks = list(_found(text.as_py(), shared.value))
-                sizes.append(sum(b[1] for b in blocks))
-                found.append([{"at": b[0] + p, "key": k} for b in blocks for p, k in zip(b[2].tolist(), b[3].tolist())])
-            added = [pa.array(sizes, pa.int64()), pa.array(found, kind)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *added], names)
-
-    rows = stage(rows.mapInArrow(find, schema), "toxicity-found")
-    hits = rows.select("__row", "__n", F.explode("__found").alias("f")).select("__row", "__n", "f.at", "f.key")
-    of = [F.sum(F.when(F.col("pair") == pair, F.col("gain"))) for pair in (False, True)]
-    places = hits.join(gains.table, "key").groupBy("__row", "__n", "at").agg(of[0].alias("word"), of[1].alias("of_pair"))
-    # a word is in the windows that begin up to WINDOW - 1 words before it
-    last = F.greatest(F.col("__n") - WINDOW, F.lit(0))
-    starts = F.sequence(F.greatest(F.col("at") - (WINDOW - 1), F.lit(0)), F.least("at", last))
-    windows = places.where("word is not null").select("__row", "word", F.explode(starts).alias("start"))
-    sums = windows.groupBy("__row", "start").agg(F.sum("word").alias("sum"))
-    peaks = sums.groupBy("__row").agg(F.max("sum").alias("__top"), F.count("*").alias("__windows"))
-    nothing = F.lit(0.0)
-    totals = places.groupBy("__row").agg(
-        F.sum(F.coalesce("word", nothing) + F.coalesce("of_pair", nothing)).alias("__total"),
-        F.max("of_pair").alias("__best"), F.count("of_pair").alias("__pairs"),
-    )
-    met = rows.drop("__found").join(peaks, "__row", "left").join(totals, "__row", "left")
-
-    def most(best: str, seen: str, places: Column) -> Column:
-        """The largest gain, 0 where a place has none."""
-        rest = F.coalesce(seen, F.lit(0)) < places
-        return F.when(rest, F.greatest(F.coalesce(best, nothing), nothing)).otherwise(F.col(best))
-
-    return met.select(
-        *(f.name for f in _fields(docs)),
-        F.coalesce(F.col("__total") / F.greatest("__n", F.lit(1)), nothing).alias("mean"),
-        (most("__top", "__windows", F.greatest(F.col("__n") - (WINDOW - 1), F.lit(1))) / WINDOW).alias("peak"),
-        most("__best", "__pairs", F.greatest("__n", F.lit(1))).alias("phrase"),
-    )
+
+def _columns(part: DataFrame) -> tuple[np.ndarray, ...]:
+    """Sorted keys, gains, and which are pairs."""
+    table = part.select("key", "gain", "pair").toArrow()
+    columns = [table.column(c).to_numpy(zero_copy_only=False) for c in ("key", "gain", "pair")]
+    order = np.argsort(columns[0])
+    return tuple(c[order] for c in columns)
 
 
 def _bin(value: str, low: float, high: float, bins: int) -> Column:

@@ -170,6 +170,74 @@ def test_toxicity_equals_plain_models_both_ways(spark, phrase, monkeypatch):
         assert toxicity.compared_text(" ".join(texts[i]), bits, *columns) == tuple(numbers)
 
 
+def test_toxicity_by_a_table_above_the_limit_shuffles_and_stages_nothing(spark, monkeypatch):
+    rows = drawn_texts()
+    made, stage = [], toxicity.stage
+    monkeypatch.setattr(toxicity, "stage", lambda df, label: made.append(label) or stage(df, label))
+    gains = toxicity.train(spark.createDataFrame([(" ".join(w), t) for w, t in rows], "text string, toxic int"))
+    docs = spark.createDataFrame([(i, " ".join(w * (i % 4))) for i, (w, _) in enumerate(rows[:40])], "id int, text string")
+    wanted = toxicity.compared(docs, gains, gains.n)
+    made.clear()
+    monkeypatch.setattr(toxicity, "PIECE", gains.n // 5)
+    found = toxicity.compared(docs, gains, gains.n - 1)
+    assert not made and "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+@pytest.mark.parametrize("most", [0, 50, 10**6])
+def test_toxicity_of_long_texts_in_pieces(monkeypatch, most):
+    class Piece:  # as a worker has it
+        def __init__(self, columns):
+            self.columns = columns
+
+        @property
+        def value(self):
+            return self.columns
+
+    texts = [None, "", *(" ".join(w) for w, _ in drawn_texts()[:20]), "w1", "rotter " * 99]
+    blocks = toxicity.token_blocks
+    monkeypatch.setattr(toxicity, "token_blocks", lambda t: blocks(t, 16))
+    some = np.concatenate([np.concatenate((w, toxicity._pair_keys(toxicity._short(b), w))) for t in texts for b, w in toxicity._hash_blocks(t)])
+    keys = np.unique(some)[::3].view(np.int64)
+    keys.sort()
+    columns = (keys, np.arange(len(keys)) / 1024 - 0.03, np.arange(len(keys)) % 2 == 0)
+    bits = np.full(1 << 5, 0xFFFFFFFF, np.uint32)  # lets all through
+    pieces = [Piece(tuple(c[i:j] for c in columns)) for i, j in ((0, 5), (5, 5), (5, 40), (40, None))]
+    assert toxicity.compared_in_pieces(texts, bits, pieces, most) == [toxicity.compared_text(t, bits, *columns) for t in texts]
+
+
+def test_toxicity_trains_from_packed_pairs(spark, monkeypatch):
+    rows = drawn_texts(("you", "pig"))
+    known = spark.createDataFrame([(" ".join(w), t) for w, t in rows], "text string, toxic int")
+    made, stage = {}, toxicity.stage
+    monkeypatch.setattr(toxicity, "stage", lambda df, label: made.setdefault(label, stage(df, label)))
+    wanted = sorted(map(tuple, toxicity.train(known).table.collect()))
+    texts = {}
+    for words, _ in rows:
+        for pair in set(zip(["", *words], words)):
+            texts[pair] = texts.get(pair, 0) + 1
+    own = sum(n >= toxicity.LEAST for n in texts.values())
+    staged = made["toxicity-pairs"]  # rare pairs are only counted
+    assert staged.where("before is not null").count() == own < len(texts)
+    sums = staged.where("before is null").groupBy().sum("n", "ones", "twos", "texts").first()
+    assert tuple(sums) == (len(texts), *(sum(n == k for n in texts.values()) for k in (1, 2)), sum(texts.values()))
+    monkeypatch.setattr(toxicity, "PAIRS", 40)  # many runs of pairs, and of buckets
+    made.clear()
+    assert sorted(map(tuple, toxicity.train(known).table.collect())) == wanted
+
+
+def test_packed_pairs_are_small_and_whole():
+    drawn = np.random.default_rng(3)
+    words = np.sort(drawn.choice(drawn.integers(0, 1 << 64, 500, np.uint64), 30_000))
+    before = drawn.integers(-(1 << 31), 1 << 31, len(words)).astype(np.int32)
+    pairs = toxicity._summed([(words, before, np.ones(len(words), int), np.zeros(len(words), int))] * 2)
+    packed = toxicity._packed(*pairs)
+    parts = [toxicity._unpacked(*row) for row in zip(*packed.to_pydict().values()) for row in [row[1:]]]
+    assert all((a == b).all() for a, b in zip(toxicity._summed(parts), pairs))
+    assert len(set(packed.column(0).to_pylist())) == packed.num_rows <= toxicity.BUCKETS
+    assert sum(map(len, packed.column(3).to_pylist())) < 16 * len(words)
+
+
 def test_toxicity_of_held_out_documents(spark):
     sf_dir = SF_DIR.replace("0.001", "0.01")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
